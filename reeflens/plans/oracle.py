@@ -142,12 +142,63 @@ def _round(cols: list[str]) -> str:
 FISH_COLS_DBL = ["latitude", "trophic_level", "size", "biomass", "quantity", "degree", "q1", "q3",
                  "iqr", "lower_bound", "upper_bound"]
 
-SQL: dict[str, str] = {}
+SURVEY_DBL = ["latitude", "size", "biomass", "quantity", "degree"]
+SURVEY_COLS = ["label", "year", "region", "reef", "depth", "transect", "protection_level",
+               "latitude", "family", "species", "taxa2", "taxa3", "trophic_level", "size",
+               "biomass", "quantity", "degree"]
 
-SQL["biomass_by_region"] = with_ctes(
-    VIEW, FISH,
-    reef_mean_cte("fish", "other", "biomass", strict=True, where="region <> 'EUROPE'"),
-    """
+
+def _sel(cols: list[str], dbl: list[str]) -> str:
+    return ", ".join(f"round({c}, 6) AS {c}" if c in dbl else c for c in cols)
+
+
+def _case(col: str, mapping: list[tuple[str, object]]) -> str:
+    parts = " ".join(
+        f"WHEN {col} = '{k}' THEN " + (f"'{v}'" if isinstance(v, str) else str(v))
+        for k, v in mapping)
+    return f"CASE {parts} END"
+
+
+PROT = [("A", "Sin Pesca"), ("N", "Multi-uso"), ("R", "Sin Protección")]
+FUNC = [("ECONOMY", "Depredadores solitarios"), ("LARGE", "Depredadores en cardúmenes"),
+        ("MEDIUM", "Omnívoros en cardúmen"), ("PROMO", "Herbívoros en cardúmen"),
+        ("STANDARD", "Crípticos solitarios"), ("SMALL", "Pelágicos")]
+P3 = ["Histórico (1995-1997)", "Calentamiento (1998-2000)", "2001"]
+P2 = ["Histórico (1995-2000)", "2001"]
+P3_CASE = ("CASE WHEN year <= 1997 THEN 'Histórico (1995-1997)' "
+           "WHEN year >= 1998 AND year <= 2000 THEN 'Calentamiento (1998-2000)' "
+           "WHEN year >= 2001 AND year <= 2001 THEN '2001' END")
+P2_CASE = ("CASE WHEN year <= 2000 THEN 'Histórico (1995-2000)' "
+           "WHEN year >= 2001 AND year <= 2001 THEN '2001' END")
+ORDER_NS = ["MIDDLE EAST", "EUROPE", "ASIA", "AMERICA", "AFRICA"]
+
+
+def _factor(col: str, levels: list[str], labels: list[str] | None = None, out: str | None = None) -> str:
+    labels = labels or levels
+    out = out or col
+    lab = _case(col, list(zip(levels, labels)))
+    ordc = _case(col, [(lv, i) for i, lv in enumerate(levels, start=1)])
+    return f"{lab} AS {out}, {ordc} AS {out}_ord"
+
+
+def _band(lat: str) -> str:
+    r = f"round_even({lat}, 0)"
+    return (f"CASE WHEN ({r} >= 26.0) IS NULL THEN NULL WHEN {r} >= 26.0 THEN 'Arriba de 26°' "
+            f"ELSE 'Debajo de 26°' END")
+
+
+BRAW = """
+other_t AS (
+  SELECT year, region, protection_level, reef, depth, transect,
+         CASE WHEN count(*) = count(biomass) THEN sum(biomass) END AS biomass
+  FROM fish WHERE region <> 'EUROPE'
+  GROUP BY year, region, protection_level, reef, depth, transect
+),
+other AS (
+  SELECT year, region, protection_level, reef,
+         CASE WHEN count(*) = count(biomass) THEN avg(biomass) END AS biomass
+  FROM other_t GROUP BY year, region, protection_level, reef
+),
 one AS (
   SELECT year, region, protection_level, reef, depth, transect,
          CASE WHEN count(*) = count(biomass) THEN sum(biomass) END AS biomass
@@ -155,12 +206,416 @@ one AS (
   GROUP BY year, region, protection_level, reef, depth, transect
 ),
 braw AS (
-  SELECT year, region, protection_level, reef, biomass, NULL AS depth, NULL AS transect FROM other
+  SELECT year, region, protection_level, reef, biomass, CAST(NULL AS VARCHAR) AS depth,
+         CAST(NULL AS INTEGER) AS transect FROM other
   UNION ALL
   SELECT year, region, protection_level, reef, biomass, depth, transect FROM one
-)""",
-    sites_cte("braw", "bal"),
-) + """
-SELECT year, region, round(avg(biomass), 6) AS mean_biomass, round(stddev_samp(biomass), 6) AS sd_biomass,
-       count(*) AS n, round(stddev_samp(biomass) / sqrt(count(*)), 6) AS se_biomass
-FROM bal GROUP BY year, region"""
+)"""
+
+INV = """
+inv AS (
+  SELECT * FROM survey
+  WHERE label = 'O' AND coalesce(region IN ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE'), false)
+)"""
+
+TAXA = """
+invt AS (
+  SELECT *, CASE WHEN taxa3 = 'Brand#1' THEN 'Brand#1' WHEN taxa3 = 'Brand#2' THEN 'Brand#2'
+                 WHEN taxa2 = 'SMALL' THEN 'SMALL' WHEN taxa2 = 'LARGE' THEN 'LARGE' END AS taxa
+  FROM inv
+),
+invt2 AS (SELECT * FROM invt WHERE coalesce(taxa IN ('Brand#1', 'Brand#2', 'SMALL', 'LARGE'), false))"""
+
+
+def _trend(src: str, keys: str, value: str, sd_n: bool = False) -> str:
+    if sd_n:
+        return (f"SELECT {keys}, round(avg({value}), 6) AS mean_{value}, "
+                f"round(stddev_samp({value}), 6) AS sd_{value}, count(*) AS n, "
+                f"round(stddev_samp({value}) / sqrt(count(*)), 6) AS se_{value} "
+                f"FROM {src} GROUP BY {keys}")
+    return (f"SELECT {keys}, round(avg({value}), 6) AS mean_{value}, "
+            f"round(stddev_samp({value}) / sqrt(count(*)), 6) AS se_{value} "
+            f"FROM {src} GROUP BY {keys}")
+
+
+def _trend_cte(name: str, src: str, keys: str, value: str) -> str:
+    return (f"{name} AS (SELECT {keys}, avg({value}) AS mean_{value}, "
+            f"stddev_samp({value}) / sqrt(count(*)) AS se_{value} FROM {src} GROUP BY {keys})")
+
+
+SQL: dict[str, str] = {}
+
+# --- D1 on events ---------------------------------------------------------------------
+EV = """
+ev AS (SELECT event_id, event_type, value FROM events),
+evq AS (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3
+        FROM ev GROUP BY event_type),
+evf AS (
+  SELECT e.*, q.q1, q.q3, q.q3 - q.q1 AS iqr, q.q1 - 1.5 * (q.q3 - q.q1) AS lower_bound,
+         q.q3 + 1.5 * (q.q3 - q.q1) AS upper_bound,
+         (e.value < q.q1 - 1.5 * (q.q3 - q.q1)) OR (e.value > q.q3 + 1.5 * (q.q3 - q.q1))
+           AS size_flagged_outlier
+  FROM ev e LEFT JOIN evq q ON e.event_type IS NOT DISTINCT FROM q.event_type
+)"""
+SQL["size_outliers_events"] = with_ctes(EV) + """
+SELECT event_id, event_type, round(value, 6) AS value, round(q1, 6) AS q1, round(q3, 6) AS q3,
+       round(iqr, 6) AS iqr, round(lower_bound, 6) AS lower_bound, round(upper_bound, 6) AS upper_bound,
+       size_flagged_outlier
+FROM evf WHERE NOT size_flagged_outlier"""
+SQL["size_flags_events"] = with_ctes(EV) + """
+SELECT event_type, round(q1, 6) AS q1, round(q3, 6) AS q3, round(lower_bound, 6) AS lower_bound,
+       round(upper_bound, 6) AS upper_bound, count(*) AS n,
+       CAST(sum(CAST(size_flagged_outlier AS INTEGER)) AS BIGINT) AS n_flagged
+FROM evf GROUP BY event_type, q1, q3, lower_bound, upper_bound"""
+
+# --- fish -------------------------------------------------------------------------------
+FISH_COLS = SURVEY_COLS + ["commercial", "functional_name", "q1", "q3", "iqr", "lower_bound",
+                           "upper_bound", "size_flagged_outlier"]
+SQL["fish_productivity"] = with_ctes(VIEW, FISH) + f"""
+SELECT {_sel(FISH_COLS, FISH_COLS_DBL)} FROM fish"""
+
+SQL["biomass_raw"] = with_ctes(VIEW, FISH, BRAW) + """
+SELECT year, region, protection_level, reef, round(biomass, 6) AS biomass, depth, transect FROM braw"""
+
+SQL["balanced_biomass"] = with_ctes(VIEW, FISH, BRAW, sites_cte("braw", "bal")) + """
+SELECT year, region, protection_level, reef, round(biomass, 6) AS biomass, depth, transect FROM bal"""
+
+SQL["balanced_biomass_site_counts"] = with_ctes(VIEW, FISH, BRAW, sites_cte("braw", "bal")) + """
+SELECT region, count(*) AS site_count FROM bal_kept GROUP BY region"""
+
+SQL["balanced_biomass_selection"] = with_ctes(VIEW, FISH, BRAW, sites_cte("braw", "bal")) + """
+SELECT (SELECT t FROM bal_total) AS total_years, round(min(mx), 6) AS min_max_coverage,
+       CAST(ceil(min(mx) * (SELECT t FROM bal_total)) AS BIGINT) AS threshold
+FROM (SELECT region, max(coverage) AS mx FROM bal_sites GROUP BY region)"""
+
+SQL["biomass_by_region"] = with_ctes(VIEW, FISH, BRAW, sites_cte("braw", "bal")) + "\n" + _trend(
+    "bal", "year, region", "biomass", sd_n=True)
+
+SQL["biomass_by_protection"] = with_ctes(
+    VIEW, FISH, BRAW, sites_cte("braw", "bal"),
+    _trend_cte("bp", "bal", "year, protection_level", "biomass")) + f"""
+SELECT year, {_factor('protection_level', [k for k, _ in PROT], [v for _, v in PROT])},
+       round(mean_biomass, 6) AS mean_biomass, round(se_biomass, 6) AS se_biomass FROM bp"""
+
+BF = reef_mean_cte("fish", "bfr", "biomass", ("functional_name",), strict=True)
+SQL["biomass_functional_reef"] = with_ctes(VIEW, FISH, BF, sites_cte("bfr", "bfb")) + """
+SELECT year, region, protection_level, reef, functional_name, round(biomass, 6) AS biomass FROM bfb"""
+
+SQL["biomass_by_functional"] = with_ctes(
+    VIEW, FISH, BF, sites_cte("bfr", "bfb"),
+    _trend_cte("bpf", "bfb", "year, region, protection_level, functional_name", "biomass")) + f"""
+SELECT year, region, {_factor('protection_level', [k for k, _ in PROT], [v for _, v in PROT])},
+       functional_name, round(mean_biomass, 6) AS mean_biomass, round(se_biomass, 6) AS se_biomass
+FROM bpf"""
+
+SPP = reef_mean_cte("fish", "spp", "biomass", ("functional_name", "species"))
+BF3 = f"bf3 AS (SELECT *, {P3_CASE} AS period FROM spp_bal)"
+BF2 = f"bf2 AS (SELECT *, {P2_CASE} AS period FROM spp_bal)"
+FUNC_LOOKUP = "sfun AS (SELECT DISTINCT species, functional_name FROM bf3)"
+
+SQL["fish_species_reef"] = with_ctes(VIEW, FISH, SPP, sites_cte("spp", "spp_bal"), BF3) + """
+SELECT year, region, protection_level, reef, functional_name, species, round(biomass, 6) AS biomass,
+       period FROM bf3"""
+
+SQL["species_functional"] = with_ctes(
+    VIEW, FISH, SPP, sites_cte("spp", "spp_bal"), BF3, FUNC_LOOKUP) + """
+SELECT species, functional_name FROM sfun"""
+
+
+def _top_fish(src: str, band: str, levels: list[str]) -> str:
+    other = "Debajo de 26°" if band == "north" else "Arriba de 26°"
+    return f"""
+tx AS (
+  SELECT b.*, l.lat, {_band('l.lat')} AS degree
+  FROM {src} b LEFT JOIN lats l ON b.region IS NOT DISTINCT FROM l.region
+),
+tx2 AS (
+  SELECT * FROM tx
+  WHERE NOT coalesce(region IN ('AMERICA'), false) AND functional_name IS NOT NULL
+    AND degree <> '{other}' AND functional_name <> 'SMALL'
+),
+tm AS (SELECT period, species, avg(biomass) AS biomass FROM tx2 GROUP BY period, species),
+tm2 AS (SELECT {_factor('period', levels)}, species, biomass FROM tm),
+ttot AS (SELECT period, coalesce(sum(biomass), 0) AS total_biomass FROM tm2 GROUP BY period),
+trk AS (
+  SELECT *, rank() OVER (PARTITION BY period ORDER BY biomass DESC) AS rk
+  FROM tm2 WHERE biomass IS NOT NULL
+),
+ttop AS (
+  SELECT r.period, r.species, r.biomass, r.period_ord, t.total_biomass,
+         CASE WHEN t.total_biomass = 0 THEN NULL ELSE r.biomass / t.total_biomass END * 100
+           AS rel_biomass
+  FROM trk r LEFT JOIN ttot t ON r.period IS NOT DISTINCT FROM t.period WHERE r.rk <= 10
+),
+tj AS (
+  SELECT t.*, f.functional_name AS fn FROM ttop t
+  LEFT JOIN sfun f ON t.species IS NOT DISTINCT FROM f.species
+),
+tj2 AS (
+  SELECT period, species, biomass, period_ord, total_biomass, rel_biomass,
+         {_factor('fn', [k for k, _ in FUNC], [v for _, v in FUNC], out='functional_name')}
+  FROM tj
+),
+tj3 AS (
+  SELECT *, coalesce(species, 'NA') || '___' || coalesce(period, 'NA') AS species_key
+  FROM tj2 WHERE functional_name <> 'Pelágicos'
+),
+tj4 AS (SELECT *, avg(rel_biomass) OVER (PARTITION BY period, species_key) AS m FROM tj3)"""
+
+
+TOP_FISH_OUT = """
+SELECT period, species, round(biomass, 6) AS biomass, period_ord, round(total_biomass, 6) AS total_biomass,
+       round(rel_biomass, 6) AS rel_biomass, functional_name, functional_name_ord, species_key,
+       CAST(dense_rank() OVER (PARTITION BY period ORDER BY m ASC NULLS LAST, species_key) AS INTEGER)
+         AS species_ord
+FROM tj4"""
+
+for _band_name, _scheme in (("north", 3), ("south", 3), ("north", 2), ("south", 2)):
+    SQL[f"top_fish_{_band_name}_{_scheme}p"] = with_ctes(
+        VIEW, FISH, SPP, sites_cte("spp", "spp_bal"), BF3, BF2, FUNC_LOOKUP,
+        _top_fish(f"bf{_scheme}", _band_name, P3 if _scheme == 3 else P2)) + TOP_FISH_OUT
+
+# --- invertebrates ----------------------------------------------------------------------
+SQL["invertebrates"] = with_ctes(VIEW, INV) + f"""
+SELECT {_sel(SURVEY_COLS, SURVEY_DBL)} FROM inv"""
+
+CORAL = reef_mean_cte("inv", "coral", "quantity", ("taxa3",),
+                      where="coalesce(taxa3 IN ('Brand#1', 'Brand#2'), false)")
+SQL["coral_reef"] = with_ctes(VIEW, INV, CORAL) + """
+SELECT year, region, protection_level, reef, taxa3, round(quantity, 6) AS quantity FROM coral"""
+SQL["balanced_coral"] = with_ctes(VIEW, INV, CORAL, sites_cte("coral", "cbal")) + """
+SELECT year, region, protection_level, reef, taxa3, round(quantity, 6) AS quantity FROM cbal"""
+SQL["coral_by_region"] = with_ctes(VIEW, INV, CORAL, sites_cte("coral", "cbal")) + "\n" + _trend(
+    "cbal", "year, region, taxa3", "quantity")
+SQL["coral_by_protection"] = with_ctes(VIEW, INV, CORAL, sites_cte("coral", "cbal")) + "\n" + _trend(
+    "cbal", "year, protection_level, taxa3", "quantity")
+
+
+def _linear(src: str, keys: str) -> str:
+    return f"""
+SELECT {keys}, round(regr_slope(mean_quantity, CAST(year AS DOUBLE)), 6) AS slope,
+       round(regr_intercept(mean_quantity, CAST(year AS DOUBLE)), 6) AS intercept,
+       round(regr_r2(mean_quantity, CAST(year AS DOUBLE)), 6) AS r2,
+       CAST(regr_count(mean_quantity, CAST(year AS DOUBLE)) AS BIGINT) AS n_points
+FROM {src} GROUP BY {keys}"""
+
+
+SQL["coral_trend_region_linear"] = with_ctes(
+    VIEW, INV, CORAL, sites_cte("coral", "cbal"),
+    _trend_cte("cbr", "cbal", "year, region, taxa3", "quantity")) + _linear("cbr", "region, taxa3")
+SQL["coral_trend_protection_linear"] = with_ctes(
+    VIEW, INV, CORAL, sites_cte("coral", "cbal"),
+    _trend_cte("cbp", "cbal", "year, protection_level, taxa3", "quantity")) + _linear(
+    "cbp", "protection_level, taxa3")
+
+ECH = reef_mean_cte("inv", "ech", "quantity", ("taxa2",),
+                    where="coalesce(taxa2 IN ('SMALL', 'LARGE'), false)")
+SQL["echinoderm_reef"] = with_ctes(VIEW, INV, ECH, sites_cte("ech", "ebal")) + """
+SELECT year, region, protection_level, reef, taxa2, round(quantity, 6) AS quantity FROM ebal"""
+SQL["echinoderm_by_region"] = with_ctes(VIEW, INV, ECH, sites_cte("ech", "ebal")) + "\n" + _trend(
+    "ebal", "year, region, taxa2", "quantity")
+SQL["echinoderm_by_protection"] = with_ctes(VIEW, INV, ECH, sites_cte("ech", "ebal")) + "\n" + _trend(
+    "ebal", "year, protection_level, taxa2", "quantity")
+
+IAB = reef_mean_cte("invt2", "iab", "quantity", ("taxa",))
+IBR = _trend_cte("ibr", "iab_bal", "year, region, taxa", "quantity")
+SQL["invertebrates_by_region"] = with_ctes(VIEW, INV, TAXA, IAB, sites_cte("iab", "iab_bal")) + "\n" + \
+    _trend("iab_bal", "year, region, taxa", "quantity")
+
+BARS = """
+bx AS (
+  SELECT b.*, l.lat FROM (SELECT * FROM ibr WHERE year = 2001) b
+  LEFT JOIN lats l ON b.region IS NOT DISTINCT FROM l.region
+),
+brank AS (
+  SELECT region, CAST(dense_rank() OVER (ORDER BY m ASC NULLS LAST, region) AS INTEGER) AS region_ord
+  FROM (SELECT region, avg(-lat) AS m FROM bx GROUP BY region)
+),
+bx2 AS (SELECT x.*, r.region_ord FROM bx x LEFT JOIN brank r ON x.region IS NOT DISTINCT FROM r.region)"""
+SQL["inv_bars_absolute"] = with_ctes(VIEW, INV, TAXA, IAB, sites_cte("iab", "iab_bal"), IBR, BARS) + """
+SELECT year, region, taxa, round(mean_quantity, 6) AS mean_quantity, round(se_quantity, 6) AS se_quantity,
+       round(lat, 6) AS lat, region_ord,
+       round(sum(mean_quantity) OVER (PARTITION BY region ORDER BY taxa DESC NULLS FIRST
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS ymax,
+       round(sum(mean_quantity) OVER (PARTITION BY region ORDER BY taxa DESC NULLS FIRST
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+             - mean_quantity, 6) AS ymin
+FROM bx2"""
+SQL["inv_bars_relative"] = with_ctes(VIEW, INV, TAXA, IAB, sites_cte("iab", "iab_bal"), IBR, BARS) + """
+SELECT year, region, taxa, round(mean_quantity, 6) AS mean_quantity, round(se_quantity, 6) AS se_quantity,
+       round(lat, 6) AS lat, region_ord,
+       round(CASE WHEN sum(mean_quantity) OVER (PARTITION BY region) = 0 THEN NULL
+                  ELSE mean_quantity / sum(mean_quantity) OVER (PARTITION BY region) END, 6) AS share
+FROM bx2"""
+
+ISPP = """
+ispp_src AS (
+  SELECT year, region, protection_level, reef, depth, transect, taxa, quantity,
+         CASE WHEN contains(species, 'widget') THEN 'widget sp' ELSE species END AS species
+  FROM invt2
+)""" + "," + reef_mean_cte("ispp_src", "ispp", "quantity", ("taxa", "species"))
+BINV = f"binv AS (SELECT *, {P3_CASE} AS period FROM ispp_bal)"
+SQL["inv_species_reef"] = with_ctes(VIEW, INV, TAXA, ISPP, sites_cte("ispp", "ispp_bal"), BINV) + """
+SELECT year, region, protection_level, reef, taxa, species, round(quantity, 6) AS quantity, period
+FROM binv"""
+SQL["species_taxa"] = with_ctes(VIEW, INV, TAXA, ISPP, sites_cte("ispp", "ispp_bal"), BINV) + """
+SELECT DISTINCT taxa, species FROM binv"""
+
+
+def _top_inv(band: str) -> str:
+    other = "Debajo de 26°" if band == "north" else "Arriba de 26°"
+    return f"""
+ux AS (
+  SELECT b.*, l.lat, {_band('l.lat')} AS degree
+  FROM binv b LEFT JOIN lats l ON b.region IS NOT DISTINCT FROM l.region
+),
+ux2 AS (
+  SELECT {_factor('period', P3)}, taxa,
+         CASE WHEN contains(species, 'bolt') IS NULL THEN NULL
+              WHEN contains(species, 'bolt') THEN 'bolt sp' ELSE species END AS species,
+         quantity
+  FROM ux WHERE NOT coalesce(region IN ('AMERICA'), false) AND degree <> '{other}'
+),
+um AS (
+  SELECT period, period_ord, taxa, species, avg(quantity) AS quantity
+  FROM ux2 GROUP BY period, period_ord, taxa, species
+),
+urk AS (
+  SELECT *, rank() OVER (PARTITION BY period ORDER BY quantity DESC) AS rk
+  FROM um WHERE quantity IS NOT NULL
+),
+utop AS (
+  SELECT period, period_ord, taxa, species, quantity,
+         coalesce(species, 'NA') || '___' || coalesce(period, 'NA') AS species_key
+  FROM urk WHERE rk <= 10
+),
+utop2 AS (SELECT *, avg(quantity) OVER (PARTITION BY period, species_key) AS m FROM utop)"""
+
+
+for _b, _name in (("south", "top_inv_south"), ("north", "top_inv_north")):
+    SQL[_name] = with_ctes(VIEW, INV, TAXA, ISPP, sites_cte("ispp", "ispp_bal"), BINV, _top_inv(_b)) + """
+SELECT period, period_ord, taxa, species, round(quantity, 6) AS quantity, species_key,
+       CAST(dense_rank() OVER (PARTITION BY period ORDER BY m ASC NULLS LAST, species_key) AS INTEGER)
+         AS species_ord
+FROM utop2"""
+
+# --- diversity --------------------------------------------------------------------------
+RICH = """
+rsrc AS (
+  SELECT * FROM survey
+  WHERE coalesce(taxa2 IN ('SMALL', 'LARGE'), false) OR coalesce(taxa3 IN ('Brand#1', 'Brand#2'), false)
+     OR label = 'F'
+),
+rt AS (
+  SELECT year, region, protection_level, reef, depth, transect, label,
+         count(DISTINCT species) + max(CASE WHEN species IS NULL THEN 1 ELSE 0 END) AS richness
+  FROM rsrc GROUP BY year, region, protection_level, reef, depth, transect, label
+),
+rr AS (
+  SELECT year, region, protection_level, reef, label,
+         CASE WHEN count(*) = count(richness) THEN avg(richness) END AS richness
+  FROM rt GROUP BY year, region, protection_level, reef, label
+)"""
+SQL["richness_reef"] = with_ctes(VIEW, RICH, sites_cte("rr", "rbal")) + """
+SELECT year, region, protection_level, reef, label, round(richness, 6) AS richness FROM rbal"""
+SQL["richness_by_region"] = with_ctes(VIEW, RICH, sites_cte("rr", "rbal")) + "\n" + _trend(
+    "rbal", "year, region, label", "richness")
+SQL["richness_history"] = with_ctes(
+    VIEW, RICH, sites_cte("rr", "rbal"), _trend_cte("rbr", "rbal", "year, region, label", "richness"),
+    """
+h AS (
+  SELECT *, CASE WHEN year IS NULL THEN NULL WHEN year < 2001 THEN 'Histórico' ELSE '2001' END AS cat
+  FROM rbr WHERE coalesce(region IN ('AFRICA', 'ASIA', 'EUROPE', 'MIDDLE EAST'), false)
+),
+h2 AS (SELECT *, """ + _factor("cat", ["Histórico", "2001"], out="category") + """ FROM h),
+hm AS (
+  SELECT category, category_ord, region, label, avg(mean_richness) AS richness
+  FROM h2 GROUP BY category, category_ord, region, label
+),
+hm2 AS (
+  SELECT m.*, l.lat FROM (SELECT * FROM hm WHERE label = 'O') m
+  LEFT JOIN lats l ON m.region IS NOT DISTINCT FROM l.region
+),
+hrank AS (
+  SELECT region, CAST(dense_rank() OVER (ORDER BY m ASC NULLS LAST, region) AS INTEGER) AS region_ord
+  FROM (SELECT region, avg(richness) AS m FROM hm2 GROUP BY region)
+)""") + """
+SELECT h.category, h.category_ord, h.region, h.label, round(h.richness, 6) AS richness,
+       round(h.lat, 6) AS lat, r.region_ord
+FROM hm2 h LEFT JOIN hrank r ON h.region IS NOT DISTINCT FROM r.region"""
+
+SQL["shannon_by_transect"] = with_ctes(VIEW, """
+sq AS (
+  SELECT region, reef, transect, species, coalesce(sum(quantity), 0) AS q
+  FROM survey WHERE quantity IS NOT NULL AND species IS NOT NULL
+  GROUP BY region, reef, transect, species
+),
+st AS (SELECT *, sum(q) OVER (PARTITION BY region, reef, transect) AS t FROM sq)""") + """
+SELECT concat_ws('_', coalesce(region, 'NA'), coalesce(reef, 'NA'), coalesce(CAST(transect AS VARCHAR), 'NA'))
+         AS transect_id,
+       region, reef, transect,
+       round(coalesce(0.0 - sum(CASE WHEN q > 0 THEN (q / t) * ln(q / t) END), 0.0), 6) AS shannon_index
+FROM st GROUP BY region, reef, transect"""
+
+# --- chart tables -----------------------------------------------------------------------
+SQL["chart_biomass_region"] = with_ctes(
+    VIEW, FISH, BRAW, sites_cte("braw", "bal"),
+    """
+br AS (
+  SELECT year, region, avg(biomass) AS mean_biomass, stddev_samp(biomass) AS sd_biomass, count(*) AS n,
+         stddev_samp(biomass) / sqrt(count(*)) AS se_biomass
+  FROM bal GROUP BY year, region
+)""") + """
+SELECT year, region, round(mean_biomass, 6) AS mean_biomass, round(sd_biomass, 6) AS sd_biomass, n,
+       round(se_biomass, 6) AS se_biomass, round(mean_biomass - se_biomass, 6) AS ymin,
+       round(mean_biomass + se_biomass, 6) AS ymax, 4.0 AS reference_line
+FROM br WHERE NOT coalesce(region IN ('AMERICA'), false)"""
+
+SQL["chart_biomass_protection"] = with_ctes(
+    VIEW, FISH, BRAW, sites_cte("braw", "bal"),
+    _trend_cte("bp", "bal", "year, protection_level", "biomass")) + f"""
+SELECT year, {_factor('protection_level', [k for k, _ in PROT], [v for _, v in PROT])},
+       round(mean_biomass, 6) AS mean_biomass, round(se_biomass, 6) AS se_biomass,
+       round(mean_biomass - se_biomass, 6) AS ymin, round(mean_biomass + se_biomass, 6) AS ymax,
+       4.0 AS reference_line
+FROM bp"""
+
+SQL["chart_coral_region"] = with_ctes(
+    VIEW, INV, CORAL, sites_cte("coral", "cbal"),
+    _trend_cte("cbr", "cbal", "year, region, taxa3", "quantity"),
+    f"""
+cr AS (
+  SELECT c.year, {_factor('c.region', ORDER_NS, out='region')}, c.taxa3, c.mean_quantity, c.se_quantity,
+         l.lat
+  FROM cbr c LEFT JOIN lats l ON c.region IS NOT DISTINCT FROM l.region
+)""") + """
+SELECT year, region, region_ord, taxa3, round(mean_quantity, 6) AS mean_quantity,
+       round(se_quantity, 6) AS se_quantity, round(lat, 6) AS lat,
+       round(mean_quantity - se_quantity, 6) AS ymin, round(mean_quantity + se_quantity, 6) AS ymax
+FROM cr WHERE NOT coalesce(region IN ('AMERICA'), false)"""
+
+SQL["chart_coral_protection"] = with_ctes(
+    VIEW, INV, CORAL, sites_cte("coral", "cbal"),
+    _trend_cte("cbp", "cbal", "year, protection_level, taxa3", "quantity")) + """
+SELECT year, protection_level, taxa3, round(mean_quantity, 6) AS mean_quantity,
+       round(se_quantity, 6) AS se_quantity,
+       round(mean_quantity - se_quantity, 6) AS ymin, round(mean_quantity + se_quantity, 6) AS ymax
+FROM cbp"""
+
+SQL["chart_echinoderm_log"] = with_ctes(
+    VIEW, INV, ECH, sites_cte("ech", "ebal"),
+    _trend_cte("ebr", "ebal", "year, region, taxa2", "quantity"),
+    f"""
+er AS (
+  SELECT e.year, {_factor('e.region', ORDER_NS, out='region')}, e.taxa2, e.mean_quantity, e.se_quantity,
+         l.lat
+  FROM ebr e LEFT JOIN lats l ON e.region IS NOT DISTINCT FROM l.region
+),
+er2 AS (
+  SELECT *, ln(1 + mean_quantity) AS log_quan, ln(1 + se_quantity) AS se_log
+  FROM er WHERE NOT coalesce(region IN ('AMERICA'), false)
+)""") + """
+SELECT year, region, region_ord, taxa2, round(mean_quantity, 6) AS mean_quantity,
+       round(se_quantity, 6) AS se_quantity, round(lat, 6) AS lat, round(log_quan, 6) AS log_quan,
+       round(se_log, 6) AS se_log, round(log_quan - se_log, 6) AS ymin, round(log_quan + se_log, 6) AS ymax
+FROM er2"""
