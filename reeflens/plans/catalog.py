@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from ..operators.outliers import drop_flagged, size_check
+from ..operators.smooth import smooth_trend
 from ..operators.trends import log_scale, with_bounds
 from ..sources import driver_tables as dt
 from . import charts, diversity, fish, invertebrates, smooth
@@ -35,9 +36,11 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 class Inputs:
     """Survey view and lookups of one test-table directory (built lazily)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, survey: DataFrame | None = None):
         self.spark, self.sf_dir = spark, sf_dir
         self._cache: dict[str, object] = {}
+        if survey is not None:
+            self._cache["survey"] = survey
 
     def _get(self, key: str, build: Callable[[], object]):
         if key not in self._cache:
@@ -70,10 +73,11 @@ class Inputs:
         return self._get("binv", lambda: invertebrates.inv_species_reef(self.inv, P))
 
 
-def _q(build: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return rounded(build(Inputs(spark, sf_dir)))
+def _q(build: Callable[[Inputs], DataFrame]) -> Callable[..., DataFrame]:
+    def run(spark: SparkSession, sf_dir: str, survey: DataFrame | None = None) -> DataFrame:
+        return rounded(build(Inputs(spark, sf_dir, survey)))
     run.__doc__ = build.__doc__
+    run.uses_survey = True
     return run
 
 
@@ -130,6 +134,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "coral_trend_protection_linear": _q(lambda i: smooth.linear_trend(
         invertebrates.coral_by_protection(invertebrates.balanced_coral(i.inv, P).data),
         "year", "mean_quantity", ["protection_level", "taxa3"])),
+    "coral_trend_region_smooth": _q(lambda i: smooth_trend(
+        invertebrates.coral_by_region(invertebrates.balanced_coral(i.inv, P).data),
+        "year", "mean_quantity", ["region", "taxa3"], P.gam_k).drop("_lo", "_hi")),
+    "coral_trend_protection_smooth": _q(lambda i: smooth_trend(
+        invertebrates.coral_by_protection(invertebrates.balanced_coral(i.inv, P).data),
+        "year", "mean_quantity", ["protection_level", "taxa3"], P.gam_k).drop("_lo", "_hi")),
     "echinoderm_reef": _q(lambda i: invertebrates.echinoderm_reef(i.inv, P).data),
     "echinoderm_by_region": _q(lambda i: invertebrates.echinoderm_by_region(
         invertebrates.echinoderm_reef(i.inv, P).data)),
@@ -152,6 +162,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         diversity.richness_by_region(diversity.richness_reef(i.survey, P).data), i.lats, P)),
     "shannon_by_transect": _q(lambda i: diversity.shannon_by_transect(i.survey)),
     # chart tables
+    "chart_top_fish_3p": _q(lambda i: charts.banded_panels(
+        fish.top_fish(i.balanced_fish(3), fish.species_functional(i.balanced_fish(3)), i.lats, P, "north", 3),
+        fish.top_fish(i.balanced_fish(3), fish.species_functional(i.balanced_fish(3)), i.lats, P, "south", 3),
+        P)),
+    "chart_top_inv": _q(lambda i: charts.banded_panels(
+        invertebrates.top_inv(i.balanced_inv, i.lats, P, "north"),
+        invertebrates.top_inv(i.balanced_inv, i.lats, P, "south"), P)),
     "chart_biomass_region": _q(lambda i: charts.biomass_region_chart(
         fish.biomass_by_region(fish.balanced_biomass(i.fish, P).data), P)),
     "chart_biomass_protection": _q(lambda i: charts.biomass_protection_chart(

@@ -25,7 +25,7 @@ survey AS (
     CASE WHEN p.p_size > 45 THEN 'n/a' ELSE CAST(p.p_size AS VARCHAR) END AS trophic_level,
     CASE WHEN l.l_discount = 0 THEN NULL ELSE l.l_quantity * l.l_discount * 10 END AS size,
     CASE WHEN l.l_linenumber = 7 AND l.l_quantity > 40 THEN NULL
-         ELSE l.l_extendedprice / 1000 END AS biomass,
+         ELSE l.l_quantity * CAST(p.p_size AS DOUBLE) / 16.0 END AS biomass,
     l.l_quantity AS quantity,
     round_even(CAST(20.0 + CAST(c.c_nationkey AS DOUBLE) * 0.5 AS DOUBLE), 0) AS degree
   FROM lineitem l
@@ -619,3 +619,12 @@ SELECT year, region, region_ord, taxa2, round(mean_quantity, 6) AS mean_quantity
        round(se_quantity, 6) AS se_quantity, round(lat, 6) AS lat, round(log_quan, 6) AS log_quan,
        round(se_log, 6) AS se_log, round(log_quan - se_log, 6) AS ymin, round(log_quan + se_log, 6) AS ymax
 FROM er2"""
+
+
+def _banded(north: str, south: str) -> str:
+    return (f"SELECT *, 'Arriba de 26°' AS band FROM ({north}) "
+            f"UNION ALL SELECT *, 'Debajo de 26°' AS band FROM ({south})")
+
+
+SQL["chart_top_fish_3p"] = _banded(SQL["top_fish_north_3p"], SQL["top_fish_south_3p"])
+SQL["chart_top_inv"] = _banded(SQL["top_inv_north"], SQL["top_inv_south"])

@@ -20,14 +20,24 @@ species            ``p_name``
 taxa2 / taxa3      ``p_type`` / ``p_brand``
 trophic_level      ``p_size`` as text, ``'n/a'`` above 45 (unparsable -> NULL)
 size               ``l_quantity * l_discount * 10``, NULL when there is no discount
-biomass            ``l_extendedprice / 1000``, NULL on line 7 above 40 units
+biomass            ``l_quantity * p_size / 16``, NULL on line 7 above 40 units
 quantity           ``l_quantity``
 =================  ==================================================
 
+Measures are dyadic rationals (integers, halves, sixteenths), so every sum is
+exact in binary floating point whatever the summation order: results do not
+depend on how a shuffle happened to order the rows, and two engines agree
+bit for bit (a decimal measure such as ``l_extendedprice / 1000`` produces
+exact decimal ties that different summation orders round differently).
+
 Join plan: the geography (25 nations, 5 regions) is broadcast after a size
-check; orders are joined to customers first (the smaller side), then line
-items are joined to that on the order key and to parts on the part key.
-Only the columns used are read (Parquet column pruning).
+check; orders are joined to customers first, then line items are joined to
+that on the order key and to parts on the part key.  The fact-to-fact joins
+carry a ``merge`` hint: a fact table is never broadcast, whatever a
+static size estimate says (at scale these are sort-merge joins on the keys;
+AQE still coalesces partitions and splits skewed ones).  Only the columns
+used are read (Parquet column pruning), and label filters are pushed into
+the orders scan.
 """
 
 from __future__ import annotations
@@ -92,15 +102,16 @@ def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
 def survey_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The combined survey (after name cleaning, with ``degree``) over the test tables."""
     li = _read(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount",
         "l_returnflag", "l_linestatus")
     o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     c = _read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     p = _read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     geo = checked_broadcast(geography(spark, sf_dir))
     cust = c.join(geo, c.c_nationkey == geo.n_nationkey)
-    orders = o.join(cust, o.o_custkey == cust.c_custkey)
-    fact = li.join(orders, li.l_orderkey == orders.o_orderkey).join(p, li.l_partkey == p.p_partkey)
+    orders = o.hint("merge").join(cust, o.o_custkey == cust.c_custkey)
+    fact = (li.hint("merge").join(orders, li.l_orderkey == orders.o_orderkey)
+              .hint("merge").join(p, li.l_partkey == p.p_partkey))
     lat = _latitude("c_nationkey")
     return fact.select(
         F.col("o_orderstatus").alias("label"),
@@ -120,7 +131,7 @@ def survey_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_discount") == 0, F.lit(None).cast("double"))
          .otherwise(F.col("l_quantity") * F.col("l_discount") * F.lit(10)).alias("size"),
         F.when((F.col("l_linenumber") == 7) & (F.col("l_quantity") > 40), F.lit(None).cast("double"))
-         .otherwise(F.col("l_extendedprice") / F.lit(1000)).alias("biomass"),
+         .otherwise(F.col("l_quantity") * F.col("p_size").cast("double") / F.lit(16.0)).alias("biomass"),
         F.col("l_quantity").alias("quantity"),
         round_half_even(lat).alias("degree"),
     )
