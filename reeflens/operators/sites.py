@@ -12,11 +12,17 @@ A site is (region, reef).  Over the whole input:
 4. sites with ``years_monitored >= threshold`` are kept and counted per region;
 5. the input rows of kept sites are returned, columns unchanged.
 
-Plan: one ``distinct`` on (site, year) feeds everything.  ``total`` and the
-threshold are scalar subqueries (``DataFrame.scalar()``): Spark runs each
-once and inlines the value, so no cross join and no ``collect()`` occurs.
-The final step is a null-safe left-semi join, whose strategy (broadcast or
-sort-merge) AQE picks from the measured size of the kept-site list.
+Plan: the input -- an aggregate at reef grain in every pipeline -- is
+referenced four times (two scalar subqueries, the site list, the semi join),
+so by default it is materialised once with ``checkpoint()`` in the shared
+``spark.checkpoint.dir``: the upstream scan and aggregations run exactly
+once and the lineage is cut (a lost executor re-reads the checkpoint instead
+of recomputing the fact pipeline).  One ``distinct`` on (site, year) feeds
+everything.  ``total`` and the threshold are scalar subqueries
+(``DataFrame.scalar()``): Spark runs each once and inlines the value, so no
+cross join and no ``collect()`` occurs.  The final step is a null-safe
+left-semi join, whose strategy (broadcast or sort-merge) AQE picks from the
+measured size of the kept-site list.
 """
 
 from __future__ import annotations
@@ -27,6 +33,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .joins import semi_join_null_safe
 
 
@@ -48,8 +55,11 @@ class SiteSelection:
 
 def consistent_sites(df: DataFrame, min_years: int | None = None,
                      site_cols: Sequence[str] = ("region", "reef"), year_col: str = "year",
-                     group_col: str = "region") -> SiteSelection:
+                     group_col: str = "region", materialize: bool = True) -> SiteSelection:
     site_cols = list(site_cols)
+    if materialize:
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     site_years = df.select(*site_cols, year_col).distinct()
 
     total_df = site_years.select(year_col).distinct().agg(F.count(F.lit(1)).alias("total_years"))

@@ -48,12 +48,27 @@ def _cardinal_cubic(u: Column) -> Column:
 
 
 def basis_columns(x: Column, lo: Column, hi: Column, k: int) -> list[Column]:
-    """``k`` cubic B-splines with equally spaced knots spanning [lo, hi]."""
+    """``k`` cubic B-splines with equally spaced knots spanning [lo, hi].
+
+    ``x``, ``lo`` and ``hi`` should be plain column references: each is used
+    several times per basis function.
+    """
     nseg = k - 3
     h = (hi - lo) / F.lit(float(nseg))
     return [_cardinal_cubic((x - (lo + F.lit(float(j - 3)) * h)) / h) for j in range(k)]
 
 
+def with_basis(df: DataFrame, x: str, lo: str, hi: str, k: int, prefix: str = "_b") -> DataFrame:
+    """Add ``k`` basis columns; the knot offsets are projected first so every
+    expression stays a few nodes deep."""
+    nseg = k - 3
+    h = (F.col(hi) - F.col(lo)) / F.lit(float(nseg))
+    u = df.withColumns({f"{prefix}u{j}": (F.col(x) - (F.col(lo) + F.lit(float(j - 3)) * h)) / h
+                        for j in range(k)})
+    return u.withColumns({f"{prefix}{j}": _cardinal_cubic(F.col(f"{prefix}u{j}")) for j in range(k)}) \
+            .drop(*[f"{prefix}u{j}" for j in range(k)])
+
+
 def _penalty(k: int) -> np.ndarray:
     d = np.diff(np.eye(k), n=2, axis=0)
     return d.T @ d
@@ -89,10 +104,9 @@ def smooth_trend(df: DataFrame, x: str, y: str, series: Sequence[str], k: int =
     series = list(series)
     src = df.select(*series, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")) \
             .filter(F.col("_x").isNotNull() & F.col("_y").isNotNull())
-    lo = src.agg(F.min("_x")).scalar()
-    hi = src.agg(F.max("_x")).scalar()
-    b = basis_columns(F.col("_x"), lo, hi, k)
-    src = src.select(*series, "_x", "_y", *[c.alias(f"_b{j}") for j, c in enumerate(b)])
+    rng = src.agg(F.min("_x").alias("lo"), F.max("_x").alias("hi"))
+    lo, hi = rng.select("lo").scalar(), rng.select("hi").scalar()
+    src = with_basis(src.withColumns({"_lo": lo, "_hi": hi}), "_x", "_lo", "_hi", k)
     aggs = [F.count(F.lit(1)).alias("n"), F.sum(F.col("_y") * F.col("_y")).alias("yy"),
             F.sum("_y").alias("sy"), F.min("_x").alias("x_min"), F.max("_x").alias("x_max")]
     for i in range(k):
@@ -141,10 +155,11 @@ def fitted_values(df: DataFrame, models: DataFrame, x: str, series: Sequence[str
                   k: int = 10, out: str = "fitted") -> DataFrame:
     """Evaluate each series' spline at its rows (models are one row per series)."""
     m = checked_broadcast(models.select(*series, "coefficients", "_lo", "_hi"))
-    j = _null_safe_join(df, m, list(series), "left")
-    b = basis_columns(F.col(x).cast("double"), F.col("_lo"), F.col("_hi"), k)
+    j = _null_safe_join(df, m, list(series), "left").withColumn("_fx", F.col(x).cast("double"))
+    j = with_basis(j, "_fx", "_lo", "_hi", k, prefix="_fb")
     fitted = None
-    for i, c in enumerate(b):
-        term = F.col("coefficients")[i] * c
+    for i in range(k):
+        term = F.col("coefficients")[i] * F.col(f"_fb{i}")
         fitted = term if fitted is None else fitted + term
-    return j.withColumn(out, fitted).drop("coefficients", "_lo", "_hi")
+    return (j.withColumn(out, fitted)
+             .drop("coefficients", "_lo", "_hi", "_fx", *[f"_fb{i}" for i in range(k)]))

@@ -45,13 +45,18 @@ def reef_mean(df: DataFrame, value: str, dims: Sequence[str] = (), strict: bool
 def mixed_grain(df: DataFrame, value: str, transect_region: str) -> DataFrame:
     """Reef means for every region except one, transect sums for that one.
 
-    The two branches are united by name; ``depth`` and ``transect`` are NULL on
-    the reef-grain branch.  A NULL region matches neither branch (``!=`` and
-    ``==`` both drop it), as in the analysis.
+    The transect sums are computed once for all regions (one aggregation,
+    one shuffle) and then split: both branches of the union read the same
+    exchange, so the input is scanned once.  The two branches are united by
+    name; ``depth`` and ``transect`` are NULL on the reef-grain branch.  A
+    NULL region matches neither branch (``!=`` and ``==`` both drop it), as
+    in the analysis.
     """
     r = F.col("region")
-    other = reef_mean(df.filter(r != F.lit(transect_region)), value, strict=True)
-    one = transect_sum(df.filter(r == F.lit(transect_region)), value, strict=True)
+    t = transect_sum(df, value, strict=True)
+    other = (t.filter(r != F.lit(transect_region))
+              .groupBy(*REEF_KEYS).agg(mean_strict(value).alias(value)))
+    one = t.filter(r == F.lit(transect_region))
     return union_fill(other, one)
 
 
