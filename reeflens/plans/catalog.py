@@ -36,11 +36,14 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 class Inputs:
     """Survey view and lookups of one test-table directory (built lazily)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, survey: DataFrame | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, survey: DataFrame | None = None,
+                 fish_stem: DataFrame | None = None):
         self.spark, self.sf_dir = spark, sf_dir
         self._cache: dict[str, object] = {}
         if survey is not None:
             self._cache["survey"] = survey
+        if fish_stem is not None:
+            self._cache["fish"] = fish_stem
 
     def _get(self, key: str, build: Callable[[], object]):
         if key not in self._cache:
@@ -74,8 +77,9 @@ class Inputs:
 
 
 def _q(build: Callable[[Inputs], DataFrame]) -> Callable[..., DataFrame]:
-    def run(spark: SparkSession, sf_dir: str, survey: DataFrame | None = None) -> DataFrame:
-        return rounded(build(Inputs(spark, sf_dir, survey)))
+    def run(spark: SparkSession, sf_dir: str, survey: DataFrame | None = None,
+            fish_stem: DataFrame | None = None) -> DataFrame:
+        return rounded(build(Inputs(spark, sf_dir, survey, fish_stem)))
     run.__doc__ = build.__doc__
     run.uses_survey = True
     return run

@@ -58,5 +58,5 @@ def test_scans_are_pruned(plans):
 
 def test_fact_joins_are_sort_merge(plans):
     # fact-to-fact joins of the survey view carry merge hints: never broadcast
-    for name in ("fish_productivity", "shannon_by_transect", "richness_reef"):
+    for name in ("fish_productivity", "shannon_by_transect", "invertebrates"):
         assert plans[name].count("SortMergeJoin") >= 3, name
