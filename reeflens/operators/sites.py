@@ -52,6 +52,11 @@ class SiteSelection:
     counts: DataFrame
     summary: DataFrame
 
+    def report(self) -> DataFrame:
+        """O1: sites by region, most-monitored first (NULLs last), for printing."""
+        return self.sites.orderBy(F.col("region").asc_nulls_last(),
+                                  F.col("years_monitored").desc_nulls_last())
+
 
 def consistent_sites(df: DataFrame, min_years: int | None = None,
                      site_cols: Sequence[str] = ("region", "reef"), year_col: str = "year",

@@ -170,6 +170,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         fish.top_fish(i.balanced_fish(3), fish.species_functional(i.balanced_fish(3)), i.lats, P, "north", 3),
         fish.top_fish(i.balanced_fish(3), fish.species_functional(i.balanced_fish(3)), i.lats, P, "south", 3),
         P)),
+    "chart_top_fish_2p": _q(lambda i: charts.banded_panels(
+        fish.top_fish(i.balanced_fish(2), fish.species_functional(i.balanced_fish(3)), i.lats, P, "north", 2),
+        fish.top_fish(i.balanced_fish(2), fish.species_functional(i.balanced_fish(3)), i.lats, P, "south", 2),
+        P)),
     "chart_top_inv": _q(lambda i: charts.banded_panels(
         invertebrates.top_inv(i.balanced_inv, i.lats, P, "north"),
         invertebrates.top_inv(i.balanced_inv, i.lats, P, "south"), P)),

@@ -628,3 +628,4 @@ def _banded(north: str, south: str) -> str:
 
 SQL["chart_top_fish_3p"] = _banded(SQL["top_fish_north_3p"], SQL["top_fish_south_3p"])
 SQL["chart_top_inv"] = _banded(SQL["top_inv_north"], SQL["top_inv_south"])
+SQL["chart_top_fish_2p"] = _banded(SQL["top_fish_north_2p"], SQL["top_fish_south_2p"])
