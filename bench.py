@@ -43,6 +43,8 @@ def main() -> None:
     spark = get_session(f"local[{cpus}]", int(cpus) * 2, app_name="reeflens-bench")
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/reeflens-bench-{uuid.uuid4().hex}"
     times: dict[str, float] = {}
+    # JVM warm-up (class loading, first code generation) is not query work.
+    spark.range(1000).groupBy().count().collect()
 
     t = time.time()
     write_survey(dt.survey_view(spark, sf_dir), f"{root}/survey")

@@ -96,7 +96,7 @@ def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
     """nation ⋈ region: (n_nationkey, r_name)."""
     n = _read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = _read(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    return n.join(checked_broadcast(r), n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name")
+    return n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name")
 
 
 def survey_view(spark: SparkSession, sf_dir: str) -> DataFrame:
