@@ -16,11 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from ..operators.outliers import drop_flagged, size_check
-from ..operators.smooth import smooth_trend
-from ..operators.trends import log_scale, with_bounds
 from ..sources import driver_tables as dt
-from . import charts, diversity, fish, invertebrates, smooth
 from .profile import Profile
+from .report import RESULTS, Analysis
 
 P: Profile = dt.OBSERVATION
 
@@ -33,54 +31,20 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
         for f in df.schema.fields])
 
 
-class Inputs:
-    """Survey view and lookups of one test-table directory (built lazily)."""
+def analysis(spark: SparkSession, sf_dir: str, survey: DataFrame | None = None,
+             fish_stem: DataFrame | None = None) -> Analysis:
+    """The analysis over the test tables (survey view and lookups built lazily)."""
+    return Analysis(survey if survey is not None else dt.survey_view(spark, sf_dir),
+                    dt.commercial_lookup(spark, sf_dir), dt.trait_lookup(spark, sf_dir),
+                    dt.latitude_lookup(spark, sf_dir), P, fish_stem)
 
-    def __init__(self, spark: SparkSession, sf_dir: str, survey: DataFrame | None = None,
-                 fish_stem: DataFrame | None = None):
-        self.spark, self.sf_dir = spark, sf_dir
-        self._cache: dict[str, object] = {}
-        if survey is not None:
-            self._cache["survey"] = survey
-        if fish_stem is not None:
-            self._cache["fish"] = fish_stem
 
-    def _get(self, key: str, build: Callable[[], object]):
-        if key not in self._cache:
-            self._cache[key] = build()
-        return self._cache[key]
+def _q(name: str) -> Callable[..., DataFrame]:
+    build = RESULTS[name]
 
-    @property
-    def survey(self) -> DataFrame:
-        return self._get("survey", lambda: dt.survey_view(self.spark, self.sf_dir))
-
-    @property
-    def lats(self) -> DataFrame:
-        return self._get("lats", lambda: dt.latitude_lookup(self.spark, self.sf_dir))
-
-    @property
-    def fish(self) -> DataFrame:
-        return self._get("fish", lambda: fish.fish_productivity(
-            self.survey, dt.commercial_lookup(self.spark, self.sf_dir),
-            dt.trait_lookup(self.spark, self.sf_dir), P))
-
-    @property
-    def inv(self) -> DataFrame:
-        return self._get("inv", lambda: invertebrates.invertebrates(self.survey, P))
-
-    def balanced_fish(self, scheme: int) -> DataFrame:
-        return self._get(f"bf{scheme}", lambda: fish.fish_species_reef(self.fish, P, scheme))
-
-    @property
-    def balanced_inv(self) -> DataFrame:
-        return self._get("binv", lambda: invertebrates.inv_species_reef(self.inv, P))
-
-
-def _q(build: Callable[[Inputs], DataFrame]) -> Callable[..., DataFrame]:
     def run(spark: SparkSession, sf_dir: str, survey: DataFrame | None = None,
             fish_stem: DataFrame | None = None) -> DataFrame:
-        return rounded(build(Inputs(spark, sf_dir, survey, fish_stem)))
-    run.__doc__ = build.__doc__
+        return rounded(build(analysis(spark, sf_dir, survey, fish_stem)))
     run.uses_survey = True
     return run
 
@@ -102,90 +66,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # D1 alone, on a table with real outliers
     "size_outliers_events": _events_outliers,
     "size_flags_events": _events_flags,
-    # fish (Q1-Q13)
-    "fish_productivity": _q(lambda i: i.fish),
-    "biomass_raw": _q(lambda i: fish.biomass_raw(i.fish, P)),
-    "balanced_biomass": _q(lambda i: fish.balanced_biomass(i.fish, P).data),
-    "balanced_biomass_site_counts": _q(lambda i: fish.balanced_biomass(i.fish, P).counts),
-    "balanced_biomass_selection": _q(lambda i: fish.balanced_biomass(i.fish, P).summary),
-    "biomass_by_region": _q(lambda i: fish.biomass_by_region(fish.balanced_biomass(i.fish, P).data)),
-    "biomass_by_protection": _q(
-        lambda i: fish.biomass_by_protection(fish.balanced_biomass(i.fish, P).data, P)),
-    "biomass_functional_reef": _q(lambda i: fish.biomass_functional_reef(i.fish).data),
-    "biomass_by_functional": _q(
-        lambda i: fish.biomass_by_functional(fish.biomass_functional_reef(i.fish).data, P)),
-    "fish_species_reef": _q(lambda i: i.balanced_fish(3)),
-    "species_functional": _q(lambda i: fish.species_functional(i.balanced_fish(3))),
-    "top_fish_north_3p": _q(lambda i: fish.top_fish(
-        i.balanced_fish(3), fish.species_functional(i.balanced_fish(3)), i.lats, P, "north", 3)),
-    "top_fish_south_3p": _q(lambda i: fish.top_fish(
-        i.balanced_fish(3), fish.species_functional(i.balanced_fish(3)), i.lats, P, "south", 3)),
-    "top_fish_north_2p": _q(lambda i: fish.top_fish(
-        i.balanced_fish(2), fish.species_functional(i.balanced_fish(3)), i.lats, P, "north", 2)),
-    "top_fish_south_2p": _q(lambda i: fish.top_fish(
-        i.balanced_fish(2), fish.species_functional(i.balanced_fish(3)), i.lats, P, "south", 2)),
-    # invertebrates (Q14-Q28)
-    "invertebrates": _q(lambda i: i.inv),
-    "coral_reef": _q(lambda i: invertebrates.coral_reef(i.inv, P)),
-    "balanced_coral": _q(lambda i: invertebrates.balanced_coral(i.inv, P).data),
-    "coral_by_region": _q(lambda i: invertebrates.coral_by_region(
-        invertebrates.balanced_coral(i.inv, P).data)),
-    "coral_by_protection": _q(lambda i: invertebrates.coral_by_protection(
-        invertebrates.balanced_coral(i.inv, P).data)),
-    "coral_trend_region_linear": _q(lambda i: smooth.linear_trend(
-        invertebrates.coral_by_region(invertebrates.balanced_coral(i.inv, P).data),
-        "year", "mean_quantity", ["region", "taxa3"])),
-    "coral_trend_protection_linear": _q(lambda i: smooth.linear_trend(
-        invertebrates.coral_by_protection(invertebrates.balanced_coral(i.inv, P).data),
-        "year", "mean_quantity", ["protection_level", "taxa3"])),
-    "coral_trend_region_smooth": _q(lambda i: smooth_trend(
-        invertebrates.coral_by_region(invertebrates.balanced_coral(i.inv, P).data),
-        "year", "mean_quantity", ["region", "taxa3"], P.gam_k).drop("_lo", "_hi")),
-    "coral_trend_protection_smooth": _q(lambda i: smooth_trend(
-        invertebrates.coral_by_protection(invertebrates.balanced_coral(i.inv, P).data),
-        "year", "mean_quantity", ["protection_level", "taxa3"], P.gam_k).drop("_lo", "_hi")),
-    "echinoderm_reef": _q(lambda i: invertebrates.echinoderm_reef(i.inv, P).data),
-    "echinoderm_by_region": _q(lambda i: invertebrates.echinoderm_by_region(
-        invertebrates.echinoderm_reef(i.inv, P).data)),
-    "echinoderm_by_protection": _q(lambda i: invertebrates.echinoderm_by_protection(
-        invertebrates.echinoderm_reef(i.inv, P).data)),
-    "invertebrates_by_region": _q(lambda i: invertebrates.invertebrates_by_region(i.inv, P)),
-    "inv_bars_absolute": _q(lambda i: invertebrates.inv_bars_absolute(
-        invertebrates.invertebrates_by_region(i.inv, P), i.lats, P)),
-    "inv_bars_relative": _q(lambda i: invertebrates.inv_bars_relative(
-        invertebrates.invertebrates_by_region(i.inv, P), i.lats, P)),
-    "inv_species_reef": _q(lambda i: i.balanced_inv),
-    "species_taxa": _q(lambda i: invertebrates.species_taxa(i.balanced_inv)),
-    "top_inv_south": _q(lambda i: invertebrates.top_inv(i.balanced_inv, i.lats, P, "south")),
-    "top_inv_north": _q(lambda i: invertebrates.top_inv(i.balanced_inv, i.lats, P, "north")),
-    # diversity (Q29-Q32)
-    "richness_reef": _q(lambda i: diversity.richness_reef(i.survey, P).data),
-    "richness_by_region": _q(lambda i: diversity.richness_by_region(
-        diversity.richness_reef(i.survey, P).data)),
-    "richness_history": _q(lambda i: diversity.richness_history(
-        diversity.richness_by_region(diversity.richness_reef(i.survey, P).data), i.lats, P)),
-    "shannon_by_transect": _q(lambda i: diversity.shannon_by_transect(i.survey)),
-    # chart tables
-    "chart_top_fish_3p": _q(lambda i: charts.banded_panels(
-        fish.top_fish(i.balanced_fish(3), fish.species_functional(i.balanced_fish(3)), i.lats, P, "north", 3),
-        fish.top_fish(i.balanced_fish(3), fish.species_functional(i.balanced_fish(3)), i.lats, P, "south", 3),
-        P)),
-    "chart_top_fish_2p": _q(lambda i: charts.banded_panels(
-        fish.top_fish(i.balanced_fish(2), fish.species_functional(i.balanced_fish(3)), i.lats, P, "north", 2),
-        fish.top_fish(i.balanced_fish(2), fish.species_functional(i.balanced_fish(3)), i.lats, P, "south", 2),
-        P)),
-    "chart_top_inv": _q(lambda i: charts.banded_panels(
-        invertebrates.top_inv(i.balanced_inv, i.lats, P, "north"),
-        invertebrates.top_inv(i.balanced_inv, i.lats, P, "south"), P)),
-    "chart_biomass_region": _q(lambda i: charts.biomass_region_chart(
-        fish.biomass_by_region(fish.balanced_biomass(i.fish, P).data), P)),
-    "chart_biomass_protection": _q(lambda i: charts.biomass_protection_chart(
-        fish.biomass_by_protection(fish.balanced_biomass(i.fish, P).data, P), P)),
-    "chart_coral_region": _q(lambda i: charts.region_panel_chart(
-        invertebrates.coral_by_region(invertebrates.balanced_coral(i.inv, P).data), i.lats, P)),
-    "chart_coral_protection": _q(lambda i: with_bounds(invertebrates.coral_by_protection(
-        invertebrates.balanced_coral(i.inv, P).data), "mean_quantity", "se_quantity")),
-    "chart_echinoderm_log": _q(lambda i: log_scale(charts.region_panel_chart(
-        invertebrates.echinoderm_by_region(invertebrates.echinoderm_reef(i.inv, P).data), i.lats, P,
-        bounds=False))),
+    # every named result and chart table of the analysis
+    **{name: _q(name) for name in RESULTS},
 }
