@@ -7,6 +7,7 @@ import unicodedata
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql.types import NumericType
 
 
 def clean_name(name: str) -> str:
@@ -51,3 +52,10 @@ def with_clean_names(df: DataFrame) -> DataFrame:
 def drop_first_column(df: DataFrame) -> DataFrame:
     """``select(-1)`` -- drop a column by position (the row id of an export)."""
     return df.drop(df.columns[0])
+
+
+def numeric_columns(df: DataFrame, among: Sequence[str] | None = None) -> list[str]:
+    """``select(where(is.numeric))`` -- numeric columns, chosen from the schema."""
+    names = set(among) if among is not None else None
+    return [f.name for f in df.schema.fields
+            if isinstance(f.dataType, NumericType) and (names is None or f.name in names)]

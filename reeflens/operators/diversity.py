@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.names import numeric_columns
 from ..functions.semantics import mean_strict, n_distinct_na, paste_na, sum_na0
 from .trends import REEF_KEYS, TRANSECT_KEYS
 
@@ -28,7 +29,7 @@ def richness(df: DataFrame, dims: Sequence[str] = ("label",), species: str = "sp
 
 def shannon(df: DataFrame, unit_cols: Sequence[str] = ("region", "reef", "transect"),
             species: str = "species", quantity: str = "quantity",
-            numeric_unit_cols: Sequence[str] = (), id_col: str = "transect_id",
+            numeric_unit_cols: Sequence[str] | str = (), id_col: str = "transect_id",
             out: str = "shannon_index") -> DataFrame:
     """Shannon index per sampling unit, pooling everything else.
 
@@ -39,9 +40,13 @@ def shannon(df: DataFrame, unit_cols: Sequence[str] = ("region", "reef", "transe
 
     ``numeric_unit_cols`` reproduces a quirk of the matrix form: a numeric
     unit column (e.g. ``transect``) left in the species matrix is counted
-    as one more species whose abundance is its own value.  Off by default.
+    as one more species whose abundance is its own value.  Off by default;
+    ``"auto"`` picks the numeric unit columns from the schema (P4), which is
+    what the matrix form does.
     """
     unit_cols = list(unit_cols)
+    if numeric_unit_cols == "auto":
+        numeric_unit_cols = numeric_columns(df, unit_cols)
     base = df.filter(F.col(quantity).isNotNull() & F.col(species).isNotNull())
     q = (base.groupBy(*unit_cols, species)
              .agg(sum_na0(quantity).alias("_q"))

@@ -122,6 +122,8 @@ def test_f8_shannon(spark, rows):
     df4 = df.withColumn("transect", F.when(F.col("reef") == "u", 4).otherwise(F.col("transect")))
     h4 = {r["reef"]: r["shannon_index"] for r in rows(shannon(df4, numeric_unit_cols=("transect",)))}
     assert h4["u"] == pytest.approx(1.039721, **APPROX)
+    h5 = {r["reef"]: r["shannon_index"] for r in rows(shannon(df4, numeric_unit_cols="auto"))}
+    assert h5 == h4
     ids = {r["transect_id"] for r in rows(shannon(df))}
     assert "R_u_1" in ids
 
