@@ -24,7 +24,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.sql.session.timeZone", "UTC")
-          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+          .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if os.environ.get("REEFLENS_DRIVER_MEMORY"):
@@ -38,12 +39,16 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it (a shared file system path); only when it is unset --
-    local tests -- is a fresh scratch folder created.
+    A cluster names it (a shared file system path).  Only in local mode --
+    tests -- is a fresh scratch folder created when it is unset; on a cluster
+    a machine-local folder would be invisible to executors, so that is an
+    error.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or S3)")
         d = tempfile.mkdtemp(prefix="reeflens-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)

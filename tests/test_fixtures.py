@@ -207,3 +207,29 @@ def test_nan_to_null(spark, rows):
     df = spark.createDataFrame([(float("nan"), 1), (2.0, 2)], "x double, i int")
     out = S.nan_to_null(df).agg(F.avg("x").alias("m")).collect()[0]["m"]
     assert out == 2.0
+
+
+def test_d16_rules_null_semantics(spark, rows):
+    from reeflens.operators.outliers import SetRule, YearRule, drop_rule_outliers
+    df = spark.createDataFrame(
+        [(1, "Corredor", "Haemulidae", 2020, 5.0),    # dropped: in both sets, above limit
+         (2, "Corredor", "Haemulidae", 2020, None),   # dropped: NULL biomass inside both sets
+         (3, "La Paz", "Haemulidae", 2020, None),     # kept: outside the region set
+         (4, None, "Haemulidae", 2020, 9.0),          # kept: NULL region is not a member
+         (5, "Santa Rosalia", "Labridae", 2022, 2.6),  # dropped by the year rule
+         (6, "Santa Rosalia", "Labridae", None, 2.6),  # dropped: NULL year -> NULL predicate
+         (7, "Santa Rosalia", "Labridae", 2021, 2.6)],  # kept
+        "id int, region string, family string, year int, biomass double")
+    out = drop_rule_outliers(df, [SetRule(("Corredor", "Santa Rosalia"), ("Haemulidae", "Carangidae"), 3.0)],
+                             [YearRule("Santa Rosalia", 2022, 2.5)])
+    assert sorted(r["id"] for r in out.collect()) == [3, 4, 7]
+
+
+def test_d4_mixed_grain(spark, rows):
+    from reeflens.operators.trends import mixed_grain
+    df = _survey(spark, [(2020, "A", "P", "r", 5.0, 1, 1.0), (2020, "A", "P", "r", 5.0, 2, 3.0),
+                         (2020, "SR", "P", "s", 5.0, 1, 2.0), (2020, "SR", "P", "s", 5.0, 2, 4.0),
+                         (2020, None, "P", "n", 5.0, 1, 7.0)])
+    out = rows(mixed_grain(df, "biomass", "SR"), "region", "transect")
+    assert [(r["region"], r["transect"], r["biomass"]) for r in out] == \
+        [("A", None, 2.0), ("SR", 1, 2.0), ("SR", 2, 4.0)]

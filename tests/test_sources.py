@@ -69,3 +69,20 @@ def test_site_report_order(spark):
                                 (None, "n", 2001)], "region string, reef string, year int")
     rep = [(r["region"], r["reef"]) for r in consistent_sites(df, min_years=1).report().collect()]
     assert rep == [("A", "a2"), ("A", "a1"), ("B", "b1"), (None, "n")]
+
+
+def test_stored_survey_prunes_by_label(spark):
+    import contextlib
+    import io
+
+    from reeflens.sources.survey import write_survey
+    path = os.path.join(tempfile.mkdtemp(prefix="reeflens-store-"), "survey")
+    write_survey(spark.createDataFrame([("PEC", 2001, 1.0), ("INV", 2001, 2.0)],
+                                       "label string, year int, biomass double"), path)
+    df = spark.read.parquet(path).filter(F.col("label") == "PEC").select("year", "biomass")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="formatted")
+    plan = buf.getvalue()
+    assert "PartitionFilters: [isnotnull(label" in plan and "(label#" in plan
+    assert df.count() == 1
