@@ -21,10 +21,10 @@ of recomputing the fact pipeline).  One ``distinct`` on (site, year) feeds
 everything.  ``total`` and the threshold are scalar subqueries
 (``DataFrame.scalar()``): Spark runs each once and inlines the value, so no
 cross join and no ``collect()`` occurs.  The final step is a null-safe
-left-semi join.  The kept-site list (one row per site) is checkpointed too and
-broadcast after a row-count check, so reusing ``data`` downstream costs a
-scan of the checkpoint and a map-side semi join -- no shuffle, and the
-scalar subqueries are not re-run.
+left-semi join; AQE measures the materialised kept-site list (one row per
+site) and turns the join into a broadcast when it is small.  Reusing
+``data`` downstream re-runs only the cheap site aggregates over the
+checkpointed reef-grain table, never the fact pipeline.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .joins import checked_broadcast, semi_join_null_safe
+from .joins import semi_join_null_safe
 
 
 @dataclass
@@ -90,11 +90,6 @@ def consistent_sites(df: DataFrame, min_years: int | None = None,
                                   threshold.alias("threshold"))
 
     kept = sites.filter(F.col("years_monitored") >= threshold)
-    if materialize:
-        # The kept-site list is small (one row per site) and feeds every use of
-        # ``data``: evaluate the two scalar subqueries once, then broadcast the
-        # list behind a row-count check.
-        kept = checked_broadcast(kept.checkpoint(eager=True))
     counts = kept.groupBy(group_col).agg(F.count(F.lit(1)).alias("site_count"))
     data = semi_join_null_safe(df, kept, site_cols)
     return SiteSelection(data=data, sites=sites, kept=kept, counts=counts, summary=summary)
