@@ -233,3 +233,32 @@ def test_d4_mixed_grain(spark, rows):
     out = rows(mixed_grain(df, "biomass", "SR"), "region", "transect")
     assert [(r["region"], r["transect"], r["biomass"]) for r in out] == \
         [("A", None, 2.0), ("SR", 1, 2.0), ("SR", 2, 4.0)]
+
+
+def test_d8_order_of_operations(spark, rows):
+    import dataclasses
+
+    from reeflens.plans.fish import species_functional, top_fish
+    p = dataclasses.replace(REFERENCE, top_k=3)
+    cols = ("year int, region string, protection_level string, reef string, functional_name string, "
+            "species string, biomass double, period string")
+    h = "Histórico (1998-2013)"
+    data = [(2010, "Loreto", "P", "r1", "GenPred_solitary", "A", 10.0, h),
+            (2010, "Loreto", "P", "r1", "Other", "E", 9.0, h),
+            (2010, "Loreto", "P", "r1", "Plank", "B", 8.0, h),
+            (2010, "Loreto", "P", "r2", "Pelagic", "B", 100.0, h),      # removed before ranking
+            (2010, "Loreto", "P", "r1", "Crip_solitary", "C", 6.0, h),
+            (2010, "Loreto", "P", "r1", "Pelagic", "C", 20.0, h),       # removed before ranking
+            (2010, "Loreto", "P", "r1", "EpiBent_schooling", "D", 1.0, h),
+            (2010, "La Paz", "P", "r1", "Plank", "Z", 1000.0, h),       # other band
+            (2010, "Cabo Pulmo", "P", "r1", "Plank", "Y", 500.0, h)]    # excluded region
+    bf = spark.createDataFrame(data, cols)
+    lats = spark.createDataFrame([("Loreto", 26.0), ("La Paz", 24.1), ("Cabo Pulmo", 27.0)],
+                                 "region string, lat double")
+    out = rows(top_fish(bf, species_functional(bf), lats, p, "north", 3), "species_ord")
+    assert [(r["species"], r["functional_name"]) for r in out] == \
+        [("B", "Planctívoros"), ("A", "Depredadores solitarios")]
+    # shares are taken over all five species of the band (total 34), not the survivors
+    assert [r["total_biomass"] for r in out] == [34.0, 34.0]
+    assert [round(r["rel_biomass"], 6) for r in out] == [23.529412, 29.411765]
+    assert out[1]["species_key"] == "A___" + h
