@@ -71,3 +71,31 @@ def test_write_results(spark, analysis):
     paths = write_results(analysis, out, ["biomass_by_region", "chart_top_inv"])
     assert spark.read.parquet(paths["biomass_by_region"]).count() == \
         RESULTS["biomass_by_region"](analysis).count()
+
+
+def test_command_line_run(spark):
+    import os
+
+    from reeflens.__main__ import main
+    base = tempfile.mkdtemp(prefix="reeflens-cli-")
+    raw = _survey(spark).drop("degree")
+    raw = raw.toDF(*[c.title() if c != "protection_level" else "Protection_Level" for c in raw.columns])
+    from pyspark.sql import functions as F
+    raw = raw.select(F.monotonically_increasing_id().alias("Row"), *raw.columns)
+    raw.filter(F.col("Year") < 2020).write.parquet(os.path.join(base, "historic"))
+    raw.filter(F.col("Year") >= 2020).write.parquet(os.path.join(base, "current"))
+    spark.createDataFrame([(s, "yes") for s, _, _ in FISH], "Species string, Commercial string") \
+         .write.parquet(os.path.join(base, "comm"))
+    spark.createDataFrame([(s, float(t), "Plank") for s, _, t in FISH],
+                          "Species string, TrophicLevel double, functional_name string") \
+         .write.parquet(os.path.join(base, "traits"))
+    spark.createDataFrame(list(REGIONS.items()), "Region string, Lat double").write.parquet(os.path.join(base, "lats"))
+    out = os.path.join(base, "out")
+    paths = main(["--historic", os.path.join(base, "historic"), "--current", os.path.join(base, "current"),
+                  "--comm-sp", os.path.join(base, "comm"), "--traits", os.path.join(base, "traits"),
+                  "--lats", os.path.join(base, "lats"), "--out", out,
+                  "--results", "fish_productivity,biomass_by_region,top_fish_north_3p"])
+    fishp = spark.read.parquet(paths["fish_productivity"])
+    assert "commercial" in fishp.columns and "functional_name" in fishp.columns
+    assert fishp.filter(F.col("functional_name") == "Plank").count() > 0
+    assert spark.read.parquet(paths["biomass_by_region"]).count() > 0
