@@ -40,7 +40,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1].split(",") if len(sys.argv) > 1 else HEADLINE
-    spark = get_session(f"local[{cpus}]", int(cpus) * 2, app_name="reeflens-bench")
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus))
+    spark = get_session(f"local[{cpus}]", parts, app_name="reeflens-bench")
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/reeflens-bench-{uuid.uuid4().hex}"
     times: dict[str, float] = {}
     # JVM warm-up (class loading, first code generation) is not query work.
