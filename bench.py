@@ -31,6 +31,7 @@ from reeflens.sources.survey import write_survey  # noqa: E402
 HEADLINE = [
     "biomass_by_region", "biomass_by_protection", "biomass_by_functional",
     "top_fish_north_3p", "top_fish_south_2p", "coral_by_region", "coral_trend_region_linear",
+    "coral_trend_region_smooth",
     "invertebrates_by_region", "inv_bars_absolute", "top_inv_south", "richness_by_region",
     "richness_history", "shannon_by_transect", "size_outliers_events",
 ]

@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame
 
 from ..operators.sites import SiteSelection
-from ..operators.smooth import smooth_trend
+from ..operators.smooth import fitted_values, smooth_trend
 from ..operators.trends import log_scale, with_bounds
 from . import charts, diversity, fish, invertebrates, smooth
 from .profile import Profile
@@ -137,6 +137,10 @@ RESULTS: dict[str, Callable[[Analysis], DataFrame]] = {
     "coral_trend_protection_smooth": lambda a: smooth_trend(
         a.coral_by_protection(), "year", "mean_quantity", ["protection_level", "taxa3"],
         a.p.gam_k).drop("_lo", "_hi"),
+    "coral_trend_region_fitted": lambda a: fitted_values(
+        a.coral_by_region(),
+        smooth_trend(a.coral_by_region(), "year", "mean_quantity", ["region", "taxa3"], a.p.gam_k),
+        "year", ["region", "taxa3"], a.p.gam_k),
     "echinoderm_reef": lambda a: a.echinoderm_sel.data,
     "echinoderm_by_region": lambda a: invertebrates.echinoderm_by_region(a.echinoderm_sel.data),
     "echinoderm_by_protection": lambda a: invertebrates.echinoderm_by_protection(a.echinoderm_sel.data),

@@ -33,4 +33,5 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_every_query_has_an_oracle_or_is_a_fit():
     missing = set(entry.queries()) - set(entry.oracle_sql())
-    assert missing == {"coral_trend_region_smooth", "coral_trend_protection_smooth"}
+    assert missing == {"coral_trend_region_smooth", "coral_trend_protection_smooth",
+                       "coral_trend_region_fitted"}
