@@ -10,7 +10,7 @@ slope per series.
 Plan, for any number of rows:
 
 1. the ``k`` basis values are Column expressions of ``x`` (global range from
-   two scalar subqueries), evaluated inside whole-stage codegen;
+   one scalar subquery), evaluated inside whole-stage codegen;
 2. the normal equations -- ``sum(b_i * b_j)``, ``sum(b_i * y)``, ``sum(y^2)``,
    ``count`` -- are ordinary aggregates per series, partially aggregated on
    the map side, so every series collapses to one row of O(k^2) numbers;
@@ -104,8 +104,8 @@ def smooth_trend(df: DataFrame, x: str, y: str, series: Sequence[str], k: int =
     series = list(series)
     src = df.select(*series, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")) \
             .filter(F.col("_x").isNotNull() & F.col("_y").isNotNull())
-    rng = src.agg(F.min("_x").alias("lo"), F.max("_x").alias("hi"))
-    lo, hi = rng.select("lo").scalar(), rng.select("hi").scalar()
+    rng = src.agg(F.struct(F.min("_x").alias("lo"), F.max("_x").alias("hi")).alias("r")).scalar()
+    lo, hi = rng.getField("lo"), rng.getField("hi")
     src = with_basis(src.withColumns({"_lo": lo, "_hi": hi}), "_x", "_lo", "_hi", k)
     aggs = [F.count(F.lit(1)).alias("n"), F.sum(F.col("_y") * F.col("_y")).alias("yy"),
             F.sum("_y").alias("sy"), F.min("_x").alias("x_min"), F.max("_x").alias("x_max")]
