@@ -67,6 +67,7 @@ def shannon(df: DataFrame, unit_cols: Sequence[str] = ("region", "reef", "transe
     p = F.col("_q") / F.col("_t")
     h = (q.withColumn("_t", F.sum("_q").over(w))
            .groupBy(*unit_cols)
-           .agg(F.coalesce(-F.sum(F.when(F.col("_q") > 0, p * F.log(p))), F.lit(0.0)).alias(out)))
+           .agg(F.coalesce(F.lit(0.0) - F.sum(F.when(F.col("_q") > 0, p * F.log(p))), F.lit(0.0))
+                .alias(out)))
     key = F.concat_ws("_", *[paste_na(c) for c in unit_cols])
     return h.select(key.alias(id_col), *unit_cols, out)

@@ -568,7 +568,7 @@ br AS (
 )""") + """
 SELECT year, region, round(mean_biomass, 6) AS mean_biomass, round(sd_biomass, 6) AS sd_biomass, n,
        round(se_biomass, 6) AS se_biomass, round(mean_biomass - se_biomass, 6) AS ymin,
-       round(mean_biomass + se_biomass, 6) AS ymax, 4.0 AS reference_line
+       round(mean_biomass + se_biomass, 6) AS ymax, CAST(4.0 AS DOUBLE) AS reference_line
 FROM br WHERE NOT coalesce(region IN ('AMERICA'), false)"""
 
 SQL["chart_biomass_protection"] = with_ctes(
@@ -577,7 +577,7 @@ SQL["chart_biomass_protection"] = with_ctes(
 SELECT year, {_factor('protection_level', [k for k, _ in PROT], [v for _, v in PROT])},
        round(mean_biomass, 6) AS mean_biomass, round(se_biomass, 6) AS se_biomass,
        round(mean_biomass - se_biomass, 6) AS ymin, round(mean_biomass + se_biomass, 6) AS ymax,
-       4.0 AS reference_line
+       CAST(4.0 AS DOUBLE) AS reference_line
 FROM bp"""
 
 SQL["chart_coral_region"] = with_ctes(
