@@ -44,7 +44,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     a machine-local folder would be invisible to executors, so that is an
     error.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- Spark Connect: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
     d = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not d:
         if not sc.master.startswith("local"):
