@@ -100,6 +100,11 @@ def smooth_trend(df: DataFrame, x: str, y: str, series: Sequence[str], k: int =
     Output: the series keys, ``n``, ``edf``, ``lambda``, ``gcv``, ``r2``,
     ``x_min``, ``x_max`` and ``coefficients`` (array of ``k`` doubles); pass
     it to :func:`fitted_values` for the fitted curve.
+
+    Only fits with ``edf < n - 0.5`` are considered, so a short series never
+    interpolates its points: three points give the straight line, and a
+    series of two points gets NULL spline columns (its line is in
+    :func:`reeflens.plans.smooth.linear_trend`).
     """
     series = list(series)
     src = df.select(*series, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")) \
