@@ -43,3 +43,17 @@ def test_ingest_appends_new_files_only(spark):
     q = ingest_exports(spark, os.path.join(src, "*"), table, schema, checkpoint=ckpt)
     q.awaitTermination()
     assert spark.read.parquet(table).count() == 3
+
+
+def test_smooth_short_series(spark):
+    rows = [("two", 2000, 1.0), ("two", 2001, 3.0),
+            ("three", 2000, 1.0), ("three", 2005, 2.0), ("three", 2010, 3.0),
+            ("long", 2000, 0.0), ("long", 2010, 1.0)] + [("long", y, float(y % 3)) for y in range(2001, 2010)]
+    df = spark.createDataFrame(rows, "s string, year int, v double")
+    m = {r["s"]: r for r in smooth_trend(df, "year", "v", ["s"], k=6).collect()}
+    assert m["two"]["coefficients"] is None and m["two"]["edf"] is None
+    assert m["three"]["edf"] < 2.5
+    fit = {r["year"]: r["fitted"] for r in
+           fitted_values(df, smooth_trend(df, "year", "v", ["s"], k=6), "year", ["s"], k=6)
+           .filter(F.col("s") == "three").collect()}
+    assert fit[2005] == pytest.approx(2.0, abs=1e-3)
