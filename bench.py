@@ -42,7 +42,11 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1].split(",") if len(sys.argv) > 1 else HEADLINE
     parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus))
-    spark = get_session(f"local[{cpus}]", parts, app_name="reeflens-bench")
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):
+        # stage and task times for later inspection, written to a scratch folder
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]}
+    spark = get_session(f"local[{cpus}]", parts, app_name="reeflens-bench", extra_conf=extra)
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/reeflens-bench-{uuid.uuid4().hex}"
     times: dict[str, float] = {}
     # JVM warm-up (class loading, first code generation) is not query work.

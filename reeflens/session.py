@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "reeflens") -> SparkSession:
+                app_name: str = "reeflens", extra_conf: dict[str, str] | None = None) -> SparkSession:
     """A session with AQE on (coalescing, skew-join splitting) and the UI off.
 
     On a cluster pass ``master=None`` and let ``spark-submit`` decide; size
@@ -28,6 +28,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
           .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for k, v in (extra_conf or {}).items():
+        b = b.config(k, v)
     if os.environ.get("REEFLENS_DRIVER_MEMORY"):
         b = b.config("spark.driver.memory", os.environ["REEFLENS_DRIVER_MEMORY"])
     spark = b.getOrCreate()
