@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .mixing import mix_sizes
 from .near_dedup import near_duplicates
 
 
@@ -13,7 +15,13 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sizes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op10_mix_sources": op10_mix_sources,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
 }
 
@@ -41,6 +49,38 @@ select d.doc_id, coalesce(s.n, 0) n_shingles, least(d.doc_id, coalesce(m, d.doc_
 from documents d left join sizes s using (doc_id) left join least_of l on l.a = d.doc_id
 """
 
+_DRAWS = [f"('0x' || substr(md5(coalesce(doc_id::varchar, 'null') || ':{k}'), {8 * i + 1}, 8))::bigint / 4294967296.0"
+          for k in range(4) for i in range(4)]
+_MIX = f"""
+with recursive docs as materialized (
+  select doc_id, source, len({_WORDS.format("coalesce(text, '')")})::bigint size from documents
+), src as (
+  select source, s, [1, 2, 3][((row_number() over (order by source nulls last) - 1) % 3 + 1)::int]::bigint w
+  from (select source, sum(size)::bigint s from docs group by 1)
+), fill as (
+  select (select sum(s) from src)::hugeint a, (select sum(w) from src)::hugeint b
+  union
+  select (select sum(s) from src)::hugeint - coalesce(sum(3 * s) filter (w * a > 3 * s * b), 0)::hugeint,
+         coalesce(sum(w) filter (w * a <= 3 * s * b), 1)::hugeint
+  from fill, src group by a, b
+), last as (select a, b from fill order by a, b limit 1
+), goal as (
+  select source, s, case when w * a > 3 * s * b then (3 * s)::double else (w * a)::double / b::double end target from src, last
+), rated as (
+  select *, case when s > 0 then target / s else 0 end rate from goal
+), drawn as (
+  select d.*, r.s source_size, r.target, floor(r.rate) whole, r.rate - floor(r.rate) part, [{", ".join(_DRAWS)}] u
+  from docs d join rated r on d.source is not distinct from r.source
+), misses as (
+  select source, k, abs(any_value(whole) * any_value(source_size) + sum(case when u[k] < part then size else 0 end)
+                        - any_value(target)) miss
+  from drawn, range(1, 17) t(k) group by 1, 2
+), best as (select source, min_by(k, (miss, k)) k from misses group by 1)
+select doc_id, size, source_size, target, (size * (whole + (u[k] < part)::int))::bigint taken
+from drawn d join best b on d.source is not distinct from b.source
+"""
+
 SQL: dict[str, str] = {
+    "op10_mix_sources": _MIX,
     "op4_minhash_near_dedup": _NEAR,
 }
