@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontamination import contaminated
 from .mixing import mix_sizes
 from .near_dedup import near_duplicates
 
@@ -15,12 +16,18 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(spark.read.parquet(f"{sf_dir}/documents.parquet"),
+                        spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sizes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_mix_sources": op10_mix_sources,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
 }
@@ -49,6 +56,19 @@ select d.doc_id, coalesce(s.n, 0) n_shingles, least(d.doc_id, coalesce(m, d.doc_
 from documents d left join sizes s using (doc_id) left join least_of l on l.a = d.doc_id
 """
 
+_CONTAINED = f"""
+with words as (
+  select 0 kind, doc_id id, {_WORDS.format("lower(coalesce(text, ''))")} w from documents
+  union all select 1, item_id, {_WORDS.format("lower(coalesce(text, ''))")} from benchmark
+), shingles as (
+  select distinct kind, id, unnest(case when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) s from words where len(w) > 0
+), sizes as (select id, count(*) n from shingles where kind = 1 group by 1)
+select d.id doc_id, i.id item_id, n n_item, count(*) n_shared, count(*) / n containment
+from shingles d join shingles i on d.s = i.s and d.kind = 0 and i.kind = 1 join sizes z on z.id = i.id
+group by d.id, i.id, n having 100 * count(*) >= 80 * n
+"""
+
 _DRAWS = [f"('0x' || substr(md5(coalesce(doc_id::varchar, 'null') || ':{k}'), {8 * i + 1}, 8))::bigint / 4294967296.0"
           for k in range(4) for i in range(4)]
 _MIX = f"""
@@ -81,6 +101,7 @@ from drawn d join best b on d.source is not distinct from b.source
 """
 
 SQL: dict[str, str] = {
+    "op9_benchmark_decontamination": _CONTAINED,
     "op10_mix_sources": _MIX,
     "op4_minhash_near_dedup": _NEAR,
 }
