@@ -11,6 +11,12 @@ from .decontamination import contaminated
 from .mixing import mix_sizes
 from .near_dedup import near_duplicates
 
+from .quality_rules import quality
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
@@ -27,6 +33,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_quality_rules": op5_quality_rules,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_mix_sources": op10_mix_sources,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
@@ -69,6 +76,33 @@ from shingles d join shingles i on d.s = i.s and d.kind = 0 and i.kind = 1 join
 group by d.id, i.id, n having 100 * count(*) >= 80 * n
 """
 
+_QUALITY = f"""
+with docs as materialized (
+  select doc_id, source, coalesce(text, '') t, {_WORDS.format("coalesce(text, '')")} w from documents
+), lines as (
+  select doc_id, source, unnest(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]'))) l from docs
+), dup as (select doc_id, count(*) - count(distinct l) n from lines group by 1),
+normal as (
+  select doc_id, source, array_to_string({_WORDS.format("lower(l)")}, ' ') line, len({_WORDS.format("l")}) n from lines
+), frequent as (
+  select source, line from normal group by 1, 2 having count(distinct doc_id) > 30
+), removed as (
+  select doc_id, sum(n) n from normal x join frequent f on x.line = f.line and x.source is not distinct from f.source group by 1
+), windows as (
+  select doc_id, i, array_to_string(w[i:i + 2], ' ') g from (select doc_id, w, unnest(range(1, len(w) - 1)) i from docs)
+), twice as (
+  select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, g) c from windows) where c > 1
+), covered as (select doc_id, count(distinct i + o) n from twice, range(0, 3) t(o) group by 1),
+base as (
+  select doc_id, len(w)::bigint n_words, length(array_to_string(w, ''))::bigint word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::bigint n_symbols, coalesce(dup.n, 0)::bigint n_dup_lines,
+    coalesce(covered.n, 0)::bigint n_repeat_words, coalesce(removed.n, 0)::bigint n_removed_words
+  from docs left join dup using (doc_id) left join covered using (doc_id) left join removed using (doc_id)
+)
+select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words base_failed,
+  not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and n_words - n_removed_words >= 0.5 * n_words kept from base
+"""
+
 _DRAWS = [f"('0x' || substr(md5(coalesce(doc_id::varchar, 'null') || ':{k}'), {8 * i + 1}, 8))::bigint / 4294967296.0"
           for k in range(4) for i in range(4)]
 _MIX = f"""
@@ -101,6 +135,7 @@ from drawn d join best b on d.source is not distinct from b.source
 """
 
 SQL: dict[str, str] = {
+    "op5_quality_rules": _QUALITY,
     "op9_benchmark_decontamination": _CONTAINED,
     "op10_mix_sources": _MIX,
     "op4_minhash_near_dedup": _NEAR,
