@@ -6,7 +6,7 @@ universal hash minima.  A class meets the smallest class of each band bucket
 first; what is still in another component after that meets every member of
 its buckets.  A pair must pass a signature estimate (2 bits of each minimum)
 and then the exact test on the full sets.  Components come from alternating
-large-star and small-star.
+large-star and small-star (``components``).
 """
 
 from __future__ import annotations
@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bytewords import MIX_1, mix, text_slices, word_hashes, word_spans
-from .components import components
-from .scratch import drop_stored, stored
+from .rounds import joined_up, shared_buckets
+from .scratch import stored
 
 #: A pair of Jaccard 0.8 shares no bucket with probability (1 - 0.8**5)**40, about 1e-7.
 BANDS, ROWS = 40, 5
@@ -123,14 +123,6 @@ def _jaccard(percent: int) -> Callable:
     return linked
 
 
-def _with(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose ends lie in different components."""
-    la = labels.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-    lb = labels.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    return (pairs.join(la, "a", "left").join(lb, "b", "left")
-            .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).drop("ca", "cb"))
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id_col, n_shingles, component_id, kept)`` for every row of ``docs``.
 
@@ -158,8 +150,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "classes")
     nodes = classes.select("node", *_differ_columns())
     members = classes.select("node", F.explode("bands").alias("key"))
-    leaders = members.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("c")).where("c > 1")
-    shared = stored(members.join(leaders, "key").select("key", "node", "leader"), "shared")
+    shared = stored(shared_buckets(members), "shared")
 
     wanted = shared.select(F.col("node").alias("id")).distinct()
     sets = stored(rows.join(wanted, "id", "left_semi").mapInArrow(
@@ -174,29 +165,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return (pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
                 .mapInArrow(_jaccard(THRESHOLD_PERCENT), pair_type))
 
-    # 1. members against the smallest member of each of their buckets, one leader each first
-    stars = shared.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    stars = stored(stars.join(nodes.alias("x"), F.col("a") == F.col("x.node")).join(
-        nodes.alias("y"), F.col("b") == F.col("y.node")).where(_alike("x", "y")).select("a", "b"), "stars")
-    tried = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = stored(verified(tried), "links")
-    labels = stored(components(links), "labels")
-    # 2. the other leaders, where the ends are still apart
-    more = stored(verified(_with(stars.join(tried, ["a", "b"], "left_anti"), labels)), "links")
-    links = links.unionByName(more)
-    labels = stored(components(links), "labels")
-    # 3. every pair of a bucket whose ends are still apart
-    placed = shared.join(labels, "node", "left").select(
-        "key", "node", F.coalesce("component", "node").alias("part"))
-    open_keys = placed.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi")
-    placed = stored(placed.join(open_keys.select("key"), "key", "left_semi").join(nodes, "node"), "open")
-    apart = placed.alias("x").join(placed.alias("y"), (F.col("x.key") == F.col("y.key"))
-                                   & (F.col("x.part") < F.col("y.part")) & _alike("x", "y"))
-    apart = (apart.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-             .join(stars, ["a", "b"], "left_anti"))
-    labels = components(links.unionByName(verified(apart)))
-
+    labels = joined_up(shared, verified, nodes, _alike)
     folded = classes.select("n", "p1", "p2", "node").join(labels, "node", "left").select(
         "n", "p1", "p2", F.coalesce("component", "node").alias("component"))
     out = sketches.select("id", "n", "p1", "p2").join(folded, ["n", "p1", "p2"], "left")

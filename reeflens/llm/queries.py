@@ -8,35 +8,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontamination import contaminated
+from .line_dedup import line_report
 from .mixing import mix_sizes
 from .near_dedup import near_duplicates
-
 from .quality_rules import quality
 
 
-def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(_table(spark, sf_dir, "documents"))
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(_table(spark, sf_dir, "documents"))
 
 
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contaminated(spark.read.parquet(f"{sf_dir}/documents.parquet"),
-                        spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mix_sizes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    mixed = mix_sizes(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op5_quality_rules": op5_quality_rules,
-    "op9_benchmark_decontamination": op9_benchmark_decontamination,
-    "op10_mix_sources": op10_mix_sources,
-    "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    f.__name__: f for f in (
+        op1_line_dedup, op4_minhash_near_dedup, op5_quality_rules, op9_benchmark_decontamination, op10_mix_sources)
 }
 
 #: A-Z to a-z and nothing else, then the words, as the operators take them.
