@@ -12,6 +12,10 @@ from .line_dedup import line_report
 from .mixing import mix_sizes
 from .near_dedup import near_duplicates
 from .quality_rules import quality
+from .token_counts import token_counts
+
+#: The tokenizer file of op6 and the length that its query reports against.
+TOKENIZER, TOKEN_LIMIT = "word_bpe_49k.json", 2048
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +34,13 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(_table(spark, sf_dir, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    counts = token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -41,7 +52,8 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_line_dedup, op4_minhash_near_dedup, op5_quality_rules, op9_benchmark_decontamination, op10_mix_sources)
+        op1_line_dedup, op4_minhash_near_dedup, op5_quality_rules, op6_token_counts,
+        op9_benchmark_decontamination, op10_mix_sources)
 }
 
 #: A-Z to a-z and nothing else, then the words, as the operators take them.
