@@ -13,6 +13,8 @@ from .mixing import mix_sizes
 from .near_dedup import near_duplicates
 from .quality_rules import quality
 from .token_counts import token_counts
+from .toxicity import fit as fit_toxicity
+from .toxicity import score as score_toxicity
 
 #: The tokenizer file of op6 and the length that its query reports against.
 TOKENIZER, TOKEN_LIMIT = "word_bpe_49k.json", 2048
@@ -41,6 +43,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return score_toxicity(docs, fit_toxicity(docs, _table(spark, sf_dir, "labels")))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -53,7 +60,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_line_dedup, op4_minhash_near_dedup, op5_quality_rules, op6_token_counts,
-        op9_benchmark_decontamination, op10_mix_sources)
+        op7_toxicity, op9_benchmark_decontamination, op10_mix_sources)
 }
 
 #: A-Z to a-z and nothing else, then the words, as the operators take them.
