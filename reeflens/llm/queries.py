@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontamination import contaminated
+from .language_id import fit as fit_languages
+from .language_id import predict as predict_languages
 from .line_dedup import line_report
 from .mixing import mix_sizes
 from .near_dedup import near_duplicates
@@ -48,6 +50,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, fit_toxicity(docs, _table(spark, sf_dir, "labels")))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return predict_languages(docs, fit_languages(docs))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -60,7 +67,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_line_dedup, op4_minhash_near_dedup, op5_quality_rules, op6_token_counts,
-        op7_toxicity, op9_benchmark_decontamination, op10_mix_sources)
+        op7_toxicity, op8_language_id, op9_benchmark_decontamination, op10_mix_sources)
 }
 
 #: A-Z to a-z and nothing else, then the words, as the operators take them.
