@@ -14,6 +14,7 @@ from .line_dedup import line_report
 from .mixing import mix_sizes
 from .near_dedup import near_duplicates
 from .quality_rules import quality
+from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
 from .toxicity import fit as fit_toxicity
 from .toxicity import score as score_toxicity
@@ -30,6 +31,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(_table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -66,8 +71,8 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_line_dedup, op4_minhash_near_dedup, op5_quality_rules, op6_token_counts,
-        op7_toxicity, op8_language_id, op9_benchmark_decontamination, op10_mix_sources)
+        op1_line_dedup, op2_suffix_array_dedup, op4_minhash_near_dedup, op5_quality_rules,
+        op6_token_counts, op7_toxicity, op8_language_id, op9_benchmark_decontamination, op10_mix_sources)
 }
 
 #: A-Z to a-z and nothing else, then the words, as the operators take them.
