@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontamination import contaminated
+from .html_density import extract_text
 from .language_id import fit as fit_languages
 from .language_id import predict as predict_languages
 from .line_dedup import line_report
@@ -35,6 +36,10 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(_table(spark, sf_dir, "pages"))
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -71,8 +76,8 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_line_dedup, op2_suffix_array_dedup, op4_minhash_near_dedup, op5_quality_rules,
-        op6_token_counts, op7_toxicity, op8_language_id, op9_benchmark_decontamination, op10_mix_sources)
+        op1_line_dedup, op2_suffix_array_dedup, op3_html_extraction, op4_minhash_near_dedup,
+        op5_quality_rules, op6_token_counts, op7_toxicity, op8_language_id, op9_benchmark_decontamination, op10_mix_sources)
 }
 
 #: A-Z to a-z and nothing else, then the words, as the operators take them.
