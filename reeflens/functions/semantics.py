@@ -100,7 +100,7 @@ def safe_div(a: ColumnOrName, b: ColumnOrName) -> Column:
 
 
 def to_double(x: ColumnOrName) -> Column:
-    """``as.numeric(x)`` -- unparsable text becomes NULL, never an error.
+    """``as.numeric(x)`` -- unparsable text and the text NaN become NULL, never an error.
 
     Spark's cast also accepts a trailing type suffix (``3.5d``) that R
     rejects, so such strings are turned into NULL first.
@@ -108,7 +108,7 @@ def to_double(x: ColumnOrName) -> Column:
     x = _c(x)
     s = x.cast("string")
     return F.when(s.rlike(r"[dDfF]\s*$"), F.lit(None).cast(DoubleType())).otherwise(
-        s.try_cast(DoubleType())
+        F.nanvl(s.try_cast(DoubleType()), F.lit(None).cast(DoubleType()))
     )
 
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import numeric_columns
@@ -63,11 +63,10 @@ def shannon(df: DataFrame, unit_cols: Sequence[str] = ("region", "reef", "transe
     q = q.withColumn("_q", F.when(F.col("_q") < 0,
                                   F.raise_error(F.lit("shannon: quantities must be non-negative")))
                       .otherwise(F.col("_q")).cast("double"))
-    w = Window.partitionBy(*unit_cols)
-    p = F.col("_q") / F.col("_t")
-    h = (q.withColumn("_t", F.sum("_q").over(w))
-           .groupBy(*unit_cols)
-           .agg(F.coalesce(F.lit(0.0) - F.sum(F.when(F.col("_q") > 0, p * F.log(p))), F.lit(0.0))
-                .alias(out)))
+    # ln T - sum(q ln q) / T: both sums in one aggregate, so a large unit is reduced in every task
+    total, logs = F.sum("_q"), F.sum(F.when(F.col("_q") > 0, F.col("_q") * F.log("_q")).otherwise(F.lit(0.0)))
+    several = F.count_if(F.col("_q") > 0) > 1
+    h = q.groupBy(*unit_cols).agg(
+        F.when(several, F.log(total) - logs / total).otherwise(F.lit(0.0)).alias(out))
     key = F.concat_ws("_", *[paste_na(c) for c in unit_cols])
     return h.select(key.alias(id_col), *unit_cols, out)

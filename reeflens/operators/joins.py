@@ -5,10 +5,8 @@ matches NA to NA.  ``natural_left_join`` reproduces both rules with
 ``eqNullSafe`` keys, which Catalyst still plans as a hash / sort-merge /
 broadcast equi-join (the ``<=>`` keys become ``coalesce``/``isnull`` pairs).
 
-Broadcasting is never blind: ``checked_broadcast`` proves a row bound with a
-``limit(n + 1).count()`` before hinting; beyond the bound the join is left to
-the planner (sort-merge, or AQE's runtime switch to broadcast when the
-materialised shuffle turns out small).
+No join carries a hint: lookups are read from stored tables, whose byte
+statistics let Spark choose between a broadcast and a shuffle.
 """
 
 from __future__ import annotations
@@ -21,32 +19,6 @@ from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
 
-#: Largest lookup (rows) that is broadcast to every executor.  A species,
-#: site or region lookup is far below this; a fact table never is.
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                      persist: bool = False) -> DataFrame:
-    """Return ``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
-
-    The bound is proven with ``limit(max_rows + 1).count()``.  With
-    ``persist=True`` the (small) table is cached by that same job, so a
-    lookup derived from the fact table -- e.g. per-species quartiles -- is
-    aggregated once, not once for the check and again for the join.  Cached
-    blocks lost with an executor are recomputed from lineage.
-    """
-    if persist:
-        df = df.persist()
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(df)
-    log.info("lookup has more than %d rows; not broadcast", max_rows)
-    if persist:
-        df.unpersist()
-    return df
-
-
 def shared_keys(x: DataFrame, y: DataFrame) -> list[str]:
     """Join keys of a natural join: names present in both, in ``x`` order."""
     ycols = set(y.columns)
@@ -70,8 +42,7 @@ def _null_safe_join(x: DataFrame, y: DataFrame, keys: Sequence[str], how: str) -
     return out.drop(*tmp.values())
 
 
-def natural_left_join(x: DataFrame, y: DataFrame, keys: Sequence[str] | None = None,
-                      broadcast: bool = True) -> DataFrame:
+def natural_left_join(x: DataFrame, y: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """``left_join(x, y)`` -- keys shared by name, NULL matches NULL.
 
     Result columns: all of ``x`` then the non-key columns of ``y``.  Duplicate
@@ -79,8 +50,7 @@ def natural_left_join(x: DataFrame, y: DataFrame, keys: Sequence[str] | None = N
     """
     keys = list(keys) if keys is not None else shared_keys(x, y)
     log.debug("natural join keys: %s", keys)
-    yy = checked_broadcast(y) if broadcast else y
-    return _null_safe_join(x, yy, keys, "left")
+    return _null_safe_join(x, y, keys, "left")
 
 
 def semi_join_null_safe(x: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -9,13 +9,17 @@ slope per series.
 
 Plan, for any number of rows:
 
-1. the ``k`` basis values are Column expressions of ``x`` (global range from
-   one scalar subquery), evaluated inside whole-stage codegen;
-2. the normal equations -- ``sum(b_i * b_j)``, ``sum(b_i * y)``, ``sum(y^2)``,
-   ``count`` -- are ordinary aggregates per series, partially aggregated on
-   the map side, so every series collapses to one row of O(k^2) numbers;
-3. ``mapInPandas`` over those rows solves the k x k penalised system for a
-   grid of smoothing parameters and keeps the one with the lowest GCV score.
+1. ``y`` is centred on its series' mean, so that the fit does not depend on a
+   constant added to it;
+2. per (series, knot segment) the sums of ``t**0 .. t**6`` and ``y * t**0 ..
+   t**3`` of the position ``t`` in the segment are partial aggregates: at most
+   ``k - 3`` rows per series whatever the number of points;
+3. ``mapInPandas`` over one row per series rebuilds the normal equations from
+   the segments and solves the penalised systems of all series of a batch for
+   a grid of smoothing parameters; the one with the lowest GCV score is kept.
+
+Knots span the global range of ``x`` (one scalar subquery), not each series'
+own range: series can then be compared coefficient by coefficient.
 
 Declared divergence from the reference model: mgcv uses a thin-plate basis
 and one joint smoothing-parameter search for all cells, so coefficients are
@@ -28,12 +32,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .joins import _null_safe_join, checked_broadcast
+from ..store import stored
+from .joins import _null_safe_join
 
 LAMBDAS = tuple(float(v) for v in np.logspace(-4, 6, 41))
 
@@ -47,119 +51,124 @@ def _cardinal_cubic(u: Column) -> Column:
              .otherwise(F.lit(0.0)))
 
 
-def basis_columns(x: Column, lo: Column, hi: Column, k: int) -> list[Column]:
-    """``k`` cubic B-splines with equally spaced knots spanning [lo, hi].
-
-    ``x``, ``lo`` and ``hi`` should be plain column references: each is used
-    several times per basis function.
-    """
-    nseg = k - 3
-    h = (hi - lo) / F.lit(float(nseg))
-    return [_cardinal_cubic((x - (lo + F.lit(float(j - 3)) * h)) / h) for j in range(k)]
-
-
 def with_basis(df: DataFrame, x: str, lo: str, hi: str, k: int, prefix: str = "_b") -> DataFrame:
     """Add ``k`` basis columns; the knot offsets are projected first so every
     expression stays a few nodes deep."""
     nseg = k - 3
-    h = (F.col(hi) - F.col(lo)) / F.lit(float(nseg))
+    span = F.col(hi) - F.col(lo)
+    h = F.when(span > 0, span).otherwise(F.lit(1.0)) / F.lit(float(nseg))
     u = df.withColumns({f"{prefix}u{j}": (F.col(x) - (F.col(lo) + F.lit(float(j - 3)) * h)) / h
                         for j in range(k)})
     return u.withColumns({f"{prefix}{j}": _cardinal_cubic(F.col(f"{prefix}u{j}")) for j in range(k)}) \
             .drop(*[f"{prefix}u{j}" for j in range(k)])
 
 
-def _penalty(k: int) -> np.ndarray:
-    d = np.diff(np.eye(k), n=2, axis=0)
-    return d.T @ d
+def _fitter(series: list[str], names: list[str], k: int, lambdas: tuple[float, ...]):
+    """The function of step 3; it refers to nothing outside itself, so workers need no package."""
 
+    def fit(batches):
+        import numpy as np
+        import pandas as pd
 
-def _solve(g: np.ndarray, hv: np.ndarray, yy: float, n: int, k: int):
-    """Best (GCV) penalised fit; ties broken towards the larger penalty."""
-    s = _penalty(k)
-    best = None
-    for lam in sorted(LAMBDAS, reverse=True):
-        a = g + lam * s
-        try:
-            beta = np.linalg.solve(a, hv)
-            edf = float(np.trace(np.linalg.solve(a, g)))
-        except np.linalg.LinAlgError:
-            continue
-        rss = max(float(yy - 2 * beta @ hv + beta @ g @ beta), 0.0)
-        if n - edf <= 0.5:
-            continue
-        gcv = n * rss / (n - edf) ** 2
-        if best is None or gcv < best[0] * (1 - 1e-9):
-            best = (gcv, lam, edf, rss, beta)
-    return best
+        basis = np.array([[1, -3, 3, -1], [4, 0, -6, 3], [1, 3, 3, -3], [0, 0, 0, 1]]) / 6.0  # in powers of t
+        d = np.diff(np.eye(k), n=2, axis=0)
+        penalty = d.T @ d
+        for pdf in batches:
+            m = len(pdf)
+            g, hv, yy = np.zeros((m, k, k)), np.zeros((m, k)), pdf["yy"].to_numpy(float)
+            n, mean = pdf["n"].to_numpy(float), pdf["mean"].to_numpy(float)
+            lo, step = pdf["_lo"].to_numpy(float), (pdf["_hi"] - pdf["_lo"]).to_numpy(float) / (k - 3)
+            line = np.zeros((m, 3))  # sums of p, p * p and p * y, where x = lo + p * step
+            for i, segments in enumerate(pdf["segments"]):
+                for q in segments:
+                    s, t, y = int(q["seg"]), np.array(q["t"], float), np.array(q["y"], float)
+                    g[i, s:s + 4, s:s + 4] += basis @ t[np.add.outer(np.arange(4), np.arange(4))] @ basis.T
+                    hv[i, s:s + 4] += basis @ y
+                    line[i] += (s * t[0] + t[1], s * s * t[0] + 2 * s * t[1] + t[2], s * y[0] + y[1])
+            # the straight line, which is also the result of a series too short for a spline
+            sp, spp, spy = line.T
+            spread = spp - sp * sp / n
+            sloped = spread > 1e-12 * np.maximum(spp, 1)
+            rise = np.where(sloped, spy / np.where(sloped, spread, 1.0), 0.0)
+            base = -rise * sp / n
+            line_rss = np.maximum(yy - rise * spy, 0.0)
+            beta = base[:, None] + rise[:, None] * (np.arange(k) - 1.0)
+            edf, gcv = np.where(sloped, 2.0, 1.0), np.full(m, np.nan)
+            lam, rss = np.full(m, np.nan), line_rss.copy()
+            for value in sorted(lambdas, reverse=True):  # ties go to the larger penalty
+                a = g + value * penalty
+                ok = np.linalg.cond(a) < 1e15
+                both = np.linalg.solve(np.where(ok[:, None, None], a, np.eye(k)), np.concatenate([hv[:, :, None], g], axis=2))
+                b, freedom = both[:, :, 0], np.trace(both[:, :, 1:], axis1=1, axis2=2)
+                left = np.maximum(yy - 2 * (b * hv).sum(1) + np.einsum("ni,nij,nj->n", b, g, b), 0.0)
+                room = n - freedom
+                ok &= room > 0.5
+                score = np.where(ok, n * left / np.where(ok, room, 1.0) ** 2, np.inf)
+                better = ok & (np.isnan(gcv) | (score < gcv * (1 - 1e-9)))
+                gcv, lam = np.where(better, score, gcv), np.where(better, value, lam)
+                edf, rss = np.where(better, freedom, edf), np.where(better, left, rss)
+                beta = np.where(better[:, None], b, beta)
+            slope = np.where(step > 0, rise / np.where(step > 0, step, 1.0), 0.0)
+            out = pdf[series].copy()
+            out["n"], out["edf"], out["lambda"], out["gcv"] = pdf["n"], edf, lam, gcv
+            out["r2"] = np.where(yy > 0, 1 - rss / np.where(yy > 0, yy, 1.0), np.nan)
+            out["scale"] = np.where(n - edf > 0.5, rss / np.maximum(n - edf, 0.5), np.nan)
+            out["intercept"], out["slope"] = mean + base - slope * lo, slope
+            out["slope_se"] = np.where(sloped & (n > 2), np.sqrt(
+                line_rss / np.maximum(n - 2, 1) / np.where(sloped, spread, 1.0)) / np.where(step > 0, step, 1.0), np.nan)
+            out["x_min"], out["x_max"] = pdf["x_min"], pdf["x_max"]
+            out["coefficients"] = list(beta + mean[:, None])
+            out["_lo"], out["_hi"] = pdf["_lo"], pdf["_hi"]
+            yield out[names].astype(object).where(lambda f: f.notna(), None) if m else pd.DataFrame(columns=names)
+
+    return fit
 
 
 def smooth_trend(df: DataFrame, x: str, y: str, series: Sequence[str], k: int = 10) -> DataFrame:
-    """One penalised spline per series.
+    """One penalised spline and one straight line per series.
 
     Output: the series keys, ``n``, ``edf``, ``lambda``, ``gcv``, ``r2``,
-    ``x_min``, ``x_max`` and ``coefficients`` (array of ``k`` doubles); pass
-    it to :func:`fitted_values` for the fitted curve.
+    ``scale`` (residual variance), ``intercept``, ``slope`` and ``slope_se`` of
+    the line, ``x_min``, ``x_max`` and ``coefficients`` (array of ``k``
+    doubles); pass it to :func:`fitted_values` for the fitted curve.
 
     Only fits with ``edf < n - 0.5`` are considered, so a short series never
-    interpolates its points: three points give the straight line, and a
-    series of two points gets NULL spline columns (its line is in
-    :func:`reeflens.plans.smooth.linear_trend`).
+    interpolates its points; a series without such a fit gets its straight
+    line (a constant if it has one ``x``) and NULL ``lambda`` and ``gcv``.
     """
     series = list(series)
     src = df.select(*series, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")) \
             .filter(F.col("_x").isNotNull() & F.col("_y").isNotNull())
     rng = src.agg(F.struct(F.min("_x").alias("lo"), F.max("_x").alias("hi")).alias("r")).scalar()
-    lo, hi = rng.getField("lo"), rng.getField("hi")
-    src = with_basis(src.withColumns({"_lo": lo, "_hi": hi}), "_x", "_lo", "_hi", k)
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(F.col("_y") * F.col("_y")).alias("yy"),
-            F.sum("_y").alias("sy"), F.min("_x").alias("x_min"), F.max("_x").alias("x_max")]
-    for i in range(k):
-        aggs.append(F.sum(F.col(f"_b{i}") * F.col("_y")).alias(f"h{i}"))
-        for j in range(i, k):
-            aggs.append(F.sum(F.col(f"_b{i}") * F.col(f"_b{j}")).alias(f"g{i}_{j}"))
-    sums = src.groupBy(*series).agg(*aggs)
-
-    key_fields = [f for f in sums.schema.fields if f.name in series]
-    out_schema = T.StructType(key_fields + [
-        T.StructField("n", T.LongType()), T.StructField("edf", T.DoubleType()),
-        T.StructField("lambda", T.DoubleType()), T.StructField("gcv", T.DoubleType()),
-        T.StructField("r2", T.DoubleType()), T.StructField("x_min", T.DoubleType()),
-        T.StructField("x_max", T.DoubleType()),
-        T.StructField("coefficients", T.ArrayType(T.DoubleType()))])
-
-    def fit(batches):
-        for pdf in batches:
-            out = []
-            for _, r in pdf.iterrows():
-                g = np.zeros((k, k))
-                for i in range(k):
-                    for j in range(i, k):
-                        g[i, j] = g[j, i] = r[f"g{i}_{j}"]
-                hv = np.array([r[f"h{i}"] for i in range(k)], dtype=float)
-                n = int(r["n"])
-                best = _solve(g, hv, float(r["yy"]), n, k)
-                row = {c: r[c] for c in series}
-                tss = float(r["yy"]) - float(r["sy"]) ** 2 / n if n else 0.0
-                if best is None:
-                    row.update(n=n, edf=None, **{"lambda": None}, gcv=None, r2=None,
-                               x_min=r["x_min"], x_max=r["x_max"], coefficients=None)
-                else:
-                    gcv, lam, edf, rss, beta = best
-                    row.update(n=n, edf=edf, **{"lambda": lam}, gcv=gcv,
-                               r2=(1 - rss / tss) if tss > 0 else None,
-                               x_min=r["x_min"], x_max=r["x_max"], coefficients=[float(v) for v in beta])
-                out.append(row)
-            yield pd.DataFrame(out, columns=out_schema.fieldNames())
-
-    models = sums.mapInPandas(fit, out_schema)
-    return models.withColumns({"_lo": lo, "_hi": hi})
+    means = src.groupBy(*series).agg(F.avg("_y").alias("mean"))
+    nseg = k - 3
+    src = _null_safe_join(src, means, series, "inner").withColumns({"_lo": rng.getField("lo"), "_hi": rng.getField("hi")})
+    pos = F.when(F.col("_hi") > F.col("_lo"), (F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * nseg).otherwise(0.0)
+    src = src.withColumn("_p", pos).withColumn("_seg", F.least(F.floor("_p"), F.lit(nseg - 1)).cast("int"))
+    src = src.withColumns({"_t": F.col("_p") - F.col("_seg"), "_c": F.col("_y") - F.col("mean")})
+    power = lambda e: F.lit(1.0) if e == 0 else F.pow("_t", F.lit(float(e)))
+    sums = src.groupBy(*series, "mean", "_lo", "_hi", "_seg").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("_c") * F.col("_c")).alias("yy"),
+        F.min("_x").alias("x_min"), F.max("_x").alias("x_max"),
+        F.array(*[F.sum(power(e)) for e in range(7)]).alias("t"),
+        F.array(*[F.sum(F.col("_c") * power(e)) for e in range(4)]).alias("y"))
+    rows = sums.groupBy(*series, "mean", "_lo", "_hi").agg(
+        F.sum("n").alias("n"), F.sum("yy").alias("yy"), F.min("x_min").alias("x_min"), F.max("x_max").alias("x_max"),
+        F.collect_list(F.struct(F.col("_seg").alias("seg"), "t", "y")).alias("segments"))  # k - 3 at most
+
+    doubles = ("edf", "lambda", "gcv", "r2", "scale", "intercept", "slope", "slope_se", "x_min", "x_max")
+    out_schema = T.StructType(
+        [f for f in rows.schema.fields if f.name in series] + [T.StructField("n", T.LongType())]
+        + [T.StructField(c, T.DoubleType()) for c in doubles]
+        + [T.StructField("coefficients", T.ArrayType(T.DoubleType())),
+           T.StructField("_lo", T.DoubleType()), T.StructField("_hi", T.DoubleType())])
+    return rows.mapInPandas(_fitter(series, out_schema.fieldNames(), k, LAMBDAS), out_schema)
 
 
 def fitted_values(df: DataFrame, models: DataFrame, x: str, series: Sequence[str],
                   k: int = 10, out: str = "fitted") -> DataFrame:
-    """Evaluate each series' spline at its rows (models are one row per series)."""
-    m = checked_broadcast(models.select(*series, "coefficients", "_lo", "_hi"))
+    """Evaluate each series' spline at its rows; the models (one row per series) are fitted once and stored."""
+    m = stored(models.select(*series, "coefficients", "_lo", "_hi"), "models")
     j = _null_safe_join(df, m, list(series), "left").withColumn("_fx", F.col(x).cast("double"))
     j = with_basis(j, "_fx", "_lo", "_hi", k, prefix="_fb")
     fitted = None

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.semantics import (mean_na, mean_strict, n_rows, sd_na, sum_na0, sum_strict)
-from .unions import union_fill
 
 REEF_KEYS = ("year", "region", "protection_level", "reef")
 TRANSECT_KEYS = REEF_KEYS + ("depth", "transect")
@@ -45,19 +44,18 @@ def reef_mean(df: DataFrame, value: str, dims: Sequence[str] = (), strict: bool
 def mixed_grain(df: DataFrame, value: str, transect_region: str) -> DataFrame:
     """Reef means for every region except one, transect sums for that one.
 
-    The transect sums are computed once for all regions (one aggregation,
-    one shuffle) and then split: both branches of the union read the same
-    exchange, so the input is scanned once.  The two branches are united by
-    name; ``depth`` and ``transect`` are NULL on the reef-grain branch.  A
-    NULL region matches neither branch (``!=`` and ``==`` both drop it), as
-    in the analysis.
+    One aggregate gives the transect sums of all regions; a second one takes
+    their strict means with ``depth`` and ``transect`` as further keys in the
+    one region (where a group is a single transect) and NULL elsewhere.  The
+    input is scanned once.  A NULL region drops out, as ``!=`` and ``==``
+    both drop it in the analysis.
     """
-    r = F.col("region")
-    t = transect_sum(df, value, strict=True)
-    other = (t.filter(r != F.lit(transect_region))
-              .groupBy(*REEF_KEYS).agg(mean_strict(value).alias(value)))
-    one = t.filter(r == F.lit(transect_region))
-    return union_fill(other, one)
+    t = transect_sum(df, value, strict=True).where(F.col("region").isNotNull())
+    one = F.col("region") == F.lit(transect_region)
+    keyed = t.select(*REEF_KEYS, F.when(one, F.col("depth")).alias("depth"),
+                     F.when(one, F.col("transect")).alias("transect"), value)
+    means = keyed.groupBy(*REEF_KEYS, "depth", "transect").agg(mean_strict(value).alias(value))
+    return means.select(*REEF_KEYS, value, "depth", "transect")
 
 
 def trend_summary(df: DataFrame, value: str, keys: Sequence[str], with_sd_n: bool = False,

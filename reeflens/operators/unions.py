@@ -28,15 +28,16 @@ def union_fill(*dfs: DataFrame) -> DataFrame:
 
 
 def pivot_wider(df: DataFrame, id_cols: Sequence[str], names_from: str, values_from: str,
-                values: Sequence | None = None, fill=0) -> DataFrame:
+                values: Sequence, fill=0) -> DataFrame:
     """``pivot_wider(names_from, values_from, values_fill = fill)``.
 
     Optional presentation output only -- every metric of the analysis is
-    computed in long form.  Pass ``values`` to skip Spark's extra job that
-    discovers the distinct names.
+    computed in long form.  ``values`` names the columns, so that no job
+    gathers the distinct names.  Only combinations without a row get ``fill``;
+    a row with a NULL value stays NULL.
     """
-    g = df.groupBy(*id_cols)
-    p = g.pivot(names_from, list(values)) if values is not None else g.pivot(names_from)
-    out = p.agg(F.first(values_from))
-    value_cols = [c for c in out.columns if c not in id_cols]
-    return out.na.fill(fill, subset=value_cols)
+    wide = df.groupBy(*id_cols).pivot(names_from, list(values)).agg(
+        F.first(values_from).alias("value"), F.count(F.lit(1)).alias("rows"))
+    cells = [F.when(F.coalesce(F.col(f"`{v}_rows`"), F.lit(0)) == 0, F.lit(fill)).otherwise(F.col(f"`{v}_value`")).alias(str(v))
+             for v in values]
+    return wide.select(*id_cols, *cells)

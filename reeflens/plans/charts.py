@@ -37,7 +37,7 @@ def region_panel_chart(by_region: DataFrame, lats: DataFrame, p: Profile,
     The region is first recoded to the ordered level list (an unknown region
     becomes NULL) and the exclusion keeps NULL, as in the analysis.
     """
-    x = natural_left_join(by_region, lats)
+    x = natural_left_join(by_region, lats, ["region"])
     x = with_factor(x, "region", p.region_order)
     x = x.filter(not_in_set("region", p.chart_excluded_regions))
     return with_bounds(x, "mean_quantity", "se_quantity") if bounds else x

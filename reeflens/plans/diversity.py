@@ -42,7 +42,7 @@ def richness_history(by_region: DataFrame, lats: DataFrame, p: Profile) -> DataF
     m = (x.groupBy("category", "category_ord", "region", "label")
           .agg(mean_na("mean_richness").alias("richness"))
           .filter(F.col("label") == F.lit(p.inv_label)))
-    m = natural_left_join(m, lats)
+    m = natural_left_join(m, lats, ["region"])
     return order_by_mean(m, "region", "richness", "region_ord")
 
 

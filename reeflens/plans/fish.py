@@ -66,10 +66,14 @@ def biomass_by_functional(balanced_f: DataFrame, p: Profile) -> DataFrame:
     return with_factor(s, "protection_level", p.protection_levels, p.protection_labels)
 
 
-def fish_species_reef(fish: DataFrame, p: Profile, scheme: int = 3) -> DataFrame:
-    """Q8: reef biomass per (functional group, species), consistent sites, period label."""
-    sel = consistent_sites(reef_mean(fish, "biomass", ["functional_name", "species"]))
-    return sel.data.withColumn("period", period_label("year", p.periods(scheme)))
+def fish_species_selection(fish: DataFrame) -> SiteSelection:
+    """Reef biomass per (functional group, species) over consistent sites."""
+    return consistent_sites(reef_mean(fish, "biomass", ["functional_name", "species"]))
+
+
+def fish_species_reef(selected: DataFrame, p: Profile, scheme: int = 3) -> DataFrame:
+    """Q8: the selection's rows with their period label."""
+    return selected.withColumn("period", period_label("year", p.periods(scheme)))
 
 
 def species_functional(balanced_fish: DataFrame) -> DataFrame:
@@ -87,7 +91,7 @@ def top_fish(balanced_fish: DataFrame, functional_lookup: DataFrame, lats: DataF
     than k species can remain.
     """
     other = p.band_below if band == "north" else p.band_above
-    x = natural_left_join(balanced_fish, lats)
+    x = natural_left_join(balanced_fish, lats, ["region"])
     x = (x.withColumn("degree", lat_band("lat", p.lat_cut, p.band_above, p.band_below))
           .filter(not_in_set("region", p.chart_excluded_regions))
           .filter(F.col("functional_name").isNotNull())

@@ -70,14 +70,14 @@ def invertebrates_by_region(inv: DataFrame, p: Profile) -> DataFrame:
 
 def inv_bars_absolute(by_region: DataFrame, lats: DataFrame, p: Profile) -> DataFrame:
     """Q24: current-year stacked bars; regions ordered by descending latitude."""
-    x = natural_left_join(by_region.filter(F.col("year") == F.lit(p.current_year)), lats)
+    x = natural_left_join(by_region.filter(F.col("year") == F.lit(p.current_year)), lats, ["region"])
     x = order_by_mean(x, "region", -F.col("lat"), "region_ord")
     return stack_extents(x, "mean_quantity", ["region"], "taxa")
 
 
 def inv_bars_relative(by_region: DataFrame, lats: DataFrame, p: Profile) -> DataFrame:
     """Q25: the same bars filled to 100 % per region."""
-    x = natural_left_join(by_region.filter(F.col("year") == F.lit(p.current_year)), lats)
+    x = natural_left_join(by_region.filter(F.col("year") == F.lit(p.current_year)), lats, ["region"])
     x = order_by_mean(x, "region", -F.col("lat"), "region_ord")
     return fill_share(x, "mean_quantity", ["region"], "share")
 
@@ -99,7 +99,7 @@ def top_inv(balanced_inv: DataFrame, lats: DataFrame, p: Profile, band: str) ->
     """Q27/Q28 (D7, D14, D9, P19): top-k species by mean quantity per period."""
     other = p.band_below if band == "north" else p.band_above
     pat, lab = p.collapse_late
-    x = natural_left_join(balanced_inv, lats)
+    x = natural_left_join(balanced_inv, lats, ["region"])
     x = (x.withColumn("degree", lat_band("lat", p.lat_cut, p.band_above, p.band_below))
           .filter(not_in_set("region", p.chart_excluded_regions) & (F.col("degree") != F.lit(other))))
     x = with_factor(x, "period", p.period_levels(3))

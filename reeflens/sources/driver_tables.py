@@ -30,14 +30,11 @@ depend on how a shuffle happened to order the rows, and two engines agree
 bit for bit (a decimal measure such as ``l_extendedprice / 1000`` produces
 exact decimal ties that different summation orders round differently).
 
-Join plan: the geography (25 nations, 5 regions) is broadcast after a size
-check; orders are joined to customers first, then line items are joined to
-that on the order key and to parts on the part key.  The fact-to-fact joins
-carry a ``merge`` hint: a fact table is never broadcast, whatever a
-static size estimate says (at scale these are sort-merge joins on the keys;
-AQE still coalesces partitions and splits skewed ones).  Only the columns
-used are read (Parquet column pruning), and label filters are pushed into
-the orders scan.
+Join plan: orders are joined to customers first, then line items to that on
+the order key and to parts on the part key.  No join carries a hint: byte
+statistics and AQE choose, so a small measured side is broadcast and fact
+tables are shuffled.  Only the columns used are read (Parquet column pruning),
+and label filters are pushed into the orders scan.
 """
 
 from __future__ import annotations
@@ -46,7 +43,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.semantics import round_half_even, to_double
-from ..operators.joins import checked_broadcast
 from ..operators.outliers import SetRule, YearRule
 from ..plans.profile import Profile
 
@@ -107,11 +103,10 @@ def survey_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     c = _read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     p = _read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    geo = checked_broadcast(geography(spark, sf_dir))
+    geo = geography(spark, sf_dir)
     cust = c.join(geo, c.c_nationkey == geo.n_nationkey)
-    orders = o.hint("merge").join(cust, o.o_custkey == cust.c_custkey)
-    fact = (li.hint("merge").join(orders, li.l_orderkey == orders.o_orderkey)
-              .hint("merge").join(p, li.l_partkey == p.p_partkey))
+    orders = o.join(cust, o.o_custkey == cust.c_custkey)
+    fact = li.join(orders, li.l_orderkey == orders.o_orderkey).join(p, li.l_partkey == p.p_partkey)
     lat = _latitude("c_nationkey")
     return fact.select(
         F.col("o_orderstatus").alias("label"),
@@ -157,6 +152,6 @@ def latitude_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lats``: region -> mean latitude of its nations."""
     n = _read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = _read(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    return (n.join(checked_broadcast(r), n.n_regionkey == r.r_regionkey)
+    return (n.join(r, n.n_regionkey == r.r_regionkey)
              .groupBy(F.col("r_name").alias("region"))
              .agg(F.avg(_latitude("n_nationkey")).alias("lat")))
