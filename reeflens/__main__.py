@@ -15,7 +15,7 @@ from .functions.names import with_clean_names
 from .plans.profile import REFERENCE
 from .plans.report import RESULTS, Analysis, write_results
 from .session import get_session
-from .sources.survey import load_survey, read_table
+from .sources.survey import load_survey, load_traits, read_table
 
 
 def main(argv: list[str] | None = None) -> dict[str, str]:
@@ -34,7 +34,7 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     p = REFERENCE
     survey = load_survey(spark, args.historic, args.current, p.historic_excluded_families)
     analysis = Analysis(survey, with_clean_names(read_table(spark, args.comm_sp)),
-                        with_clean_names(read_table(spark, args.traits)),
+                        load_traits(spark, args.traits),
                         with_clean_names(read_table(spark, args.lats)), p)
     names = args.results.split(",") if args.results else list(RESULTS)
     paths = write_results(analysis, args.out, names)

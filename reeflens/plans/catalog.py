@@ -16,7 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from ..operators.outliers import drop_flagged, size_check
+from ..operators.sites import consistent_sites
+from ..operators.unions import pivot_wider
 from ..sources import driver_tables as dt
+from .diversity import shannon_by_transect
+from .fish import biomass_raw
 from .profile import Profile
 from .report import RESULTS, Analysis
 
@@ -62,10 +66,33 @@ def _events_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(F.col("size_flagged_outlier").cast("int")).alias("n_flagged")))
 
 
+def _on_analysis(build: Callable[[Analysis], DataFrame]) -> Callable[..., DataFrame]:
+    def run(spark: SparkSession, sf_dir: str, survey: DataFrame | None = None,
+            fish_stem: DataFrame | None = None) -> DataFrame:
+        return rounded(build(analysis(spark, sf_dir, survey, fish_stem)))
+    run.uses_survey = True
+    return run
+
+
+def _wide(a: Analysis) -> DataFrame:
+    """Summed quantities with one column per given taxon."""
+    keys = ["region", "protection_level"]
+    sums = a.survey.groupBy(*keys, "taxa2").agg(F.sum("quantity").alias("quantity"))
+    return pivot_wider(sums, keys, "taxa2", "quantity", WIDE_TAXA, fill=0.0)
+
+
+WIDE_TAXA = ("ECONOMY", "LARGE", "SMALL")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # D1 alone, on a table with real outliers
     "size_outliers_events": _events_outliers,
     "size_flags_events": _events_flags,
+    # operators that no named result shows by themselves
+    "survey_combined": _on_analysis(lambda a: a.survey),
+    "biomass_site_coverage": _on_analysis(lambda a: a.biomass_sel.sites),
+    "balanced_biomass_min_years": _on_analysis(lambda a: consistent_sites(biomass_raw(a.fish, a.p), min_years=3).data),
+    "shannon_by_transect_matrix": _on_analysis(lambda a: shannon_by_transect(a.survey, numeric_transect=True)),
+    "quantity_by_taxa_wide": _on_analysis(_wide),
     # every named result and chart table of the analysis
     **{name: _q(name) for name in RESULTS},
 }

@@ -8,26 +8,27 @@ own.  Floating outputs are rounded to 6 decimals, as the Spark side does.
 from __future__ import annotations
 
 VIEW = """
-survey AS (
+raw AS (
   SELECT
+    year(o.o_orderdate) <= 1997 AS early,
     o.o_orderstatus AS label,
-    CAST(year(o.o_orderdate) AS INTEGER) AS year,
-    r.r_name AS region,
-    CAST(o.o_custkey AS VARCHAR) AS reef,
-    l.l_linestatus AS depth,
-    l.l_linenumber AS transect,
-    l.l_returnflag AS protection_level,
-    CAST(20.0 + CAST(c.c_nationkey AS DOUBLE) * 0.5 AS DOUBLE) AS latitude,
-    split_part(p.p_name, ' ', 1) AS family,
-    p.p_name AS species,
-    p.p_type AS taxa2,
-    p.p_brand AS taxa3,
+    CASE WHEN o.o_orderkey % 103 <> 9 THEN CAST(year(o.o_orderdate) AS INTEGER) END AS year,
+    CASE WHEN o.o_custkey % 53 <> 11 THEN r.r_name END AS region,
+    CASE WHEN o.o_custkey % 59 <> 13 THEN CAST(o.o_custkey AS VARCHAR) END AS reef,
+    CASE WHEN o.o_orderkey % 61 <> 10 THEN l.l_linestatus END AS depth,
+    CASE WHEN o.o_orderkey % 61 <> 12 THEN l.l_linenumber END AS transect,
+    CASE WHEN o.o_orderkey % 83 <> 2 THEN l.l_returnflag END AS protection_level,
+    CASE WHEN o.o_orderkey % 97 <> 3 THEN CAST(20.0 + CAST(c.c_nationkey AS DOUBLE) * 0.5 AS DOUBLE) END AS latitude,
+    CASE WHEN o.o_orderkey % 89 <> 7 THEN split_part(p.p_name, ' ', 1) END AS family,
+    CASE WHEN o.o_orderkey % 101 <> 5 THEN p.p_name END AS species,
+    CASE WHEN o.o_orderkey % 79 <> 4 THEN p.p_type END AS taxa2,
+    CASE WHEN o.o_orderkey % 73 <> 6 THEN p.p_brand END AS taxa3,
     CASE WHEN p.p_size > 45 THEN 'n/a' ELSE CAST(p.p_size AS VARCHAR) END AS trophic_level,
     CASE WHEN l.l_discount = 0 THEN NULL ELSE l.l_quantity * l.l_discount * 10 END AS size,
     CASE WHEN l.l_linenumber = 7 AND l.l_quantity > 40 THEN NULL
          ELSE l.l_quantity * CAST(p.p_size AS DOUBLE) / 16.0 END AS biomass,
-    l.l_quantity AS quantity,
-    round_even(CAST(20.0 + CAST(c.c_nationkey AS DOUBLE) * 0.5 AS DOUBLE), 0) AS degree
+    CASE WHEN o.o_orderkey % 67 = 1 THEN 0.0
+         WHEN o.o_orderkey % 71 <> 8 THEN l.l_quantity END AS quantity
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
   JOIN customer c ON o.o_custkey = c.c_custkey
@@ -35,6 +36,10 @@ survey AS (
   JOIN region r ON n.n_regionkey = r.r_regionkey
   JOIN part p ON l.l_partkey = p.p_partkey
 ),
+survey AS (
+  SELECT * EXCLUDE (early), round_even(latitude, 0) AS degree
+  FROM raw WHERE NOT early OR family <> 'cold'
+),
 comm_sp AS (
   SELECT p_name AS species,
          CASE WHEN min(p_retailprice) < 901.0 THEN 'yes'
@@ -393,9 +398,9 @@ SQL["coral_by_protection"] = with_ctes(VIEW, INV, CORAL, sites_cte("coral", "cba
 
 def _linear(src: str, keys: str) -> str:
     return f"""
-SELECT {keys}, round(regr_slope(mean_quantity, CAST(year AS DOUBLE)), 6) AS slope,
-       round(regr_intercept(mean_quantity, CAST(year AS DOUBLE)), 6) AS intercept,
-       round(regr_r2(mean_quantity, CAST(year AS DOUBLE)), 6) AS r2,
+SELECT {keys}, CASE WHEN count(DISTINCT CASE WHEN mean_quantity IS NOT NULL THEN year END) > 1 THEN round(regr_slope(mean_quantity, CAST(year AS DOUBLE)), 6) END AS slope,
+       CASE WHEN count(DISTINCT CASE WHEN mean_quantity IS NOT NULL THEN year END) > 1 THEN round(regr_intercept(mean_quantity, CAST(year AS DOUBLE)), 6) END AS intercept,
+       CASE WHEN count(DISTINCT CASE WHEN mean_quantity IS NOT NULL THEN year END) > 1 THEN round(regr_r2(mean_quantity, CAST(year AS DOUBLE)), 6) END AS r2,
        CAST(regr_count(mean_quantity, CAST(year AS DOUBLE)) AS BIGINT) AS n_points
 FROM {src} GROUP BY {keys}"""
 
@@ -629,3 +634,32 @@ def _banded(north: str, south: str) -> str:
 SQL["chart_top_fish_3p"] = _banded(SQL["top_fish_north_3p"], SQL["top_fish_south_3p"])
 SQL["chart_top_inv"] = _banded(SQL["top_inv_north"], SQL["top_inv_south"])
 SQL["chart_top_fish_2p"] = _banded(SQL["top_fish_north_2p"], SQL["top_fish_south_2p"])
+
+# --- operators on their own ---------------------------------------------------------------
+SQL["survey_combined"] = with_ctes(VIEW) + """
+SELECT * REPLACE (round(size, 6) AS size, round(biomass, 6) AS biomass) FROM survey"""
+
+SQL["biomass_site_coverage"] = with_ctes(VIEW, FISH, BRAW, sites_cte("braw", "bal")) + """
+SELECT region, reef, years_monitored, round(coverage, 6) AS coverage FROM bal_sites"""
+
+SQL["balanced_biomass_min_years"] = with_ctes(VIEW, FISH, BRAW, sites_cte("braw", "bal", "3")) + """
+SELECT year, region, protection_level, reef, round(biomass, 6) AS biomass, depth, transect FROM bal"""
+
+SQL["shannon_by_transect_matrix"] = with_ctes(VIEW, """
+known AS (SELECT * FROM survey WHERE quantity IS NOT NULL AND species IS NOT NULL),
+sq AS (
+  SELECT region, reef, transect, species, coalesce(sum(quantity), 0) AS q FROM known GROUP BY ALL
+  UNION ALL SELECT DISTINCT region, reef, transect, '__unit', CAST(transect AS DOUBLE) FROM known
+),
+st AS (SELECT *, sum(q) OVER (PARTITION BY region, reef, transect) AS t FROM sq)""") + """
+SELECT concat_ws('_', coalesce(region, 'NA'), coalesce(reef, 'NA'), coalesce(CAST(transect AS VARCHAR), 'NA'))
+         AS transect_id,
+       region, reef, transect,
+       round(coalesce(0.0 - sum(CASE WHEN q > 0 THEN (q / t) * ln(q / t) END), 0.0), 6) AS shannon_index
+FROM st GROUP BY region, reef, transect"""
+
+SQL["quantity_by_taxa_wide"] = with_ctes(VIEW) + """
+SELECT region, protection_level, """ + ", ".join(
+    f"CASE WHEN count(*) FILTER (taxa2 = '{t}') = 0 THEN 0 ELSE sum(quantity) FILTER (taxa2 = '{t}') END AS \"{t}\""
+    for t in ("ECONOMY", "LARGE", "SMALL")) + """
+FROM survey GROUP BY region, protection_level"""

@@ -24,6 +24,12 @@ biomass            ``l_quantity * p_size / 16``, NULL on line 7 above 40 units
 quantity           ``l_quantity``
 =================  ==================================================
 
+The rows come as two exports with capitalised names and a row id -- orders up
+to 1997 and later ones -- that go through the library's own preparation: the
+family exclusion on the first export only, the strict union, the name
+cleaning.  Every key column and the quantity have missing values (by the
+remainder of an order or customer key), and some quantities are 0.
+
 Measures are dyadic rationals (integers, halves, sixteenths), so every sum is
 exact in binary floating point whatever the summation order: results do not
 depend on how a shuffle happened to order the rows, and two engines agree
@@ -42,13 +48,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.semantics import round_half_even, to_double
+from ..functions.names import with_clean_names
+from ..functions.semantics import nan_to_null, to_double
 from ..operators.outliers import SetRule, YearRule
+from ..operators.unions import union_strict
 from ..plans.profile import Profile
+from .survey import prepare_survey_export
+
+#: Orders up to this year are the historic export, later ones the current export.
+LAST_HISTORIC_YEAR = 1997
 
 OBSERVATION = Profile(
     fish_label="F",
     inv_label="O",
+    historic_excluded_families=("cold",),
     regions=("AFRICA", "AMERICA", "ASIA", "EUROPE"),
     set_rules=(SetRule(regions=("AMERICA", "EUROPE"), families=("blue", "red"), limit=90.0),),
     year_rules=(YearRule(region="EUROPE", year=1998, limit=80.0),),
@@ -107,29 +120,34 @@ def survey_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = c.join(geo, c.c_nationkey == geo.n_nationkey)
     orders = o.join(cust, o.o_custkey == cust.c_custkey)
     fact = li.join(orders, li.l_orderkey == orders.o_orderkey).join(p, li.l_partkey == p.p_partkey)
-    lat = _latitude("c_nationkey")
-    return fact.select(
-        F.col("o_orderstatus").alias("label"),
-        F.year("o_orderdate").cast("int").alias("year"),
-        F.col("r_name").alias("region"),
-        F.col("o_custkey").cast("string").alias("reef"),
-        F.col("l_linestatus").alias("depth"),
-        F.col("l_linenumber").alias("transect"),
-        F.col("l_returnflag").alias("protection_level"),
-        lat.alias("latitude"),
-        F.split_part(F.col("p_name"), F.lit(" "), F.lit(1)).alias("family"),
-        F.col("p_name").alias("species"),
-        F.col("p_type").alias("taxa2"),
-        F.col("p_brand").alias("taxa3"),
+    order, cust_key = F.col("o_orderkey"), F.col("o_custkey")
+    holes = lambda value, key, mod, rest: F.when(key % mod != rest, value)
+    raw = fact.select(
+        F.monotonically_increasing_id().alias("...1"),
+        (F.year("o_orderdate") <= LAST_HISTORIC_YEAR).alias("early"),
+        F.col("o_orderstatus").alias("Label"),
+        holes(F.year("o_orderdate").cast("int"), order, 103, 9).alias("Year"),
+        holes(F.col("r_name"), cust_key, 53, 11).alias("Region"),
+        holes(cust_key.cast("string"), cust_key, 59, 13).alias("Reef"),
+        holes(F.col("l_linestatus"), order, 61, 10).alias("Depth"),
+        holes(F.col("l_linenumber"), order, 61, 12).alias("Transect"),
+        holes(F.col("l_returnflag"), order, 83, 2).alias("Protection Level"),
+        holes(_latitude("c_nationkey"), order, 97, 3).alias("Latitude"),
+        holes(F.split_part(F.col("p_name"), F.lit(" "), F.lit(1)), order, 89, 7).alias("Family"),
+        holes(F.col("p_name"), order, 101, 5).alias("Species"),
+        holes(F.col("p_type"), order, 79, 4).alias("Taxa2"),
+        holes(F.col("p_brand"), order, 73, 6).alias("Taxa3"),
         F.when(F.col("p_size") > 45, F.lit("n/a")).otherwise(F.col("p_size").cast("string"))
-         .alias("trophic_level"),
+         .alias("Trophic Level"),
         F.when(F.col("l_discount") == 0, F.lit(None).cast("double"))
-         .otherwise(F.col("l_quantity") * F.col("l_discount") * F.lit(10)).alias("size"),
+         .otherwise(F.col("l_quantity") * F.col("l_discount") * F.lit(10)).alias("Size"),
         F.when((F.col("l_linenumber") == 7) & (F.col("l_quantity") > 40), F.lit(None).cast("double"))
-         .otherwise(F.col("l_quantity") * F.col("p_size").cast("double") / F.lit(16.0)).alias("biomass"),
-        F.col("l_quantity").alias("quantity"),
-        round_half_even(lat).alias("degree"),
+         .otherwise(F.col("l_quantity") * F.col("p_size").cast("double") / F.lit(16.0)).alias("Biomass"),
+        F.when(order % 67 == 1, F.lit(0.0)).otherwise(holes(F.col("l_quantity"), order, 71, 8)).alias("Quantity"),
     )
+    historic = prepare_survey_export(raw.where("early").drop("early"), OBSERVATION.historic_excluded_families)
+    current = prepare_survey_export(raw.where("not early").drop("early"))
+    return nan_to_null(with_clean_names(union_strict(historic, current)))
 
 
 def commercial_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,18 +59,33 @@ TRAITS_SCHEMA = T.StructType([
 ])
 
 
+def export_schema(columns: Sequence[str]) -> T.StructType:
+    """Types of a survey export's columns, found by their cleaned names; unknown columns are text."""
+    types = dict(SURVEY_COLUMNS)
+    return T.StructType([T.StructField(c, types.get(clean_name(c), T.StringType())) for c in columns])
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
                fmt: str | None = None) -> DataFrame:
-    """Read Parquet or CSV (with header) with an explicit schema when given."""
+    """Read Parquet or CSV (with header, missing values as ``NA``) with an explicit schema when given."""
     fmt = fmt or ("csv" if path.endswith(".csv") else "parquet")
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
     if fmt == "csv":
-        return r.option("header", True).csv(path)
+        return r.option("header", True).option("nullValue", "NA").csv(path)
     return r.format(fmt).load(path)
 
 
+def read_survey_export(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                       fmt: str | None = None) -> DataFrame:
+    """One survey export; a CSV file without a given schema gets the types of ``SURVEY_COLUMNS``."""
+    raw = read_table(spark, path, schema, fmt)
+    if schema is None and (fmt or path.rsplit(".", 1)[-1]) == "csv":
+        return read_table(spark, path, export_schema(raw.columns), "csv")
+    return raw
+
+
 def _col_by_clean_name(df: DataFrame, name: str) -> str:
     for c in df.columns:
         if clean_name(c) == name:
@@ -99,14 +114,18 @@ def load_survey(spark: SparkSession, historic: str, current: str,
                 excluded_families_historic: Sequence[str] = ("Carangidae",),
                 schema: T.StructType | None = None, fmt: str | None = None) -> DataFrame:
     """S1 + S2 + U1 + P1: both exports, united strictly by name, names cleaned."""
-    h = prepare_survey_export(read_table(spark, historic, schema, fmt), excluded_families_historic)
-    c = prepare_survey_export(read_table(spark, current, schema, fmt))
+    h = prepare_survey_export(read_survey_export(spark, historic, schema, fmt), excluded_families_historic)
+    c = prepare_survey_export(read_survey_export(spark, current, schema, fmt))
     return nan_to_null(with_clean_names(union_strict(h, c)))
 
 
 def load_traits(spark: SparkSession, path: str) -> DataFrame:
-    """The species trait table, names cleaned (``Species`` -> ``species``)."""
-    return with_clean_names(read_table(spark, path, TRAITS_SCHEMA, "csv"))
+    """The species trait table, names cleaned (``Species`` -> ``species``).
+
+    A CSV file is read with ``TRAITS_SCHEMA``; a Parquet file has its own types.
+    """
+    csv = path.endswith(".csv")
+    return with_clean_names(read_table(spark, path, TRAITS_SCHEMA if csv else None, "csv" if csv else "parquet"))
 
 
 def write_survey(df: DataFrame, path: str, partition_by: Sequence[str] = ("label",)) -> None:

@@ -1,7 +1,4 @@
-"""Registered queries against their DuckDB oracle SQL on the sf0.001 tables.
-
-The complete check of every query runs with ``python tools/compare.py``.
-"""
+"""Every registered query of the survey pipelines against its DuckDB oracle SQL on the sf0.001 tables."""
 
 import os
 import sys
@@ -13,11 +10,10 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 from compare import compare_one, duck  # noqa: E402
 
 import __spark_entry__ as entry  # noqa: E402
+from reeflens.plans.catalog import QUERIES  # noqa: E402
+from reeflens.plans.oracle import SQL  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-NAMES = ["size_flags_events", "fish_productivity", "biomass_by_region", "biomass_by_protection",
-         "top_fish_north_3p", "coral_trend_region_linear", "inv_bars_absolute", "top_inv_south",
-         "richness_history", "shannon_by_transect", "chart_echinoderm_log"]
 
 
 @pytest.fixture(scope="module")
@@ -25,13 +21,15 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, con, name):
-    ok, msg = compare_one(spark, con, name, SF, entry.queries()[name], entry.oracle_sql()[name])
+    ok, msg = compare_one(spark, con, name, SF, QUERIES[name], SQL[name])
     assert ok, msg
 
 
-def test_every_query_has_an_oracle_or_is_a_fit():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
-    assert missing == {"coral_trend_region_smooth", "coral_trend_protection_smooth",
-                       "coral_trend_region_fitted"}
+def test_only_spline_fits_have_no_oracle():
+    assert all("_smooth" in name or "_fitted" in name for name in set(QUERIES) - set(SQL))
+
+
+def test_entry_registers_everything():
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
