@@ -110,6 +110,18 @@ def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["id", "shingles"])
 
 
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per shingle of the sets of (node, cluster, shingles), a few thousand shingles at a time."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, 64):
+            part = batch.slice(i, 64)
+            sets = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column(2)]
+            row = pa.array(np.repeat(np.arange(len(sets)), [len(s) for s in sets]))
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0).take(row), part.column(1).take(row), pa.array(np.concatenate(sets))],
+                names=["node", "cluster", "shingle"])
+
+
 def _jaccard(percent: int) -> Callable:
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,7 +177,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return (pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
                 .mapInArrow(_jaccard(THRESHOLD_PERCENT), pair_type))
 
-    labels = joined_up(shared, verified, nodes, _alike)
+    def listed(clusters: DataFrame) -> DataFrame:
+        held = clusters.join(sets, F.col("node") == F.col("id")).select("node", "cluster", "shingles")
+        return held.mapInArrow(_listed, T.StructType([
+            T.StructField("node", kind), T.StructField("cluster", kind), T.StructField("shingle", T.LongType())]))
+
+    sizes = sets.select(F.col("id").alias("node"), (F.length("shingles") / 8).cast("long").alias("n"))
+    labels = joined_up(shared, verified, THRESHOLD_PERCENT, nodes, _alike, sizes, listed)
     folded = classes.select("n", "p1", "p2", "node").join(labels, "node", "left").select(
         "n", "p1", "p2", F.coalesce("component", "node").alias("component"))
     out = sketches.select("id", "n", "p1", "p2").join(folded, ["n", "p1", "p2"], "left")

@@ -10,15 +10,19 @@ from pyspark.sql import functions as F
 from .components import components
 from .scratch import stored
 
+#: Most nodes of a cluster that share a rare shingle, in clusters of 400 nodes or more.
+RARE = 8
+
 
 def shared_buckets(members: DataFrame) -> DataFrame:
     """``(key, node, leader)`` of ``members(key, node)`` in buckets with two nodes or more.
 
     The leader is the bucket's smallest node: a partial aggregate, joined back,
-    so that a bucket's rows never have to meet in one task.
+    so that a bucket's rows never have to meet in one task.  Leaders have one
+    row per key, which a hash table per partition holds.
     """
     leaders = members.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader <> last")
-    return members.join(leaders, "key").select("key", "node", "leader")
+    return members.join(leaders.hint("shuffle_hash"), "key").select("key", "node", "leader")
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -29,22 +33,44 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
             .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
 
 
-def joined_up(shared: DataFrame, verified: Callable[[DataFrame], DataFrame], sketches: DataFrame | None = None,
-              alike: Callable[[str, str], Column] | None = None) -> DataFrame:
+def _cores(clusters: DataFrame, sizes: DataFrame, listed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(node, n, core)``, where core counts the shingles that are not rare; pairs that share a rare one.
+
+    A shingle is rare if RARE nodes of its cluster have it, or fewer in a
+    small cluster, so that it makes few pairs.
+    """
+    most = F.least(F.lit(RARE), 1 + F.floor(F.count("*") / 50))
+    rarity = clusters.groupBy("cluster").agg(most.alias("most"))
+    counts = listed.groupBy("cluster", "shingle").agg(F.count("*").alias("c")).where(F.col("c") <= RARE)
+    rare = counts.join(rarity, "cluster").where("c <= most").select("cluster", "shingle", "c")
+    rare = stored(listed.join(rare, ["cluster", "shingle"]), "rare")
+    owned = rare.groupBy("node").agg(F.count("*").alias("rare"))
+    bound = clusters.select("node").join(sizes, "node").join(owned, "node", "left").select(
+        "node", "n", (F.col("n") - F.coalesce("rare", F.lit(0))).alias("core"))
+    some = rare.where("c > 1")
+    both = some.alias("x").join(some.alias("y"), (F.col("x.cluster") == F.col("y.cluster"))
+                                & (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") < F.col("y.node")))
+    return stored(bound, "bounds"), both.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+
+def joined_up(shared: DataFrame, verified: Callable[[DataFrame], DataFrame], percent: int, sketches: DataFrame,
+              alike: Callable[[str, str], Column], sizes: DataFrame, listed: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``(node, component)`` of the nodes that ``verified`` links.
 
-    ``verified`` keeps the linked pairs of a table ``(a, b)``; ``alike`` is a
-    cheap test that linked pairs pass, on two aliases of ``sketches``.  Every
-    node first meets one leader of its buckets, then its other leaders, and
-    then every member of its buckets, each time only where the two are still
-    in different components: the components are those of all links that the
-    buckets hold.
+    ``verified`` keeps the pairs of a table ``(a, b)`` whose shingle sets have
+    a Jaccard of ``percent`` or more; ``alike`` is a cheap test that such pairs
+    pass, on two aliases of ``sketches``.  Every node first meets one leader of
+    its buckets, then its other leaders, and then the members of its cluster,
+    each time only where the two are still in different components.  For the
+    last step ``sizes`` has the sets' sizes as ``(node, n)`` and ``listed``
+    makes ``(node, cluster, shingle)`` of ``(node, cluster)``; nodes that share
+    a bucket are in one cluster.  Two nodes with no rare shingle of the cluster
+    in common share no more than the smaller of what else they have; pairs
+    that this rules out are not compared.
     """
     stars = shared.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    if alike:
-        stars = stars.join(sketches.alias("x"), F.col("a") == F.col("x.node")).join(
-            sketches.alias("y"), F.col("b") == F.col("y.node")).where(alike("x", "y")).select("a", "b")
-    stars = stored(stars, "stars")
+    stars = stored(stars.join(sketches.alias("x"), F.col("a") == F.col("x.node")).join(
+        sketches.alias("y"), F.col("b") == F.col("y.node")).where(alike("x", "y")).select("a", "b"), "stars")
     tried = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     links = stored(verified(tried), "links")
     labels = stored(components(links), "labels")
@@ -55,10 +81,22 @@ def joined_up(shared: DataFrame, verified: Callable[[DataFrame], DataFrame], ske
 
     placed = shared.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("part"))
     open_keys = placed.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi")
-    placed = placed.join(open_keys.select("key"), "key", "left_semi")
-    placed = stored(placed.join(sketches, "node") if alike else placed, "open")
-    meet = (F.col("x.key") == F.col("y.key")) & (F.col("x.part") < F.col("y.part"))
-    rest = placed.alias("x").join(placed.alias("y"), (meet & alike("x", "y")) if alike else meet).select(
-        F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    rest = stored(verified(rest.join(stars, ["a", "b"], "left_anti")), "links")
-    return components(links.unionByName(rest))
+    placed = stored(placed.join(open_keys.select("key"), "key", "left_semi"), "open")
+    least = placed.groupBy("key").agg(F.min("node").alias("a"))
+    clusters = components(placed.join(least, "key").select("a", F.col("node").alias("b")).distinct())
+    clusters = stored(clusters.select("node", F.col("component").alias("cluster")), "clusters")
+    bound, other = _cores(clusters, sizes, listed(clusters))
+    core = F.least("x.core", "y.core")
+    within = 100 * core >= percent * (F.col("x.n") + F.col("y.n") - core)
+    parts = placed.select("node", "part").distinct().join(clusters, "node")
+    main = parts.groupBy("cluster", "part").agg(F.count("*").alias("c")).groupBy("cluster").agg(
+        F.max_by("part", F.struct("c", "part")).alias("main"))
+    near = parts.join(bound, "node").where(100 * F.col("core") >= percent * F.col("n")).join(main, "cluster").join(sketches, "node")
+    near = stored(near.withColumn("inner", F.col("part") == F.col("main")), "near")
+    # the few outside a cluster's main component against the others
+    rest = near.where("not inner").alias("x").join(
+        near.alias("y"), (F.col("x.cluster") == F.col("y.cluster")) & (F.col("x.part") != F.col("y.part"))
+        & (F.col("y.inner") | (F.col("x.node") < F.col("y.node"))) & within & alike("x", "y"))
+    rest = rest.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+    rest = rest.unionByName(_apart(other, labels)).distinct().join(stars, ["a", "b"], "left_anti")
+    return components(links.unionByName(stored(verified(rest), "links")))
