@@ -39,17 +39,13 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it (a shared file system path).  Only in local mode --
-    tests -- is a fresh scratch folder created when it is unset; on a cluster
-    a machine-local folder would be invisible to executors, so that is an
-    error.
+    A cluster names it (a path that driver and executors share).  Only where
+    it is unset on a local master, as in a quick trial, is a scratch folder
+    made; elsewhere executors could not see such a folder, so that is an error.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 -- Spark Connect: the server owns the checkpoint folder
-        return spark.conf.get("spark.checkpoint.dir", "") or ""
+    sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not d:
         if not sc.master.startswith("local"):

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -11,7 +12,8 @@ if ROOT not in sys.path:
 @pytest.fixture(scope="session")
 def spark():
     from reeflens.session import get_session
-    s = get_session("local[4]", 4, app_name="reeflens-tests")
+    s = get_session("local[4]", 4, app_name="reeflens-tests",
+                    extra_conf={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="reeflens-tests-")})
     yield s
 
 

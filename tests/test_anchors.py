@@ -15,8 +15,9 @@ def test_outlier_screen_on_events(spark):
 
 
 def test_shannon_units(spark):
-    assert entry.queries()["shannon_by_transect"](spark, SF).count() == 10361
+    # distinct (region, reef, transect) with a quantity and a species, counted from the raw tables
+    assert entry.queries()["shannon_by_transect"](spark, SF).count() == 10378
 
 
 def test_richness_trend_rows(spark):
-    assert entry.queries()["richness_by_region"](spark, SF).count() == 105
+    assert entry.queries()["richness_by_region"](spark, SF).count() == 126

@@ -262,3 +262,17 @@ def test_d8_order_of_operations(spark, rows):
     assert [r["total_biomass"] for r in out] == [34.0, 34.0]
     assert [round(r["rel_biomass"], 6) for r in out] == [23.529412, 29.411765]
     assert out[1]["species_key"] == "A___" + h
+
+
+def test_quartiles_of_a_hot_species_with_distinct_sizes(spark):
+    from reeflens.operators.outliers import species_quartiles
+    hot = [("hot", float(v * 7919 % 5003)) for v in range(3000)]
+    rest = [(f"s{i % 40}", float(i % 13)) for i in range(4000)] + [(None, 2.0), (None, 4.0), ("none", None)]
+    got = {r["species"]: (r["q1"], r["q3"]) for r in species_quartiles(
+        spark.createDataFrame(hot + rest, "species string, size double")).collect()}
+    import numpy as np
+    groups = {}
+    for k, v in hot + rest:
+        if v is not None:
+            groups.setdefault(k, []).append(v)
+    assert got == {k: tuple(pytest.approx(np.quantile(v, q)) for q in (0.25, 0.75)) for k, v in groups.items()}

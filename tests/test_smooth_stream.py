@@ -32,7 +32,7 @@ def test_ingest_appends_new_files_only(spark):
     src, table, ckpt = (os.path.join(base, d) for d in ("src", "table", "ckpt"))
     spark.createDataFrame([("PEC", 2020, 24.5, "Labridae", 1.0), ("INV", 2020, 25.5, None, float("nan"))],
                           schema).coalesce(1).write.parquet(os.path.join(src, "batch1"))
-    q = ingest_exports(spark, os.path.join(src, "*"), table, schema, checkpoint=ckpt)
+    q = ingest_exports(spark, os.path.join(src, "*"), table, schema, checkpoint=ckpt, has_row_id=False)
     q.awaitTermination()
     out = spark.read.parquet(table)
     assert out.count() == 2
@@ -40,7 +40,7 @@ def test_ingest_appends_new_files_only(spark):
     assert out.filter(F.col("biomass").isNull()).count() == 1
     spark.createDataFrame([("PEC", 2021, 26.0, "Labridae", 2.0)], schema).coalesce(1) \
          .write.parquet(os.path.join(src, "batch2"))
-    q = ingest_exports(spark, os.path.join(src, "*"), table, schema, checkpoint=ckpt)
+    q = ingest_exports(spark, os.path.join(src, "*"), table, schema, checkpoint=ckpt, has_row_id=False)
     q.awaitTermination()
     assert spark.read.parquet(table).count() == 3
 
@@ -51,9 +51,26 @@ def test_smooth_short_series(spark):
             ("long", 2000, 0.0), ("long", 2010, 1.0)] + [("long", y, float(y % 3)) for y in range(2001, 2010)]
     df = spark.createDataFrame(rows, "s string, year int, v double")
     m = {r["s"]: r for r in smooth_trend(df, "year", "v", ["s"], k=6).collect()}
-    assert m["two"]["coefficients"] is None and m["two"]["edf"] is None
+    # too short for a spline: the straight line
+    assert m["two"]["lambda"] is None and m["two"]["edf"] == 2.0
+    assert m["two"]["slope"] == pytest.approx(2.0) and m["two"]["intercept"] + 2000 * m["two"]["slope"] == pytest.approx(1.0)
     assert m["three"]["edf"] < 2.5
     fit = {r["year"]: r["fitted"] for r in
            fitted_values(df, smooth_trend(df, "year", "v", ["s"], k=6), "year", ["s"], k=6)
            .filter(F.col("s") == "three").collect()}
     assert fit[2005] == pytest.approx(2.0, abs=1e-3)
+
+
+def test_fit_does_not_depend_on_a_constant(spark):
+    import math
+    rows = [("a", float(x), math.sin(x / 3) + (x * 37 % 11) / 20) for x in range(30)]
+    far = 2.0 ** 30  # about 1e9, exact in binary
+    fits = []
+    for add in (0.0, far):
+        df = spark.createDataFrame([(s, x, y + add) for s, x, y in rows], "s string, x double, y double")
+        fits.append(smooth_trend(df, "x", "y", ["s"]).collect()[0])
+    a, b = fits
+    for c in ("edf", "lambda", "r2", "slope", "gcv"):
+        assert b[c] == pytest.approx(a[c], rel=1e-4)
+    assert b["intercept"] - a["intercept"] == pytest.approx(far, rel=1e-9)
+    assert all(q - p == pytest.approx(far, rel=1e-9) for p, q in zip(a["coefficients"], b["coefficients"]))
