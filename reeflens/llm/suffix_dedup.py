@@ -1,7 +1,8 @@
 """Removal of repeated byte passages by prefix-free parsing.
 
 1. A rolling hash over WINDOW bytes places triggers, which cut every text into
-   phrases.  A start position's suffix is the rest of its phrase (a suffix of
+   phrases; where MATCH bytes hold no trigger, their window of least hash takes
+   its place.  A start position's suffix is the rest of its phrase (a suffix of
    a dictionary phrase, up to the next trigger) followed by a suffix of the
    parse.
 2. Positions of one phrase are handled together.  A MATCH-byte string that
@@ -55,6 +56,17 @@ def _hash(sums: tuple[np.ndarray, np.ndarray], start: np.ndarray, end: np.ndarra
     return (sums[0][end] - sums[0][start]) * sums[1][start]
 
 
+def _least(values: np.ndarray, width: int) -> np.ndarray:
+    """Index of the first least value in every stretch of ``width``, by minima of blocks from both sides."""
+    low = np.uint64((1 << 22) - 1)
+    x = (values & ~low) | np.arange(len(values), dtype=np.uint64)
+    n = len(x) - width + 1
+    x = np.append(x, np.full(-len(x) % width, ~np.uint64(0)))
+    ahead = np.minimum.accumulate(x.reshape(-1, width), axis=1).ravel()
+    back = np.minimum.accumulate(x.reshape(-1, width)[:, ::-1], axis=1)[:, ::-1].ravel()
+    return (np.minimum(back[:n], ahead[width - 1:width - 1 + n]) & low).astype(np.int64)
+
+
 def _runs(buf: np.ndarray, lo: int, hi: int, end_of: np.ndarray) -> tuple[np.ndarray, ...]:
     """Runs of start positions in [lo, hi): first, length - 1, key and name of each run.
 
@@ -63,18 +75,22 @@ def _runs(buf: np.ndarray, lo: int, hi: int, end_of: np.ndarray) -> tuple[np.nda
     x = _value[buf[lo:min(len(buf), hi + MATCH)]]
     one, two = _sums(x, BASE), _sums(x, BASE_2)
     at = np.arange(max(0, len(x) - WINDOW + 1))
-    trigger = at[(mix(_hash(one, at, at + WINDOW)) >> np.uint64(64 - PHRASE_BITS)) == 0]
+    rolled = mix(_hash(one, at, at + WINDOW))
+    trigger = np.flatnonzero((rolled >> np.uint64(64 - PHRASE_BITS)) == 0)
     v = np.flatnonzero(np.arange(lo, hi) + MATCH <= end_of)
     t = np.append(trigger, 1 << 40)[np.searchsorted(trigger, v)]
-    alone = t - v > MATCH - WINDOW  # no trigger inside the string: its whole is its key
-    block = np.where(alone, 255, (t - v) // BLOCK)
+    alone = t - v > MATCH - WINDOW
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], alone, [False]])))
+    for i, j in zip(edges[::2], edges[1::2]):  # no trigger inside the string: its least window takes the place
+        for k in np.split(np.arange(i, j), np.flatnonzero(np.diff(v[i:j]) > 1) + 1):
+            t[k] = v[k[0]] + _least(rolled[v[k[0]]:v[k[-1]] + MATCH - WINDOW + 1], MATCH - WINDOW + 1)
+    block = (t - v) // BLOCK + np.where(alone, 8, 0)
     new = np.ones(len(v), bool)
-    new[1:] = (v[1:] != v[:-1] + 1) | (t[1:] != t[:-1]) | (block[1:] != block[:-1]) | alone[1:]
+    new[1:] = (v[1:] != v[:-1] + 1) | (t[1:] != t[:-1]) | (block[1:] != block[:-1])
     first = np.flatnonzero(new)
     a, b = v[first], v[np.append(first[1:], len(v)) - 1] if len(v) else v
-    key_at = np.where(alone[first], a, t[first] - BLOCK * block[first])
-    key_to = key_at + np.where(alone[first], MATCH, KEY)
-    key = mix(_hash(one, key_at, key_to) + block[first].astype(np.uint64) * np.uint64(MIX_1))
+    key_at = t[first] - BLOCK * (block[first] % 8)
+    key = mix(_hash(one, key_at, key_at + KEY) + block[first].astype(np.uint64) * np.uint64(MIX_1))
     name = mix(_hash(two, a, b + MATCH) + (b - a).astype(np.uint64))
     return a + lo, b - a, key.view(np.int64), name.view(np.int64)
 
