@@ -26,7 +26,7 @@ raw AS (
     CASE WHEN p.p_size > 45 THEN 'n/a' ELSE CAST(p.p_size AS VARCHAR) END AS trophic_level,
     CASE WHEN l.l_discount = 0 THEN NULL ELSE l.l_quantity * l.l_discount * 10 END AS size,
     CASE WHEN l.l_linenumber = 7 AND l.l_quantity > 40 THEN NULL
-         ELSE l.l_quantity * CAST(p.p_size AS DOUBLE) / 16.0 END AS biomass,
+         ELSE l.l_quantity * CAST(p.p_size AS DOUBLE) END AS biomass,
     CASE WHEN o.o_orderkey % 67 = 1 THEN 0.0
          WHEN o.o_orderkey % 71 <> 8 THEN l.l_quantity END AS quantity
   FROM lineitem l
@@ -77,8 +77,8 @@ fish1 AS (
     ON f.species IS NOT DISTINCT FROM g.species AND f.trophic_level IS NOT DISTINCT FROM g.trophic_level
   WHERE coalesce(f.region IN ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE'), false)
     AND NOT (coalesce(f.region IN ('AMERICA', 'EUROPE'), false)
-             AND coalesce(f.family IN ('blue', 'red'), false) AND f.biomass > 90.0)
-    AND NOT (f.region = 'EUROPE' AND f.year = 1998 AND f.biomass > 80.0)
+             AND coalesce(f.family IN ('blue', 'red'), false) AND f.biomass > 1440.0)
+    AND NOT (f.region = 'EUROPE' AND f.year = 1998 AND f.biomass > 1280.0)
 ),
 quart AS (
   SELECT species, quantile_cont(size, 0.25) AS q1, quantile_cont(size, 0.75) AS q3
@@ -164,16 +164,16 @@ def _case(col: str, mapping: list[tuple[str, object]]) -> str:
     return f"CASE {parts} END"
 
 
-PROT = [("A", "Sin Pesca"), ("N", "Multi-uso"), ("R", "Sin Protección")]
-FUNC = [("ECONOMY", "Depredadores solitarios"), ("LARGE", "Depredadores en cardúmenes"),
-        ("MEDIUM", "Omnívoros en cardúmen"), ("PROMO", "Herbívoros en cardúmen"),
-        ("STANDARD", "Crípticos solitarios"), ("SMALL", "Pelágicos")]
-P3 = ["Histórico (1995-1997)", "Calentamiento (1998-2000)", "2001"]
-P2 = ["Histórico (1995-2000)", "2001"]
-P3_CASE = ("CASE WHEN year <= 1997 THEN 'Histórico (1995-1997)' "
-           "WHEN year >= 1998 AND year <= 2000 THEN 'Calentamiento (1998-2000)' "
+PROT = [("A", "closed"), ("N", "mixed use"), ("R", "unprotected")]
+FUNC = [("ECONOMY", "lone buyers"), ("LARGE", "bulk buyers"),
+        ("MEDIUM", "general stock"), ("PROMO", "small stock"),
+        ("STANDARD", "rare stock"), ("SMALL", "open stock")]
+P3 = ["early (1995-1997)", "late (1998-2000)", "2001"]
+P2 = ["before (1995-2000)", "2001"]
+P3_CASE = ("CASE WHEN year <= 1997 THEN 'early (1995-1997)' "
+           "WHEN year >= 1998 AND year <= 2000 THEN 'late (1998-2000)' "
            "WHEN year >= 2001 AND year <= 2001 THEN '2001' END")
-P2_CASE = ("CASE WHEN year <= 2000 THEN 'Histórico (1995-2000)' "
+P2_CASE = ("CASE WHEN year <= 2000 THEN 'before (1995-2000)' "
            "WHEN year >= 2001 AND year <= 2001 THEN '2001' END")
 ORDER_NS = ["MIDDLE EAST", "EUROPE", "ASIA", "AMERICA", "AFRICA"]
 
@@ -188,8 +188,8 @@ def _factor(col: str, levels: list[str], labels: list[str] | None = None, out: s
 
 def _band(lat: str) -> str:
     r = f"round_even({lat}, 0)"
-    return (f"CASE WHEN ({r} >= 26.0) IS NULL THEN NULL WHEN {r} >= 26.0 THEN 'Arriba de 26°' "
-            f"ELSE 'Debajo de 26°' END")
+    return (f"CASE WHEN ({r} >= 26.0) IS NULL THEN NULL WHEN {r} >= 26.0 THEN '26 and above' "
+            f"ELSE 'below 26' END")
 
 
 BRAW = """
@@ -328,7 +328,7 @@ SELECT species, functional_name FROM sfun"""
 
 
 def _top_fish(src: str, band: str, levels: list[str]) -> str:
-    other = "Debajo de 26°" if band == "north" else "Arriba de 26°"
+    other = "below 26" if band == "north" else "26 and above"
     return f"""
 tx AS (
   SELECT b.*, l.lat, {_band('l.lat')} AS degree
@@ -363,7 +363,7 @@ tj2 AS (
 ),
 tj3 AS (
   SELECT *, coalesce(species, 'NA') || '___' || coalesce(period, 'NA') AS species_key
-  FROM tj2 WHERE functional_name <> 'Pelágicos'
+  FROM tj2 WHERE functional_name <> 'open stock'
 ),
 tj4 AS (SELECT *, avg(rel_biomass) OVER (PARTITION BY period, species_key) AS m FROM tj3)"""
 
@@ -468,7 +468,7 @@ SELECT DISTINCT taxa, species FROM binv"""
 
 
 def _top_inv(band: str) -> str:
-    other = "Debajo de 26°" if band == "north" else "Arriba de 26°"
+    other = "below 26" if band == "north" else "26 and above"
     return f"""
 ux AS (
   SELECT b.*, l.lat, {_band('l.lat')} AS degree
@@ -529,10 +529,10 @@ SQL["richness_history"] = with_ctes(
     VIEW, RICH, sites_cte("rr", "rbal"), _trend_cte("rbr", "rbal", "year, region, label", "richness"),
     """
 h AS (
-  SELECT *, CASE WHEN year IS NULL THEN NULL WHEN year < 2001 THEN 'Histórico' ELSE '2001' END AS cat
+  SELECT *, CASE WHEN year IS NULL THEN NULL WHEN year < 2001 THEN 'before' ELSE '2001' END AS cat
   FROM rbr WHERE coalesce(region IN ('AFRICA', 'ASIA', 'EUROPE', 'MIDDLE EAST'), false)
 ),
-h2 AS (SELECT *, """ + _factor("cat", ["Histórico", "2001"], out="category") + """ FROM h),
+h2 AS (SELECT *, """ + _factor("cat", ["before", "2001"], out="category") + """ FROM h),
 hm AS (
   SELECT category, category_ord, region, label, avg(mean_richness) AS richness
   FROM h2 GROUP BY category, category_ord, region, label
@@ -627,8 +627,8 @@ FROM er2"""
 
 
 def _banded(north: str, south: str) -> str:
-    return (f"SELECT *, 'Arriba de 26°' AS band FROM ({north}) "
-            f"UNION ALL SELECT *, 'Debajo de 26°' AS band FROM ({south})")
+    return (f"SELECT *, '26 and above' AS band FROM ({north}) "
+            f"UNION ALL SELECT *, 'below 26' AS band FROM ({south})")
 
 
 SQL["chart_top_fish_3p"] = _banded(SQL["top_fish_north_3p"], SQL["top_fish_south_3p"])

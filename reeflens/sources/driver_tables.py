@@ -20,7 +20,7 @@ species            ``p_name``
 taxa2 / taxa3      ``p_type`` / ``p_brand``
 trophic_level      ``p_size`` as text, ``'n/a'`` above 45 (unparsable -> NULL)
 size               ``l_quantity * l_discount * 10``, NULL when there is no discount
-biomass            ``l_quantity * p_size / 16``, NULL on line 7 above 40 units
+biomass            ``l_quantity * p_size``, NULL on line 7 above 40 units
 quantity           ``l_quantity``
 =================  ==================================================
 
@@ -30,7 +30,7 @@ family exclusion on the first export only, the strict union, the name
 cleaning.  Every key column and the quantity have missing values (by the
 remainder of an order or customer key), and some quantities are 0.
 
-Measures are dyadic rationals (integers, halves, sixteenths), so every sum is
+Measures are dyadic rationals (integers, halves), so every sum is
 exact in binary floating point whatever the summation order: results do not
 depend on how a shuffle happened to order the rows, and two engines agree
 bit for bit (a decimal measure such as ``l_extendedprice / 1000`` produces
@@ -63,24 +63,24 @@ OBSERVATION = Profile(
     inv_label="O",
     historic_excluded_families=("cold",),
     regions=("AFRICA", "AMERICA", "ASIA", "EUROPE"),
-    set_rules=(SetRule(regions=("AMERICA", "EUROPE"), families=("blue", "red"), limit=90.0),),
-    year_rules=(YearRule(region="EUROPE", year=1998, limit=80.0),),
+    set_rules=(SetRule(regions=("AMERICA", "EUROPE"), families=("blue", "red"), limit=1440.0),),
+    year_rules=(YearRule(region="EUROPE", year=1998, limit=1280.0),),
     transect_grain_region="EUROPE",
     chart_excluded_regions=("AMERICA",),
     protection_levels=("A", "N", "R"),
-    protection_labels=("Sin Pesca", "Multi-uso", "Sin Protección"),
+    protection_labels=("closed", "mixed use", "unprotected"),
     functional_levels=("ECONOMY", "LARGE", "MEDIUM", "PROMO", "STANDARD", "SMALL"),
-    functional_labels=("Depredadores solitarios", "Depredadores en cardúmenes",
-                       "Omnívoros en cardúmen", "Herbívoros en cardúmen", "Crípticos solitarios",
-                       "Pelágicos"),
+    functional_labels=("lone buyers", "bulk buyers",
+                       "general stock", "small stock", "rare stock",
+                       "open stock"),
     pelagic_level="SMALL",
-    pelagic_label="Pelágicos",
-    periods3=((None, 1997, "Histórico (1995-1997)"), (1998, 2000, "Calentamiento (1998-2000)"),
+    pelagic_label="open stock",
+    periods3=((None, 1997, "early (1995-1997)"), (1998, 2000, "late (1998-2000)"),
               (2001, 2001, "2001")),
-    periods2=((None, 2000, "Histórico (1995-2000)"), (2001, 2001, "2001")),
+    periods2=((None, 2000, "before (1995-2000)"), (2001, 2001, "2001")),
     lat_cut=26.0,
-    band_above="Arriba de 26°",
-    band_below="Debajo de 26°",
+    band_above="26 and above",
+    band_below="below 26",
     coral_taxa3=("Brand#1", "Brand#2"),
     echinoderm_taxa2=("SMALL", "LARGE"),
     collapse_early=("widget", "widget sp"),
@@ -88,7 +88,7 @@ OBSERVATION = Profile(
     region_order=("MIDDLE EAST", "EUROPE", "ASIA", "AMERICA", "AFRICA"),
     richness_regions=("AFRICA", "ASIA", "EUROPE", "MIDDLE EAST"),
     current_year=2001,
-    history_label="Histórico",
+    history_label="before",
     current_label="2001",
 )
 
@@ -142,7 +142,7 @@ def survey_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_discount") == 0, F.lit(None).cast("double"))
          .otherwise(F.col("l_quantity") * F.col("l_discount") * F.lit(10)).alias("Size"),
         F.when((F.col("l_linenumber") == 7) & (F.col("l_quantity") > 40), F.lit(None).cast("double"))
-         .otherwise(F.col("l_quantity") * F.col("p_size").cast("double") / F.lit(16.0)).alias("Biomass"),
+         .otherwise(F.col("l_quantity") * F.col("p_size").cast("double")).alias("Biomass"),
         F.when(order % 67 == 1, F.lit(0.0)).otherwise(holes(F.col("l_quantity"), order, 71, 8)).alias("Quantity"),
     )
     historic = prepare_survey_export(raw.where("early").drop("early"), OBSERVATION.historic_excluded_families)
