@@ -92,22 +92,28 @@ def _fitter(series: list[str], names: list[str], k: int, lambdas: tuple[float, .
             rise = np.where(sloped, spy / np.where(sloped, spread, 1.0), 0.0)
             base = -rise * sp / n
             line_rss = np.maximum(yy - rise * spy, 0.0)
-            beta = base[:, None] + rise[:, None] * (np.arange(k) - 1.0)
-            edf, gcv = np.where(sloped, 2.0, 1.0), np.full(m, np.nan)
-            lam, rss = np.full(m, np.nan), line_rss.copy()
-            for value in sorted(lambdas, reverse=True):  # ties go to the larger penalty
-                a = g + value * penalty
+
+            def solve(value):
+                """Coefficients, edf, residual sum and GCV score (infinite where there is no fit) for a penalty per series."""
+                a = g + value[:, None, None] * penalty
                 ok = np.linalg.cond(a) < 1e15
                 both = np.linalg.solve(np.where(ok[:, None, None], a, np.eye(k)), np.concatenate([hv[:, :, None], g], axis=2))
                 b, freedom = both[:, :, 0], np.trace(both[:, :, 1:], axis1=1, axis2=2)
                 left = np.maximum(yy - 2 * (b * hv).sum(1) + np.einsum("ni,nij,nj->n", b, g, b), 0.0)
                 room = n - freedom
                 ok &= room > 0.5
-                score = np.where(ok, n * left / np.where(ok, room, 1.0) ** 2, np.inf)
-                better = ok & (np.isnan(gcv) | (score < gcv * (1 - 1e-9)))
-                gcv, lam = np.where(better, score, gcv), np.where(better, value, lam)
-                edf, rss = np.where(better, freedom, edf), np.where(better, left, rss)
-                beta = np.where(better[:, None], b, beta)
+                return b, freedom, left, np.where(ok, n * left / np.where(ok, room, 1.0) ** 2, np.inf)
+
+            grid = np.array(sorted(lambdas, reverse=True))
+            scores = np.array([solve(np.full(m, value))[3] for value in grid])
+            # scores that differ by less than a millionth are ties, which go to the larger penalty
+            chosen = np.argmax(scores * (1 - 1e-6) <= scores.min(axis=0), axis=0)
+            b, freedom, left, score = solve(grid[chosen])
+            fits = np.isfinite(score)
+            edf = np.where(fits, freedom, np.where(sloped, 2.0, 1.0))
+            gcv, lam = np.where(fits, score, np.nan), np.where(fits, grid[chosen], np.nan)
+            rss = np.where(fits, left, line_rss)
+            beta = np.where(fits[:, None], b, base[:, None] + rise[:, None] * (np.arange(k) - 1.0))
             slope = np.where(step > 0, rise / np.where(step > 0, step, 1.0), 0.0)
             out = pdf[series].copy()
             out["n"], out["edf"], out["lambda"], out["gcv"] = pdf["n"], edf, lam, gcv
@@ -167,7 +173,10 @@ def smooth_trend(df: DataFrame, x: str, y: str, series: Sequence[str], k: int =
 
 def fitted_values(df: DataFrame, models: DataFrame, x: str, series: Sequence[str],
                   k: int = 10, out: str = "fitted") -> DataFrame:
-    """Evaluate each series' spline at its rows; the models (one row per series) are fitted once and stored."""
+    """Evaluate each series' spline at its rows; NULL where ``x`` is NULL.
+
+    The models (one row per series) are fitted once and stored.
+    """
     m = stored(models.select(*series, "coefficients", "_lo", "_hi"), "models")
     j = _null_safe_join(df, m, list(series), "left").withColumn("_fx", F.col(x).cast("double"))
     j = with_basis(j, "_fx", "_lo", "_hi", k, prefix="_fb")
@@ -175,5 +184,5 @@ def fitted_values(df: DataFrame, models: DataFrame, x: str, series: Sequence[str
     for i in range(k):
         term = F.col("coefficients")[i] * F.col(f"_fb{i}")
         fitted = term if fitted is None else fitted + term
-    return (j.withColumn(out, fitted)
+    return (j.withColumn(out, F.when(F.col("_fx").isNotNull(), fitted))
              .drop("coefficients", "_lo", "_hi", "_fx", *[f"_fb{i}" for i in range(k)]))

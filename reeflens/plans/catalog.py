@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import ArrayType, DoubleType, FloatType
 
 from ..operators.outliers import drop_flagged, size_check
 from ..operators.sites import consistent_sites
@@ -28,11 +28,14 @@ P: Profile = dt.OBSERVATION
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every floating column (presentation for cross-engine comparison)."""
-    return df.select(*[
-        F.round(F.col(f.name), digits).alias(f.name)
-        if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
-        for f in df.schema.fields])
+    """Round every floating column and array (presentation for cross-engine comparison)."""
+    def shown(f):
+        if isinstance(f.dataType, (DoubleType, FloatType)):
+            return F.round(F.col(f.name), digits).alias(f.name)
+        if isinstance(f.dataType, ArrayType) and isinstance(f.dataType.elementType, DoubleType):
+            return F.transform(f.name, lambda v: F.round(v, digits)).alias(f.name)
+        return F.col(f.name)
+    return df.select(*[shown(f) for f in df.schema.fields])
 
 
 def analysis(spark: SparkSession, sf_dir: str, survey: DataFrame | None = None,
@@ -48,7 +51,8 @@ def _q(name: str) -> Callable[..., DataFrame]:
 
     def run(spark: SparkSession, sf_dir: str, survey: DataFrame | None = None,
             fish_stem: DataFrame | None = None) -> DataFrame:
-        return rounded(build(analysis(spark, sf_dir, survey, fish_stem)))
+        # the figures of a penalised fit have fewer digits that do not depend on the solver
+        return rounded(build(analysis(spark, sf_dir, survey, fish_stem)), 4 if name.endswith("_smooth") else 6)
     run.uses_survey = True
     return run
 

@@ -663,3 +663,122 @@ SELECT region, protection_level, """ + ", ".join(
     f"CASE WHEN count(*) FILTER (taxa2 = '{t}') = 0 THEN 0 ELSE sum(quantity) FILTER (taxa2 = '{t}') END AS \"{t}\""
     for t in ("ECONOMY", "LARGE", "SMALL")) + """
 FROM survey GROUP BY region, protection_level"""
+
+
+# --- spline fits ----------------------------------------------------------------------------
+#: Basis size of the fits, ``Profile.gam_k``.
+OBSERVATION_K = 10
+
+
+def _spline(src: str, keys: str, k: int = OBSERVATION_K) -> str:
+    """The penalised fits of D11 as CTEs: ``fits`` has one row per series, ``pts`` the points.
+
+    Normal equations by plain sums over the basis values of the points; the
+    systems of all smoothing parameters are solved by Gauss-Jordan steps in a
+    recursive CTE.
+    """
+    on = lambda a, b: " AND ".join(f"{a}.{c} IS NOT DISTINCT FROM {b}.{c}" for c in keys.split(", "))
+    key_of = lambda a: ", ".join(f"{a}.{c}" for c in keys.split(", "))
+    return f"""
+obs AS (SELECT {keys}, CAST(year AS DOUBLE) AS x, mean_quantity AS y FROM {src}
+        WHERE year IS NOT NULL AND mean_quantity IS NOT NULL),
+span AS (SELECT min(x) AS lo, max(x) AS hi FROM obs),
+pts0 AS (
+  SELECT *, y - avg(y) OVER (PARTITION BY {keys}) AS c, avg(y) OVER (PARTITION BY {keys}) AS mean,
+         CASE WHEN hi > lo THEN (x - lo) / (hi - lo) * {k - 3} ELSE 0 END AS p FROM obs, span
+),
+pts1 AS (SELECT *, least(floor(p), {k - 4}) AS seg FROM pts0),
+pts AS (
+  SELECT *, list_transform(range(0, {k}), lambda j: CASE CAST(j - seg AS INTEGER)
+      WHEN 0 THEN pow(1 - t, 3) / 6 WHEN 1 THEN (3 * pow(t, 3) - 6 * t * t + 4) / 6
+      WHEN 2 THEN (-3 * pow(t, 3) + 3 * t * t + 3 * t + 1) / 6 WHEN 3 THEN pow(t, 3) / 6 ELSE 0.0 END) AS b
+  FROM (SELECT *, p - seg AS t FROM pts1)
+),
+base AS (
+  SELECT {keys}, any_value(mean) AS mean, any_value(lo) AS lo, any_value(hi) AS hi, count(*) AS n, sum(c * c) AS yy,
+         min(x) AS x_min, max(x) AS x_max, sum(p) AS sp, sum(p * p) AS spp, sum(p * c) AS spy,
+         count(DISTINCT x) AS nx, list(b) AS bs, list(c) AS cs
+  FROM pts GROUP BY {keys}
+),
+normal AS (
+  SELECT *, list_transform(range(1, {k + 1}), lambda i: list_transform(range(1, {k + 1}), lambda j:
+              list_sum(list_transform(bs, lambda b: b[i] * b[j])))) AS g,
+         list_transform(range(1, {k + 1}), lambda i: list_sum(list_transform(range(1, len(bs) + 1), lambda q: bs[q][i] * cs[q]))) AS h
+  FROM base
+),
+penalty AS (
+  SELECT list_transform(range(0, {k}), lambda i: list_transform(range(0, {k}), lambda j:
+           list_sum(list_transform(range(0, {k - 2}), lambda r:
+             CAST((CASE i - r WHEN 0 THEN 1 WHEN 1 THEN -2 WHEN 2 THEN 1 ELSE 0 END)
+             * (CASE j - r WHEN 0 THEN 1 WHEN 1 THEN -2 WHEN 2 THEN 1 ELSE 0 END) AS DOUBLE))))) AS pen
+),
+solve AS (
+  SELECT {keys}, lam, 1 AS step, list_transform(range(1, {k + 1}), lambda i: list_concat(list_concat(
+           list_transform(range(1, {k + 1}), lambda j: g[i][j] + lam * pen[i][j]), [h[i]]), g[i])) AS m
+  FROM normal, penalty, (SELECT pow(10.0, -4 + e * 0.25) AS lam FROM range(0, 41) t(e)) WHERE nx > 1
+  UNION ALL
+  SELECT {keys}, lam, step + 1, list_transform(m, lambda r, i: CASE WHEN i = step THEN piv
+           ELSE list_transform(r, lambda v, j: v - r[step] * piv[j]) END)
+  FROM (SELECT *, list_transform(m[step], lambda v: v / m[step][step]) AS piv FROM solve WHERE step <= {k})
+),
+solved AS (
+  SELECT {keys}, lam, list_transform(m, lambda r: r[{k + 1}]) AS beta,
+         list_sum(list_transform(range(1, {k + 1}), lambda i: m[i][{k + 1} + i])) AS edf
+  FROM solve WHERE step = {k + 1}
+),
+scored AS (
+  SELECT s.*, n.n, greatest(n.yy - 2 * list_sum(list_transform(range(1, {k + 1}), lambda i: s.beta[i] * n.h[i]))
+           + list_sum(list_transform(range(1, {k + 1}), lambda i: s.beta[i] * list_sum(
+               list_transform(range(1, {k + 1}), lambda j: n.g[i][j] * s.beta[j])))), 0.0) AS rss
+  FROM solved s JOIN normal n ON {on("s", "n")}
+),
+ranked AS (
+  SELECT *, n * rss / pow(n - edf, 2) AS gcv, min(n * rss / pow(n - edf, 2)) OVER (PARTITION BY {keys}) AS least_gcv
+  FROM scored WHERE n - edf > 0.5
+),
+best AS (
+  SELECT {keys}, max(lam) AS lam, max_by(beta, lam) AS beta, max_by(edf, lam) AS edf, max_by(rss, lam) AS rss, max_by(gcv, lam) AS gcv
+  FROM ranked WHERE gcv * (1 - 1e-6) <= least_gcv GROUP BY {keys}
+),
+lined AS (
+  SELECT *, CASE WHEN nx > 1 THEN spy / (spp - sp * sp / n) ELSE 0.0 END AS rise FROM base
+),
+lines AS (
+  SELECT *, -rise * sp / n AS start, greatest(yy - rise * spy, 0.0) AS line_rss, (hi - lo) / {k - 3} AS width FROM lined
+),
+fits AS (
+  SELECT {key_of("l")}, l.n, coalesce(b.edf, CASE WHEN nx > 1 THEN 2.0 ELSE 1.0 END) AS edf, b.lam AS "lambda", b.gcv,
+         CASE WHEN yy > 0 THEN 1 - coalesce(b.rss, line_rss) / yy END AS r2,
+         CASE WHEN l.n - coalesce(b.edf, CASE WHEN nx > 1 THEN 2.0 ELSE 1.0 END) > 0.5
+              THEN coalesce(b.rss, line_rss) / (l.n - coalesce(b.edf, CASE WHEN nx > 1 THEN 2.0 ELSE 1.0 END)) END AS scale,
+         mean + start - CASE WHEN width > 0 THEN rise / width ELSE 0.0 END * lo AS intercept,
+         CASE WHEN width > 0 THEN rise / width ELSE 0.0 END AS slope,
+         CASE WHEN nx > 1 AND l.n > 2 THEN sqrt(line_rss / (l.n - 2) / (spp - sp * sp / l.n)) / width END AS slope_se,
+         x_min, x_max, list_transform(coalesce(b.beta, list_transform(range(0, {k}), lambda i: start + rise * (i - 1))),
+                                      lambda v: v + mean) AS coefficients
+  FROM lines l LEFT JOIN best b ON {on("l", "b")}
+)"""
+
+
+def _spline_rows(keys: str) -> str:
+    cols = ", ".join(f'round("{c}", 4) AS "{c}"' for c in (
+        "edf", "lambda", "gcv", "r2", "scale", "intercept", "slope", "slope_se", "x_min", "x_max"))
+    return f"""
+SELECT {keys}, n, {cols}, list_transform(coefficients, lambda v: round(v, 4)) AS coefficients FROM fits"""
+
+
+def _spline_fitted(src: str, keys: str, k: int = OBSERVATION_K) -> str:
+    on = " AND ".join(f"s.{c} IS NOT DISTINCT FROM f.{c}" for c in keys.split(", "))
+    return f"""
+SELECT s.year, {", ".join("s." + c for c in keys.split(", "))}, round(s.mean_quantity, 6) AS mean_quantity,
+       round(s.se_quantity, 6) AS se_quantity, round(list_sum(list_transform(range(1, {k + 1}), lambda i: f.coefficients[i] * p.b[i])), 6) AS fitted
+FROM {src} s LEFT JOIN fits f ON {on}
+LEFT JOIN (SELECT DISTINCT x, b FROM pts) p ON p.x = CAST(s.year AS DOUBLE)"""
+
+
+for _name, _keys, _trend_name in (("region", "region, taxa3", "cbr"), ("protection", "protection_level, taxa3", "cbp")):
+    _ctes = with_ctes(VIEW, INV, CORAL, sites_cte("coral", "cbal"),
+                      _trend_cte(_trend_name, "cbal", f"year, {_keys}", "quantity"), _spline(_trend_name, _keys))
+    _ctes = _ctes.replace("WITH ", "WITH RECURSIVE ", 1)
+    SQL[f"coral_trend_{_name}_smooth"] = _ctes + _spline_rows(_keys)
+    SQL[f"coral_trend_{_name}_fitted"] = _ctes + _spline_fitted(_trend_name, _keys)
