@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from .components import components
 from .scratch import stored
 
+#: Buckets of up to so many members are compared pair by pair.
+FEW = 64
+#: Rounds between components before that.
+TURNS = 3
 #: Most nodes of a cluster that share a rare shingle, in clusters of 400 nodes or more.
 RARE = 8
 
@@ -33,6 +37,14 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
             .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
 
 
+def _placed(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(key, node, part, c)`` of the buckets with several components; c members each."""
+    placed = shared.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("part"))
+    several = placed.groupBy("key").agg(
+        F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("c")).where("lo <> hi").select("key", "c")
+    return placed.join(several, "key")
+
+
 def _cores(clusters: DataFrame, sizes: DataFrame, listed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(node, n, core)``, where core counts the shingles that are not rare; pairs that share a rare one.
 
@@ -60,13 +72,13 @@ def joined_up(shared: DataFrame, verified: Callable[[DataFrame], DataFrame], per
     ``verified`` keeps the pairs of a table ``(a, b)`` whose shingle sets have
     a Jaccard of ``percent`` or more; ``alike`` is a cheap test that such pairs
     pass, on two aliases of ``sketches``.  Every node first meets one leader of
-    its buckets, then its other leaders, and then the members of its cluster,
-    each time only where the two are still in different components.  For the
-    last step ``sizes`` has the sets' sizes as ``(node, n)`` and ``listed``
-    makes ``(node, cluster, shingle)`` of ``(node, cluster)``; nodes that share
-    a bucket are in one cluster.  Two nodes with no rare shingle of the cluster
-    in common share no more than the smaller of what else they have; pairs
-    that this rules out are not compared.
+    its buckets, then its other leaders, and then the other members, each time
+    only where the two are still in different components.  For large buckets
+    of the last step ``sizes`` has the sets' sizes as ``(node, n)`` and
+    ``listed`` makes ``(node, cluster, shingle)`` of ``(node, cluster)``; nodes
+    that share such a bucket are in one cluster.  Two nodes with no rare
+    shingle of the cluster in common share no more than the smaller of what
+    else they have; pairs that this rules out are not compared.
     """
     stars = shared.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     stars = stored(stars.join(sketches.alias("x"), F.col("a") == F.col("x.node")).join(
@@ -79,24 +91,44 @@ def joined_up(shared: DataFrame, verified: Callable[[DataFrame], DataFrame], per
     links = links.unionByName(more)
     labels = stored(components(links), "labels")
 
-    placed = shared.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("part"))
-    open_keys = placed.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi")
-    placed = stored(placed.join(open_keys.select("key"), "key", "left_semi"), "open")
-    least = placed.groupBy("key").agg(F.min("node").alias("a"))
-    clusters = components(placed.join(least, "key").select("a", F.col("node").alias("b")).distinct())
-    clusters = stored(clusters.select("node", F.col("component").alias("cluster")), "clusters")
-    bound, other = _cores(clusters, sizes, listed(clusters))
+    # one member of each component of a bucket against one of its first component, others each time
+    for turn in range(TURNS):
+        placed = _placed(shared, labels)
+        one = placed.groupBy("key", "part").agg(F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("node"))
+        head = one.groupBy("key").agg(F.min_by("node", "part").alias("a"), F.min("part").alias("part")).alias("h")
+        pairs = one.alias("o").join(head, (F.col("o.key") == F.col("h.key")) & (F.col("o.part") != F.col("h.part"))).select(
+            F.least("a", "o.node").alias("a"), F.greatest("a", "o.node").alias("b")).distinct()
+        pairs = pairs.join(sketches.alias("x"), F.col("a") == F.col("x.node")).join(
+            sketches.alias("y"), F.col("b") == F.col("y.node")).where(alike("x", "y")).select("a", "b")
+        more = stored(verified(pairs.join(stars, ["a", "b"], "left_anti")), "links")
+        if more.isEmpty():
+            break
+        links = links.unionByName(more)
+        labels = stored(components(links), "labels")
+
+    placed = stored(_placed(shared, labels), "open")
     core = F.least("x.core", "y.core")
     within = 100 * core >= percent * (F.col("x.n") + F.col("y.n") - core)
-    parts = placed.select("node", "part").distinct().join(clusters, "node")
+
+    # a bucket of few members makes few pairs
+    few = placed.where(F.col("c") <= FEW).join(sketches, "node")
+    rest = few.alias("x").join(few.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.part") < F.col("y.part"))
+                               & alike("x", "y")).select("x.node", F.col("y.node").alias("other"))
+    # the members of large buckets: the few outside a cluster's main component against the others
+    many = placed.where(F.col("c") > FEW)
+    least = many.groupBy("key").agg(F.min("node").alias("a"))
+    clusters = components(many.join(least, "key").select("a", F.col("node").alias("b")).distinct())
+    clusters = stored(clusters.select("node", F.col("component").alias("cluster")), "clusters")
+    bound, other = _cores(clusters, sizes, listed(clusters))
+    parts = many.select("node", "part").distinct().join(clusters, "node")
     main = parts.groupBy("cluster", "part").agg(F.count("*").alias("c")).groupBy("cluster").agg(
         F.max_by("part", F.struct("c", "part")).alias("main"))
     near = parts.join(bound, "node").where(100 * F.col("core") >= percent * F.col("n")).join(main, "cluster").join(sketches, "node")
     near = stored(near.withColumn("inner", F.col("part") == F.col("main")), "near")
-    # the few outside a cluster's main component against the others
-    rest = near.where("not inner").alias("x").join(
+    outer = near.where("not inner").alias("x").join(
         near.alias("y"), (F.col("x.cluster") == F.col("y.cluster")) & (F.col("x.part") != F.col("y.part"))
         & (F.col("y.inner") | (F.col("x.node") < F.col("y.node"))) & within & alike("x", "y"))
-    rest = rest.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+    rest = rest.unionByName(outer.select("x.node", F.col("y.node").alias("other")))
+    rest = rest.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
     rest = rest.unionByName(_apart(other, labels)).distinct().join(stars, ["a", "b"], "left_anti")
     return components(links.unionByName(stored(verified(rest), "links")))
