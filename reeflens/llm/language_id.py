@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from .bytewords import BASE, text_slices
 from .linear import Rows, adam, sigmoid
+from .scratch import stored
 from .toxicity import fold_of
 
 UNKNOWN = "und"
@@ -93,14 +94,13 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array(share, pa.binary())], names=["lang", "at", "share"])
 
 
-def _machine(bags: list, positive: np.ndarray) -> tuple[np.ndarray, float]:
-    """A linear support vector machine with squared hinge; both sides weigh alike."""
-    rows, y = Rows(bags), np.where(positive, 1.0, -1.0)
-    weight = np.where(positive, 0.5 / max(1, positive.sum()), 0.5 / max(1, (~positive).sum()))
+def _machine(rows: Rows, side: np.ndarray) -> tuple[np.ndarray, float]:
+    """A linear support vector machine with squared hinge; both sides (1 and -1) weigh alike, rows at 0 nothing."""
+    weight = np.where(side > 0, 0.5 / max(1, (side > 0).sum()), 0.5 / max(1, (side < 0).sum())) * (side != 0)
 
     def loss(w: np.ndarray, b: float) -> tuple[np.ndarray, float]:
-        slack = np.maximum(0, 1 - y * (rows.dot(w) + b))
-        f = -2 * weight * y * slack
+        slack = np.maximum(0, 1 - side * (rows.dot(w) + b))
+        f = -2 * weight * side * slack
         return rows.gradient(f, 1 << DIM_BITS), float(f.sum())
 
     return adam(loss, 1 << DIM_BITS, STEPS, RATE, DECAY)
@@ -116,31 +116,30 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                         F.col(lang_col).cast("string").alias("lang"))
     train = train.where((fold_of("id", FOLDS) != HELD) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     first = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("id").cast("string")), "id")
-    chosen = train.select("id", "lang").withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= MAX_TEXTS)
+    ranked = train.select("id", "lang").withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= MAX_TEXTS)
+    chosen = stored(ranked.select("id", "lang"), "chosen")  # small, and known to be small when texts are joined
     schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("at", T.BinaryType()),
                            T.StructField("share", T.BinaryType())])
-    rows = train.join(chosen.select("id", "lang"), ["id", "lang"]).select("lang", "text").mapInArrow(_bags, schema).collect()
+    found = train.join(chosen, ["id", "lang"]).select("lang", "text").mapInArrow(_bags, schema).collect()
     # in one order whatever order the rows arrive in, so that reruns agree
-    rows = sorted((r.lang, bytes(r["at"]), bytes(r["share"])) for r in rows)
-    langs = np.array([r[0] for r in rows], dtype=object)
-    bags = [(np.frombuffer(i, "<i4").astype(np.int64), np.frombuffer(v, "<f4").astype(float)) for _, i, v in rows]
+    found = sorted((r.lang, bytes(r["at"]), bytes(r["share"])) for r in found)
+    langs = np.array([r[0] for r in found], dtype=object)
+    rows = Rows([(np.frombuffer(i, "<i4"), np.frombuffer(v, "<f4")) for _, i, v in found])
+    del found  # the sample is held once
     known = sorted(set(langs))
-    scale = np.zeros(1 << DIM_BITS)
-    for i, v in bags:
-        scale[i] += v * v
-    scale = np.where(scale > 0, 1 / np.sqrt(scale / max(1, len(bags)) + 1e-7), 0.0)
-    bags = [(i, v * scale[i] * 0.05) for i, v in bags]
+    scale = np.bincount(rows.index, rows.value.astype(float) ** 2, 1 << DIM_BITS)
+    scale = np.where(scale > 0, 0.05 / np.sqrt(scale / max(1, rows.n) + 1e-7), 0.0)
+    rows.value *= scale[rows.index].astype(np.float32)
     families = sorted({family_of(x) for x in known})
     of = np.array([family_of(x) for x in langs], dtype=object)
     machines, columns = {}, []
     for name in families if len(families) > 1 else []:
-        machines["family", name] = _machine(bags, of == name)
+        machines["family", name] = _machine(rows, np.where(of == name, 1.0, -1.0))
     for name in families:
         for a, b in combinations([x for x in known if family_of(x) == name], 2):
-            pair = np.flatnonzero((langs == a) | (langs == b))
-            machines["pair", a, b] = _machine([bags[i] for i in pair], langs[pair] == a)
+            machines["pair", a, b] = _machine(rows, (langs == a) * 1.0 - (langs == b) * 1.0)
     for w, _ in machines.values():
-        columns.append((w * scale * 0.05).astype(np.float32))
+        columns.append((w * scale).astype(np.float32))
     weights = np.stack(columns, axis=1) if columns else np.zeros((1 << DIM_BITS, 0), np.float32)
     return {"langs": known, "families": families, "family": {x: family_of(x) for x in known},
             "machines": {k: (n, b) for n, (k, (_, b)) in enumerate(machines.items())}, "weights": weights}

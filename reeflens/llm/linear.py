@@ -13,9 +13,9 @@ class Rows:
     def __init__(self, parts: list[tuple[np.ndarray, np.ndarray]]):
         sizes = np.array([len(i) for i, _ in parts], np.int64)
         self.n = len(parts)
-        self.index = np.concatenate([i for i, _ in parts]) if parts else np.zeros(0, np.int64)
-        self.value = np.concatenate([v for _, v in parts]) if parts else np.zeros(0)
-        self.row = np.repeat(np.arange(self.n), sizes)
+        self.index = np.concatenate([i for i, _ in parts]) if parts else np.zeros(0, np.int32)
+        self.value = np.concatenate([v for _, v in parts]) if parts else np.zeros(0, np.float32)
+        self.row = np.repeat(np.arange(self.n, dtype=np.int32), sizes)
 
     def dot(self, weights: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, self.value * weights[self.index], self.n)
