@@ -59,11 +59,6 @@ def n_rows() -> Column:
     return F.count(F.lit(1))
 
 
-def se_na(x: ColumnOrName) -> Column:
-    """Standard error as the analysis defines it: ``sd(x, na.rm) / sqrt(n())``."""
-    return sd_na(x) / F.sqrt(n_rows())
-
-
 def n_distinct_na(x: ColumnOrName) -> Column:
     """``n_distinct(x)`` -- NULL counts as one more distinct value."""
     x = _c(x)
@@ -130,15 +125,3 @@ def nan_to_null(df: DataFrame) -> DataFrame:
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
-
-
-# --- ordering -----------------------------------------------------------------
-
-def asc_last(x: ColumnOrName) -> Column:
-    """Ascending with NULL last (R's ``arrange``)."""
-    return _c(x).asc_nulls_last()
-
-
-def desc_last(x: ColumnOrName) -> Column:
-    """Descending with NULL last (R's ``arrange(desc())``)."""
-    return _c(x).desc_nulls_last()
