@@ -26,7 +26,7 @@ UNKNOWN = "und"
 DIM_BITS = 15
 GRAMS = (1, 2, 3, 4)
 #: Texts per language that are fitted, each whole and as a piece of PIECE bytes.
-MAX_TEXTS, PIECE = 500, 160
+MAX_TEXTS, PIECE = 200, 160
 STEPS, RATE, DECAY = 80, 0.5, 1e-5
 FOLDS, HELD = 4, 2
 #: Families of common languages; a language that is not listed is a family of its own.

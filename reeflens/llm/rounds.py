@@ -45,15 +45,15 @@ def _placed(shared: DataFrame, labels: DataFrame) -> DataFrame:
     return placed.join(several, "key")
 
 
-def _cores(clusters: DataFrame, sizes: DataFrame, listed: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _cores(clusters: DataFrame, sizes: DataFrame, listed: DataFrame, rare_in: int) -> tuple[DataFrame, DataFrame]:
     """``(node, n, core)``, where core counts the shingles that are not rare; pairs that share a rare one.
 
-    A shingle is rare if RARE nodes of its cluster have it, or fewer in a
-    small cluster, so that it makes few pairs.
+    A shingle is rare if ``rare_in`` nodes of its cluster have it, or fewer in
+    a small cluster, so that it makes few pairs.
     """
-    most = F.least(F.lit(RARE), 1 + F.floor(F.count("*") / 50))
+    most = F.least(F.lit(rare_in), 1 + F.floor(F.count("*") / 50))
     rarity = clusters.groupBy("cluster").agg(most.alias("most"))
-    counts = listed.groupBy("cluster", "shingle").agg(F.count("*").alias("c")).where(F.col("c") <= RARE)
+    counts = listed.groupBy("cluster", "shingle").agg(F.count("*").alias("c")).where(F.col("c") <= rare_in)
     rare = counts.join(rarity, "cluster").where("c <= most").select("cluster", "shingle", "c")
     rare = stored(listed.join(rare, ["cluster", "shingle"]), "rare")
     owned = rare.groupBy("node").agg(F.count("*").alias("rare"))
@@ -66,7 +66,8 @@ def _cores(clusters: DataFrame, sizes: DataFrame, listed: DataFrame) -> tuple[Da
 
 
 def joined_up(shared: DataFrame, verified: Callable[[DataFrame], DataFrame], percent: int, sketches: DataFrame,
-              alike: Callable[[str, str], Column], sizes: DataFrame, listed: Callable[[DataFrame], DataFrame]) -> DataFrame:
+              alike: Callable[[str, str], Column], sizes: DataFrame, listed: Callable[[DataFrame], DataFrame],
+              rare_in: int = RARE) -> DataFrame:
     """``(node, component)`` of the nodes that ``verified`` links.
 
     ``verified`` keeps the pairs of a table ``(a, b)`` whose shingle sets have
@@ -119,7 +120,7 @@ def joined_up(shared: DataFrame, verified: Callable[[DataFrame], DataFrame], per
     least = many.groupBy("key").agg(F.min("node").alias("a"))
     clusters = components(many.join(least, "key").select("a", F.col("node").alias("b")).distinct())
     clusters = stored(clusters.select("node", F.col("component").alias("cluster")), "clusters")
-    bound, other = _cores(clusters, sizes, listed(clusters))
+    bound, other = _cores(clusters, sizes, listed(clusters), rare_in)
     parts = many.select("node", "part").distinct().join(clusters, "node")
     main = parts.groupBy("cluster", "part").agg(F.count("*").alias("c")).groupBy("cluster").agg(
         F.max_by("part", F.struct("c", "part")).alias("main"))
