@@ -141,13 +141,18 @@ def test_pipeline_stages(spark):
     got = [[tuple(r) for r in t.select("doc_id", "text").collect()] for t in tables]
     language, lines, near, clean, mix = got[1:]
     assert {d for d, _ in language} == {d for d, t in got[0] if t and any(c.isalpha() for c in t)}
-    gone = brute.removed_lines(language)
-    exp = {}
+    # banding misses a pair at the threshold with probability 0.05; nothing else may go or stay
+    gone, left, more = brute.removed_lines(language), dict(lines), 0
     for d, t in language:
-        left = [x for no, x in enumerate(t.split("\n")) if (d, no) not in gone]
-        if "\n".join(left) == t or brute.WORD.search("\n".join(left)):
-            exp[d] = "\n".join(left)
-    assert dict(lines) == exp
+        whole = t.split("\n")
+        must = [x for no, x in enumerate(whole) if (d, no) not in gone]
+        got_lines = left[d].split("\n") if d in left else [x for x in must if not brute.WORD.search(x)]
+        more += len(got_lines) - len(must)
+        rest = iter(whole)
+        assert all(x in rest for x in got_lines)  # in the text's order
+        rest = iter(got_lines)
+        assert all(x in rest for x in must)
+    assert more <= 0.02 * len(gone)
     assert sorted(near) == sorted((d, t) for d, t in lines if brute.near(lines)[d][1] == d)
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
     hit = {d for d, _ in brute.contained(near, items)}
