@@ -444,7 +444,7 @@ SELECT year, region, taxa, round(mean_quantity, 6) AS mean_quantity, round(se_qu
                                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS ymax,
        round(sum(mean_quantity) OVER (PARTITION BY region ORDER BY taxa DESC NULLS FIRST
                                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-             - mean_quantity, 6) AS ymin
+             - mean_quantity, 6) + 0.0 AS ymin
 FROM bx2"""
 SQL["inv_bars_relative"] = with_ctes(VIEW, INV, TAXA, IAB, sites_cte("iab", "iab_bal"), IBR, BARS) + """
 SELECT year, region, taxa, round(mean_quantity, 6) AS mean_quantity, round(se_quantity, 6) AS se_quantity,
@@ -572,7 +572,7 @@ br AS (
   FROM bal GROUP BY year, region
 )""") + """
 SELECT year, region, round(mean_biomass, 6) AS mean_biomass, round(sd_biomass, 6) AS sd_biomass, n,
-       round(se_biomass, 6) AS se_biomass, round(mean_biomass - se_biomass, 6) AS ymin,
+       round(se_biomass, 6) AS se_biomass, round(mean_biomass - se_biomass, 6) + 0.0 AS ymin,
        round(mean_biomass + se_biomass, 6) AS ymax, CAST(4.0 AS DOUBLE) AS reference_line
 FROM br WHERE NOT coalesce(region IN ('AMERICA'), false)"""
 
@@ -581,7 +581,7 @@ SQL["chart_biomass_protection"] = with_ctes(
     _trend_cte("bp", "bal", "year, protection_level", "biomass")) + f"""
 SELECT year, {_factor('protection_level', [k for k, _ in PROT], [v for _, v in PROT])},
        round(mean_biomass, 6) AS mean_biomass, round(se_biomass, 6) AS se_biomass,
-       round(mean_biomass - se_biomass, 6) AS ymin, round(mean_biomass + se_biomass, 6) AS ymax,
+       round(mean_biomass - se_biomass, 6) + 0.0 AS ymin, round(mean_biomass + se_biomass, 6) AS ymax,
        CAST(4.0 AS DOUBLE) AS reference_line
 FROM bp"""
 
@@ -596,7 +596,7 @@ cr AS (
 )""") + """
 SELECT year, region, region_ord, taxa3, round(mean_quantity, 6) AS mean_quantity,
        round(se_quantity, 6) AS se_quantity, round(lat, 6) AS lat,
-       round(mean_quantity - se_quantity, 6) AS ymin, round(mean_quantity + se_quantity, 6) AS ymax
+       round(mean_quantity - se_quantity, 6) + 0.0 AS ymin, round(mean_quantity + se_quantity, 6) AS ymax
 FROM cr WHERE NOT coalesce(region IN ('AMERICA'), false)"""
 
 SQL["chart_coral_protection"] = with_ctes(
@@ -604,7 +604,7 @@ SQL["chart_coral_protection"] = with_ctes(
     _trend_cte("cbp", "cbal", "year, protection_level, taxa3", "quantity")) + """
 SELECT year, protection_level, taxa3, round(mean_quantity, 6) AS mean_quantity,
        round(se_quantity, 6) AS se_quantity,
-       round(mean_quantity - se_quantity, 6) AS ymin, round(mean_quantity + se_quantity, 6) AS ymax
+       round(mean_quantity - se_quantity, 6) + 0.0 AS ymin, round(mean_quantity + se_quantity, 6) AS ymax
 FROM cbp"""
 
 SQL["chart_echinoderm_log"] = with_ctes(
@@ -622,7 +622,7 @@ er2 AS (
 )""") + """
 SELECT year, region, region_ord, taxa2, round(mean_quantity, 6) AS mean_quantity,
        round(se_quantity, 6) AS se_quantity, round(lat, 6) AS lat, round(log_quan, 6) AS log_quan,
-       round(se_log, 6) AS se_log, round(log_quan - se_log, 6) AS ymin, round(log_quan + se_log, 6) AS ymax
+       round(se_log, 6) AS se_log, round(log_quan - se_log, 6) + 0.0 AS ymin, round(log_quan + se_log, 6) AS ymax
 FROM er2"""
 
 
