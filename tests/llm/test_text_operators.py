@@ -121,3 +121,24 @@ def test_token_counts_match_the_library(spark, small, unruly, nothing):
         exp = [(d, len(t.encode()), len(library.encode(t, add_special_tokens=False).ids)) for d, t in rows]
         assert sorted(map(tuple, token_counts(df, path).collect()), key=str) == sorted(exp, key=str)
     assert token_counts(nothing, path).count() == 0
+
+
+def test_lines_of_any_length_are_chosen_alike(spark):
+    """Near copies on both sides of 128 bytes, with letters of several bytes, periodic and without a sampled shingle."""
+    import random
+
+    from reeflens.llm.line_dedup import line_report
+    rnd = random.Random(3)
+    line = lambda n: "".join(rnd.choice("abcdefghijklmnop ") for _ in range(n - 1)) + "z"
+    rows = []
+    for d in range(0, 80, 2):
+        base = line(118 + d % 16)
+        rows += [(d, base, None, None), (d + 1, base + line(8), None, None)]
+    rows += [(100, "ab" * 60, None, None), (101, "ab" * 70, None, None), (102, "ba" * 64, None, None), (103, "x" * 400, None, None),
+             (104, "x" * 12, None, None), (105, "abc" * 42 + "ab", None, None), (106, "abc" * 43, None, None)]
+    for d in range(110, 120, 2):
+        base = line(60)
+        rows += [(d, base, None, None), (d + 1, base + "\U0001F41F\U0001F420\U0001F421\U0001F422\U0001F423\U0001F424\U0001F425\U0001F426", None, None)]
+    got = {(r.doc_id, no) for r in line_report(as_docs(spark, rows)).collect() for no in r.removed}
+    exp = brute.removed_lines(pairs(rows))
+    assert len(exp) >= 48 and got == exp
