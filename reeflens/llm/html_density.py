@@ -21,13 +21,17 @@ from pyspark.sql import types as T
 # Element names and words in class, id and role of HTML pages.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title noscript template iframe svg math select object canvas".split())
-SKIP = set("nav footer aside form menu dialog button fieldset label".split()) | RAW
+SKIP = set("nav footer aside menu dialog button fieldset label".split()) | RAW
 BLOCK = set("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure "
             "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary "
             "table tbody td tfoot th thead title tr ul".split())
 HEADING = {"h1", "h2", "h3", "h4", "h5", "h6"}
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 FENCE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
+PARTS = {"tbody", "thead", "tfoot"}
+CLOSED_BY |= dict.fromkeys(PARTS, PARTS | CLOSED_BY["tr"])
+FENCE |= dict.fromkeys(PARTS, {"table"})
+CELLS = PARTS | CLOSED_BY["tr"] | {"caption", "table"}
 NOISE = set("ad ads adv advert advertisement advertising sponsor sponsored promo promotion sidebar comment comments respond "
             "disqus cookie cookies consent gdpr notice notices alert banner popup modal overlay newsletter subscribe signup "
             "login share sharing social related recommended breadcrumb breadcrumbs pagination pager menu nav navbar navigation "
@@ -42,10 +46,12 @@ _WORDS = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "inside", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "children", "inside", "chars", "tags", "link_chars", "link_tags", "density", "total",
+                 "noise")
 
-    def __init__(self, tag: str, parent: Node | None, inside: bool):
+    def __init__(self, tag: str, parent: Node | None, inside: bool, noise: bool = False):
         self.tag, self.parent, self.inside = tag, parent, inside  # inside: an article or main element holds it
+        self.noise = noise  # never part of an article, with all below it
         self.children: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
@@ -64,33 +70,28 @@ def _noise(tag: str, attributes: str, inside: bool) -> bool:
 
 
 def parse(html: str) -> Node:
-    """The tree of a page without noise; unclosed and stray tags are mended as browsers do."""
+    """The tree of a page without noise; unclosed and stray tags are mended as browsers do, in noise too."""
     root = node = Node("html", None, False)
-    at, skip = 0, 0  # skip: depth below a noise element, whose text and tags count nowhere
-    names: list[str] = []  # open elements below the noise element
+    at = 0
     lower = None
     while True:
         m = _TOKEN.search(html, at)
         text = html[at:m.start() if m else len(html)]
-        if text and not skip:
+        if text:
             node.children.append(unescape(text) if "&" in text else text)
         if m is None:
-            return root
+            break
         at = m.end()
         if m[2] is None:
             continue
         tag = m[2].lower()
         if m[1]:
-            if skip:
-                if tag in names:
-                    while names.pop() != tag:
-                        pass
-                    skip = len(names)
-                continue
+            # the end of an inline element stays in its block, that of a block in its table cell
+            fence = BLOCK if tag not in BLOCK and tag not in SKIP else () if tag in CELLS else CELLS
             up = node
-            while up.parent is not None and up.tag != tag:
+            while up.parent is not None and up.tag != tag and up.tag not in fence:
                 up = up.parent
-            node = up.parent if up.parent is not None else node
+            node = up.parent if up.parent is not None and up.tag == tag else node
             continue
         if tag in ("html", "body"):
             continue
@@ -99,33 +100,46 @@ def parse(html: str) -> Node:
             end = lower.find(f"</{tag}", at)
             at = len(html) if end < 0 else max(html.find(">", end) + 1, 0) or len(html)
             continue
-        if skip:
-            if tag not in VOID:
-                names.append(tag)
-                skip = len(names)
-            continue
-        up = node
         if tag in BLOCK:  # closes an open paragraph
-            while up.parent is not None and up.tag != "p" and up.tag not in BLOCK:
+            up = node
+            while up.parent is not None and up.tag not in ("p", "button") and up.tag not in BLOCK:
                 up = up.parent
             if up.tag == "p":
                 node = up.parent
-        if tag in CLOSED_BY:
+        while tag in CLOSED_BY:  # a row closes the cell and the row before it
             up = node
             while up.parent is not None and up.tag not in CLOSED_BY[tag] and up.tag not in FENCE[tag]:
                 up = up.parent
-            if up.tag in CLOSED_BY[tag] and up.parent is not None:
-                node = up.parent
+            if up.tag not in CLOSED_BY[tag] or up.parent is None:
+                break
+            node = up.parent
         if tag in VOID:
             node.children.append(" " if tag == "br" else Node(tag, node, node.inside))
             continue
-        if _noise(tag, m[3], node.inside):
-            names.append(tag)
-            skip = 1
-            continue
-        child = Node(tag, node, node.inside or tag in ("article", "main"))
+        child = Node(tag, node, node.inside or tag in ("article", "main"), _noise(tag, m[3], node.inside))
         node.children.append(child)
         node = child
+    _cut_noise(root)
+    return root
+
+
+def _cut_noise(root: Node) -> None:
+    """Takes flagged subtrees out, and forms but those that hold an article element or over half of the text."""
+    nodes, forms = [root], False
+    for n in nodes:
+        if any(isinstance(c, Node) and c.noise for c in n.children):
+            n.children = [c for c in n.children if isinstance(c, str) or not c.noise]
+        forms = forms or n.tag == "form"
+        nodes.extend(c for c in n.children if isinstance(c, Node))
+    if not forms:
+        return
+    chars, holds = {}, set()
+    for n in reversed(nodes):
+        chars[n] = sum(len(" ".join(c.split())) if isinstance(c, str) else chars[c] for c in n.children)
+        if n.tag in ("article", "main") or any(c in holds for c in n.children if isinstance(c, Node)):
+            holds.add(n)
+    for n in nodes:
+        n.children = [c for c in n.children if isinstance(c, str) or c.tag != "form" or c in holds or 2 * chars[c] > chars[root]]
 
 
 def _order(root: Node) -> list[Node]:

@@ -101,6 +101,17 @@ CASES = [
     (f"<body><div><a href=1>l1</a> <a>l2</a></div><div><h2>T</h2>{PAGE}{PAGE}</div><div class='cookie-notice'>c</div>",
      "T\n" + "\n".join([" ".join(PAGE[3:-4].split())] * 2)),
     ("<div hidden>no</div><ul><li>one<li>two</ul>", "one\ntwo"),
+    # noise whose end tag is left out, or ended by that of an outer element
+    ('<ul><li class="menu-item">A<li class="menu-item">B</ul><article><p>yes</p></article>', "yes"),
+    ('<p class="notice">x<article><p>yes</p></article>', "yes"),
+    ('<dl><dt>a<dd class="ad">no<p>no<dd>yes</dl>', "a\nyes"),
+    ('<table><tr class="ad"><td>no<tr><td>yes<td class="ad">no<td>too<tbody><tr><td>more</table>', "yes\ntoo\nmore"),
+    ("<main><div><aside>no<p>no</div><p>yes<a href=1><nav><div>no</a></div>no</nav></main>", "yes"),
+    ("<main><p>a<button><div>no</div></button>b</p><table><tr><td><nav>no</div></nav>c</table></main>", "ab\nc"),
+    # a form around the page, with other forms in it
+    (f"<body><form id=aspnetForm><nav>no</nav><div>{PAGE}{PAGE}</div><form>no<label>no</label></form></form>",
+     "\n".join([" ".join(PAGE[3:-4].split())] * 2)),
+    (f"<form><article>{PAGE}</article></form><div>" + "<a href=1>no no</a> " * 300 + "</div>", " ".join(PAGE[3:-4].split())),
 ]
 
 
