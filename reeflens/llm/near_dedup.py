@@ -1,6 +1,6 @@
 """MinHash near-duplicate documents: banding, signature check, exact check, components.
 
-Every document is its set of distinct 2-word shingles.  Documents with the
+Every document is its set of distinct shingles of a few words.  Documents with the
 same set are one class; the classes are sketched with ``BANDS * ROWS``
 universal hash minima.  A class meets the smallest class of each band bucket
 first; what is still in another component after that meets every member of
@@ -12,6 +12,7 @@ large-star and small-star (``components``).
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -37,13 +38,16 @@ def _perms() -> np.ndarray:
     return (mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(MIX_1)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
-def shingle_sets(buf: np.ndarray, bounds: np.ndarray) -> Iterator[np.ndarray]:
-    """Sorted distinct hashes of each text's 2-word shingles (one word: the word itself)."""
+def shingle_sets(buf: np.ndarray, bounds: np.ndarray, width: int) -> Iterator[np.ndarray]:
+    """Sorted distinct hashes of each text's shingles of ``width`` words (fewer words: all of them as one)."""
     starts, ends, first = word_spans(buf, bounds)
     h = word_hashes(buf, starts, ends)
-    pairs = mix(h[:-1] * np.uint64(3) + mix(h[1:])) if len(h) > 1 else h[:0]
+    runs = [h]  # runs[k] has the hashes of k + 1 words
+    for k in range(1, width):
+        runs.append(mix(runs[-1][:-1] * np.uint64(3) + mix(h[k:])))
     for lo, hi in zip(first[:-1], first[1:]):
-        yield np.unique(pairs[lo:hi - 1]) if hi - lo > 1 else h[lo:hi]
+        n = min(width, hi - lo)
+        yield np.unique(runs[n - 1][lo:hi - n + 1]) if n else h[:0]
 
 
 def _minima(shingles: np.ndarray, perms: np.ndarray) -> np.ndarray:
@@ -54,14 +58,14 @@ def _minima(shingles: np.ndarray, perms: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     perms = _perms()
     weights = mix(np.arange(1, ROWS + 1, dtype=np.uint64))
     tags = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(MIX_1)
     for batch in batches:
         sizes, prints, bands, bits = [], [], [], []
         for _, buf, bounds in text_slices(batch.column(1)):
-            for s in shingle_sets(buf, bounds):
+            for s in shingle_sets(buf, bounds, width):
                 sizes.append(len(s))
                 m = mix(s)
                 prints.append((np.add.reduce(m).view(np.int64) if len(s) else 0,
@@ -104,9 +108,9 @@ def _differ_columns() -> list[str]:
     return [f"s{i}" for i in range(_WORDS)]
 
 
-def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets_of(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [s.tobytes() for _, buf, bounds in text_slices(batch.column(1)) for s in shingle_sets(buf, bounds)]
+        sets = [s.tobytes() for _, buf, bounds in text_slices(batch.column(1)) for s in shingle_sets(buf, bounds, width)]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["id", "shingles"])
 
 
@@ -135,11 +139,12 @@ def _jaccard(percent: int) -> Callable:
     return linked
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 2) -> DataFrame:
     """``(id_col, n_shingles, component_id, kept)`` for every row of ``docs``.
 
-    Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case.  A text with one
-    word has that word as its only shingle; null, empty and blank texts have
+    Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case; ``width`` of them
+    make a shingle: two by the contract of op4, five in a pipeline's stage.  A
+    text with fewer has all its words as its only shingle; null, empty and blank texts have
     an empty set, are linked with nothing and are their own component.  Rows
     with the same id count as one node (each row keeps its own n_shingles); a
     row with a null id is linked with nothing, has a null component and is
@@ -155,7 +160,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     fields = [T.StructField("id", kind), T.StructField("n", T.LongType()), T.StructField("p1", T.LongType()),
               T.StructField("p2", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))]
     fields += [T.StructField(c, T.LongType()) for c in _differ_columns()]
-    sketches = stored(rows.mapInArrow(_sketches, T.StructType(fields)), "sketches")
+    sketches = stored(rows.mapInArrow(partial(_sketches, width=width), T.StructType(fields)), "sketches")
 
     classes = stored(sketches.where("n > 0 and id is not null").groupBy("n", "p1", "p2").agg(
         F.min("id").alias("node"), F.first("bands").alias("bands"), *[F.first(c).alias(c) for c in _differ_columns()]),
@@ -166,7 +171,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     wanted = shared.select(F.col("node").alias("id")).distinct()
     sets = stored(rows.join(wanted, "id", "left_semi").mapInArrow(
-        _sets_of, T.StructType([T.StructField("id", kind), T.StructField("shingles", T.BinaryType())]))
+        partial(_sets_of, width=width), T.StructType([T.StructField("id", kind), T.StructField("shingles", T.BinaryType())]))
         .dropDuplicates(["id"]), "sets")
 
     pair_type = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])

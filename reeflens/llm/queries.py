@@ -41,7 +41,7 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_table(spark, sf_dir, "documents"))
+    return near_duplicates(_table(spark, sf_dir, "documents"), width=2)
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,12 +39,12 @@ def jaccard_links(sets, percent):
                 yield x, y
 
 
-def near(rows):
+def near(rows, width=2):
     """{id: (n, component)} of (id, text) rows with distinct ids."""
     sets = {}
     for key, text in rows:
         w = WORD.findall(lower(text or ""))
-        sets[key] = set(zip(w, w[1:])) if len(w) > 1 else set(w)
+        sets[key] = {tuple(w[i:i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} if w else set()
     groups = Sets()
     for x, y in jaccard_links(sets, 80):
         groups.join(x, y)
