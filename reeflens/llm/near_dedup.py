@@ -58,6 +58,14 @@ def _minima(shingles: np.ndarray, perms: np.ndarray) -> np.ndarray:
     return out
 
 
+def _prints(shingles: np.ndarray) -> tuple:
+    """Two sums that name a set."""
+    if not len(shingles):
+        return 0, 0
+    m = mix(shingles)
+    return np.add.reduce(m).view(np.int64), np.add.reduce(mix(m ^ np.uint64(MIX_1))).view(np.int64)
+
+
 def _sketches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     perms = _perms()
     weights = mix(np.arange(1, ROWS + 1, dtype=np.uint64))
@@ -67,9 +75,7 @@ def _sketches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Reco
         for _, buf, bounds in text_slices(batch.column(1)):
             for s in shingle_sets(buf, bounds, width):
                 sizes.append(len(s))
-                m = mix(s)
-                prints.append((np.add.reduce(m).view(np.int64) if len(s) else 0,
-                               np.add.reduce(mix(m ^ np.uint64(MIX_1))).view(np.int64) if len(s) else 0))
+                prints.append(_prints(s))
                 if len(s):
                     minima = _minima(s, perms)
                     rows = minima.astype(np.uint64).reshape(BANDS, ROWS)
@@ -110,8 +116,11 @@ def _differ_columns() -> list[str]:
 
 def _sets_of(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [s.tobytes() for _, buf, bounds in text_slices(batch.column(1)) for s in shingle_sets(buf, bounds, width)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["id", "shingles"])
+        sets = [s for _, buf, bounds in text_slices(batch.column(1)) for s in shingle_sets(buf, bounds, width)]
+        p = np.array([_prints(s) for s in sets], np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([len(s) for s in sets], pa.int64()), pa.array(p[:, 0]), pa.array(p[:, 1]),
+             pa.array([s.tobytes() for s in sets], pa.binary())], names=["n", "p1", "p2", "shingles"])
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,36 +171,48 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     fields += [T.StructField(c, T.LongType()) for c in _differ_columns()]
     sketches = stored(rows.mapInArrow(partial(_sketches, width=width), T.StructType(fields)), "sketches")
 
-    classes = stored(sketches.where("n > 0 and id is not null").groupBy("n", "p1", "p2").agg(
-        F.min("id").alias("node"), F.first("bands").alias("bands"), *[F.first(c).alias(c) for c in _differ_columns()]),
-        "classes")
+    node = F.xxhash64("n", "p1", "p2").alias("node")
+    named = sketches.where("n > 0 and id is not null")
+    classes = stored(named.groupBy("n", "p1", "p2").agg(
+        F.min("id").alias("id"), F.first("bands").alias("bands"), *[F.first(c).alias(c) for c in _differ_columns()])
+        .select("id", node, "bands", *_differ_columns()), "classes")
     nodes = classes.select("node", *_differ_columns())
     members = classes.select("node", F.explode("bands").alias("key"))
     shared = stored(shared_buckets(members), "shared")
 
-    wanted = shared.select(F.col("node").alias("id")).distinct()
-    sets = stored(rows.join(wanted, "id", "left_semi").mapInArrow(
-        partial(_sets_of, width=width), T.StructType([T.StructField("id", kind), T.StructField("shingles", T.BinaryType())]))
-        .dropDuplicates(["id"]), "sets")
+    # the classes of an id with several texts belong together
+    held = named.select("id", node)
+    several = held.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("last")).where("a <> last").select("id", "a")
+    same = stored(held.join(several, "id").where("a <> node").select("a", F.col("node").alias("b")).distinct(), "same")
 
-    pair_type = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
+    wanted = stored(shared.select("node").distinct().join(classes.select("id", "node"), "node"), "wanted")
+    # a row's set goes by its own text; an id of wanted may have other texts besides the class's
+    picked = rows.join(wanted.select("id").distinct(), "id", "left_semi").mapInArrow(
+        partial(_sets_of, width=width), T.StructType([
+            *[T.StructField(c, T.LongType()) for c in ("n", "p1", "p2")], T.StructField("shingles", T.BinaryType())]))
+    sets = stored(picked.select(node, "shingles").join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
+
+    pair_type = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
     def verified(pairs: DataFrame) -> DataFrame:
-        left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
-        right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
+        left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
+        right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
         return (pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
                 .mapInArrow(_jaccard(THRESHOLD_PERCENT), pair_type))
 
     def listed(clusters: DataFrame) -> DataFrame:
-        held = clusters.join(sets, F.col("node") == F.col("id")).select("node", "cluster", "shingles")
+        held = clusters.join(sets, "node").select("node", "cluster", "shingles")
         return held.mapInArrow(_listed, T.StructType([
-            T.StructField("node", kind), T.StructField("cluster", kind), T.StructField("shingle", T.LongType())]))
-
-    sizes = sets.select(F.col("id").alias("node"), (F.length("shingles") / 8).cast("long").alias("n"))
-    labels = joined_up(shared, verified, THRESHOLD_PERCENT, nodes, _alike, sizes, listed)
-    folded = classes.select("n", "p1", "p2", "node").join(labels, "node", "left").select(
-        "n", "p1", "p2", F.coalesce("component", "node").alias("component"))
-    out = sketches.select("id", "n", "p1", "p2").join(folded, ["n", "p1", "p2"], "left")
+            T.StructField("node", T.LongType()), T.StructField("cluster", T.LongType()), T.StructField("shingle", T.LongType())]))
+
+    sizes = sets.select("node", (F.length("shingles") / 8).cast("long").alias("n"))
+    labels = joined_up(shared, verified, THRESHOLD_PERCENT, nodes, _alike, sizes, listed, given=same)
+    # a component's name is its smallest id; a row without words goes with the other rows of its id
+    placed = held.join(labels, "node", "left").select("id", F.coalesce("component", "node").alias("root")).distinct()
+    placed = stored(placed, "placed")
+    names = placed.groupBy("root").agg(F.min("id").alias("component"))
+    folded = placed.join(names, "root").select("id", "component")
+    out = sketches.select("id", "n").join(folded, "id", "left")
     component = F.when(F.col("id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))

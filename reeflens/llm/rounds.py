@@ -67,8 +67,8 @@ def _cores(clusters: DataFrame, sizes: DataFrame, listed: DataFrame, rare_in: in
 
 def joined_up(shared: DataFrame, verified: Callable[[DataFrame], DataFrame], percent: int, sketches: DataFrame,
               alike: Callable[[str, str], Column], sizes: DataFrame, listed: Callable[[DataFrame], DataFrame],
-              rare_in: int = RARE) -> DataFrame:
-    """``(node, component)`` of the nodes that ``verified`` links.
+              rare_in: int = RARE, given: DataFrame | None = None) -> DataFrame:
+    """``(node, component)`` of the nodes that ``verified`` links, and those that ``given(a, b)`` does.
 
     ``verified`` keeps the pairs of a table ``(a, b)`` whose shingle sets have
     a Jaccard of ``percent`` or more; ``alike`` is a cheap test that such pairs
@@ -86,6 +86,7 @@ def joined_up(shared: DataFrame, verified: Callable[[DataFrame], DataFrame], per
         sketches.alias("y"), F.col("b") == F.col("y.node")).where(alike("x", "y")).select("a", "b"), "stars")
     tried = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     links = stored(verified(tried), "links")
+    links = links if given is None else links.unionByName(given)
     labels = stored(components(links), "labels")
 
     more = stored(verified(_apart(stars.join(tried, ["a", "b"], "left_anti"), labels)), "links")

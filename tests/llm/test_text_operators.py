@@ -81,6 +81,19 @@ def test_near_groups_and_unruly_rows(spark, unruly, nothing):
     assert got == brute.near(pairs(rows))
 
 
+def test_near_rows_of_one_id_are_one_node(spark):
+    """An id with several texts links the groups of all of them, in any order of the rows."""
+    from reeflens.llm.near_dedup import near_duplicates
+    text = lambda k, change="": " ".join(f"{k}{i}" for i in range(100)) + change
+    rows = [(3, text("a")), (3, text("b")), (1, text("a", " x")), (2, text("b", " x")), (2, ""), (2, text("c")), (4, text("c", " x")),
+            (5, text("d")), (6, text("d")), (7, ""), (7, text("e"))]
+    for order in (rows, rows[::-1]):
+        docs = as_docs(spark, [(d, t, None, None) for d, t in order])
+        got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_duplicates(docs).collect())
+        assert [(d, c, k) for d, _, c, k in got] == [(1, 1, True)] + [(2, 1, False)] * 3 + [(3, 1, False)] * 2 + [
+            (4, 1, False), (5, 5, True), (6, 5, False), (7, 7, True), (7, 7, True)]
+
+
 def test_contained_match_brute_force(spark, small, unruly, odd, nothing):
     from reeflens.llm.decontamination import contaminated
     items = spark.read.parquet(f"{SF}/benchmark.parquet")
