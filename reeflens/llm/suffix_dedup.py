@@ -1,4 +1,7 @@
-"""Removal of repeated byte passages by prefix-free parsing.
+"""Removal of repeated byte passages by hashed names of the strings at triggers.
+
+The phrases are cut as in prefix-free parsing, but its dictionary and suffix
+arrays are replaced by names: nothing is ranked or put in corpus order.
 
 1. A rolling hash over WINDOW bytes places triggers, which cut every text into
    phrases; where MATCH bytes hold no trigger, their window of least hash takes
@@ -9,9 +12,8 @@
    begins d bytes before its trigger holds the KEY bytes around the trigger,
    which only d's block of BLOCK bytes decides; positions whose key is found
    once in the corpus are not repeated.
-3. In corpus order, positions that share dictionary suffix and parse suffix to
-   MATCH bytes are neighbours.  Only whether a position has such a neighbour
-   is asked for, so the order is kept as names: equal strings get equal 128-bit
+3. Only whether a position has another with the same MATCH bytes is asked for,
+   not which of two suffixes comes first: equal strings get equal 128-bit
    names (two independent hashes).  Whole runs of positions are named first,
    which settles long matches; positions of runs that are found once are
    named one by one, against those of the other runs of their key.
