@@ -8,7 +8,7 @@ well as in a short one.  Bins of the partitions nest, so one row per item
 shingle tells from which partition on it is the minimum of its bin; an item is
 a candidate where one of its minima is a minimum of the document.  A contained
 shingle is a minimum with probability 0.63 or more, so an item of ``SHORT``
-shingles or more is missed with probability 0.37**(0.8 * SHORT) at most.
+shingles or more is missed with probability 0.37**(0.8 * SHORT) at most, about 1e-7.
 Shorter items are looked up by all shingles.  Candidates are verified by the
 exact containment of their shingles.
 """
@@ -23,7 +23,7 @@ from .sqltext import whole, words
 
 WIDTH = 5
 THRESHOLD_PERCENT = 80
-SHORT = 10
+SHORT = 20
 
 
 def _shingles(w: str, make) -> Column:

@@ -119,6 +119,17 @@ def test_short_items_in_long_documents(spark):
     assert {(r.doc_id, r.item_id) for r in contaminated(docs, items).collect()} == {(1, 7), (3, 7)}
 
 
+def test_items_of_ten_shingles_are_not_missed(spark):
+    """Eight of an item's ten shingles, in documents with as many shingles as bins."""
+    from reeflens.llm.decontamination import contaminated
+    from pyspark.sql import functions as F
+    run = lambda n, k: F.concat_ws(" ", *[F.concat(F.lit(f"{k}{i}x"), F.col("id").cast("string")) for i in range(n)])
+    ids = spark.range(20000)
+    items = ids.select(F.col("id").alias("item_id"), run(14, "w").alias("text"))
+    docs = ids.select(F.col("id").alias("doc_id"), F.concat_ws(" ", run(12, "w"), run(56, "f")).alias("text"))
+    assert contaminated(docs, items).where("doc_id = item_id and n_shared = 8").count() == 20000
+
+
 def test_token_counts_match_the_library(spark, small, unruly, nothing):
     public_tokenizers = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
