@@ -58,15 +58,16 @@ _lower = np.arange(256, dtype=np.uint64) + np.uint64(1)
 _lower[65:91] += np.uint64(32)
 
 
-def word_spans(buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word [^\\x20\\x09-\\x0D]+, and the index of each text's first word.
+def word_spans(buf: np.ndarray, bounds: np.ndarray, between: np.ndarray = _space) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word, and the index of each text's first word.
 
-    ``bounds`` are the offsets of the texts; a word never crosses them.
+    ``bounds`` are the offsets of the texts; a word never crosses them.  Words
+    are runs of bytes that ``between`` does not mark: [^\\x20\\x09-\\x0D]+ by default.
     """
     if not len(buf):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(bounds), np.int64)
     solid = np.zeros(len(buf) + 2, bool)
-    solid[1:-1] = ~_space[buf]
+    solid[1:-1] = ~between[buf]
     cut = np.zeros(len(buf) + 1, bool)
     cut[bounds] = True
     starts = np.flatnonzero(solid[1:-1] & (~solid[:-2] | cut[:-1]))

@@ -7,14 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe_coding import decode, encode
 from .decontamination import contaminated
 from .html_density import extract_text
+from .importance import resample
 from .language_id import fit as fit_languages
 from .language_id import predict as predict_languages
 from .line_dedup import line_report
 from .mixing import mix_sizes
 from .near_dedup import near_duplicates
 from .quality_rules import quality
+from .ranked_search import search
 from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
 from .toxicity import fit as fit_toxicity
@@ -22,6 +25,8 @@ from .toxicity import score as score_toxicity
 
 #: The tokenizer file of op6 and the length that its query reports against.
 TOKENIZER, TOKEN_LIMIT = "word_bpe_49k.json", 2048
+#: The ranks of op11.
+RANKS = "byte_bpe_50k.tiktoken"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,10 +79,29 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = public_tokenizers.path(RANKS)
+    coded = decode(encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+    text = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(text.cast("binary"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_line_dedup, op2_suffix_array_dedup, op3_html_extraction, op4_minhash_near_dedup,
-        op5_quality_rules, op6_token_counts, op7_toxicity, op8_language_id, op9_benchmark_decontamination, op10_mix_sources)
+        op5_quality_rules, op6_token_counts, op7_toxicity, op8_language_id, op9_benchmark_decontamination, op10_mix_sources,
+        op11_byte_bpe, op12_importance_resampling, op13_ranked_search)
 }
 
 #: A-Z to a-z and nothing else, then the words, as the operators take them.
@@ -175,7 +199,63 @@ select doc_id, size, source_size, target, (size * (whole + (u[k] < part)::int)):
 from drawn d join best b on d.source is not distinct from b.source
 """
 
+#: Bytes of a feature as a list, its CRC-32 by a table of 256 steps.
+_RESAMPLE = rf"""
+with recursive steps as materialized (
+  select list(list_reduce([i] || range(8), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) t
+  from range(256) r(i)
+), words as materialized (
+  select kind, no, doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w
+  from (select 0 kind, row_number() over () no, doc_id, text from documents union all select 1, 0, null, text from benchmark)
+), runs as materialized (
+  select kind, no, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) f
+  from words, range(1, 4) t(n) where len(w) >= n
+), hashed as materialized (
+  select f, xor(list_reduce([4294967295::bigint] || list_transform(range(octet_length(encode(f))), lambda i: ('0x' || substr(hex(encode(f)), 2 * i::int + 1, 2))::bigint),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 b
+  from (select distinct f from runs), steps
+), counts as (
+  select kind, no, b, count(*) n from runs join hashed using (f) group by all
+), buckets as (
+  select b, coalesce(sum(n) filter (kind = 0), 0)::bigint s, coalesce(sum(n) filter (kind = 1), 0)::bigint t from counts group by 1
+), total as (select sum(s)::bigint s, sum(t)::bigint t from buckets),
+gains as (
+  select b, floor(1000 * ln(((x.t + 1)::double * (y.s + 10000)::double) / ((x.s + 1)::double * (y.t + 10000)::double)))::bigint gain
+  from buckets x, total y
+), weighed as (
+  select no, sum(n * gain)::bigint weight, sum(n)::bigint n_features from counts join gains using (b) where kind = 0 group by 1
+), scored as (
+  select doc_id, len(w) n_words, coalesce(n_features, 0) n_features, coalesce(weight, 0) weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(doc_id::varchar, 'null')), 1, 8))::bigint + 0.5) / 4294967296.0::double)))::bigint score
+  from words left join weighed using (no) where kind = 0
+), placed as (
+  select *, n_words >= 20 long, row_number() over (partition by n_words >= 20 order by score desc, doc_id nulls last) place,
+    floor(5 * (count(*) over (partition by n_words >= 20)) / 100) drawn from scored
+)
+select doc_id, n_features, weight, score, case when long and place <= drawn then place end rank from placed
+"""
+
+_TERMS = rf"unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) term"
+_SEARCH = f"""
+with counts as materialized (
+  select no, doc_id, term, count(*) tf from (select no, doc_id, {_TERMS} from (select *, row_number() over () no from documents)) group by all
+), sizes as (select no, sum(tf)::bigint n from counts group by 1),
+total as (select count(*) nd, sum(n)::bigint l from sizes),
+weights as (
+  select term, floor(1000 * ln((2 * nd + 2)::double / (2 * count(*) + 1)::double))::bigint w from counts, total group by term, nd
+), lengths as (select no, 25 + (75 * n * nd) // l m from sizes, total),
+asked as (select item_id, term, count(*) c from (select item_id, {_TERMS} from benchmark) where item_id is not null group by all),
+scores as (
+  select item_id, no, doc_id, sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint score
+  from asked join counts using (term) join weights using (term) join lengths using (no) group by all
+)
+select item_id, rank::int rank, doc_id, score from (
+  select *, row_number() over (partition by item_id order by score desc, doc_id nulls last) rank from scores where score > 0) where rank <= 10
+"""
+
 SQL: dict[str, str] = {
+    "op12_importance_resampling": _RESAMPLE,
+    "op13_ranked_search": _SEARCH,
     "op5_quality_rules": _QUALITY,
     "op9_benchmark_decontamination": _CONTAINED,
     "op10_mix_sources": _MIX,
