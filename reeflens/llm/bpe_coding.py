@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .scratch import stored
+from .scratch import stored_by
 from .token_counts import _packed, _unpacked
 
 #: A block of documents ends after so many characters of text.
@@ -158,16 +158,17 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     ranks = _file(docs, ranks_path)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType
-    blocks = stored(rows.mapInArrow(_blocks(pattern, to_arrow_type(kind)), T.StructType([
+    # in buckets by block: a document's positions are written once and go into no exchange
+    blocks = stored_by(rows.mapInArrow(_blocks(pattern, to_arrow_type(kind)), T.StructType([
         T.StructField("block", T.LongType()), T.StructField("id", kind), T.StructField("at", T.BinaryType()),
-        T.StructField("vocabulary", T.ArrayType(T.StringType()))])), "blocks", "zstd")
+        T.StructField("vocabulary", T.ArrayType(T.StringType()))])), "blocks", "block", "zstd")
 
     used = blocks.where("vocabulary is not null").select("block", F.posexplode_outer("vocabulary").alias("at", "token"))
     used = used.where("token is not null").select("token", "block", "at")
     # a pre-token comes once from a block, so that none has a large share of the rows
     words = used.repartition("token").sortWithinPartitions("token").mapInArrow(_encoded(ranks, pattern), T.StructType([
         T.StructField("used_in", T.LongType()), *[T.StructField(c, T.BinaryType()) for c in ("at", "n", "ids")]]))
-    per_doc = blocks.where("vocabulary is null").select("block", "id", "at")
+    per_doc = blocks.where("at is not null").select("block", "id", "at")
     out = T.StructType([T.StructField("id", kind), T.StructField("ids", T.ArrayType(T.IntegerType()))])
     return per_doc.groupBy("block").cogroup(words.groupBy("used_in")).applyInArrow(_placed, out).withColumnRenamed("id", id_col)
 

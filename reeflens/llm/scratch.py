@@ -22,6 +22,21 @@ def stored(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_by(df: DataFrame, name: str, column: str, codec: str = "snappy") -> DataFrame:
+    """``stored`` in as many buckets by ``column`` as shuffles have partitions: grouping by it needs no exchange.
+
+    The table's name lives only until its plan is made; the files stay, as those of ``stored``.
+    """
+    spark = df.sparkSession
+    table = f"reeflens_{name}_{uuid.uuid4().hex}"
+    writer = df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), column).format("parquet")
+    writer.option("path", new_path(spark, name)).option("compression", codec).saveAsTable(table)
+    out = spark.table(table)
+    out.schema  # resolved: the plan has the files and the buckets
+    spark.sql(f"DROP TABLE {table}")
+    return out
+
+
 def drop_stored(df: DataFrame) -> None:
     """Delete a table of ``stored`` that no later plan reads."""
     spark = df.sparkSession
