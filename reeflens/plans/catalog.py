@@ -52,7 +52,7 @@ def _q(name: str) -> Callable[..., DataFrame]:
     def run(spark: SparkSession, sf_dir: str, survey: DataFrame | None = None,
             fish_stem: DataFrame | None = None) -> DataFrame:
         # the figures of a penalised fit have fewer digits that do not depend on the solver
-        return rounded(build(analysis(spark, sf_dir, survey, fish_stem)), 4 if name.endswith("_smooth") else 6)
+        return rounded(build(analysis(spark, sf_dir, survey, fish_stem)), 4 if name.startswith("coral_trend") and not name.endswith(("_linear", "_fitted")) else 6)
     run.uses_survey = True
     return run
 

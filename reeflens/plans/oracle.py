@@ -670,18 +670,87 @@ FROM survey GROUP BY region, protection_level"""
 OBSERVATION_K = 10
 
 
-def _spline(src: str, keys: str, k: int = OBSERVATION_K) -> str:
+def _f_tail(src: str, out: str) -> str:
+    """``src`` with ``p = P(F > f_)`` for degrees of freedom ``d1_`` and ``d2_``; NULL where ``f_`` is.
+
+    The regularised incomplete beta function by its continued fraction, from the 400th term up.
+    """
+    return f"""
+{out}_x AS (SELECT *, d2_ / (d2_ + d1_ * f_) AS x_, d2_ / 2 AS a_, d1_ / 2 AS b_ FROM {src}),
+{out}_s AS (
+  SELECT * REPLACE (CASE WHEN s_ THEN 1 - x_ ELSE x_ END AS x_, CASE WHEN s_ THEN b_ ELSE a_ END AS a_, CASE WHEN s_ THEN a_ ELSE b_ END AS b_)
+  FROM (SELECT *, x_ > (a_ + 1) / (a_ + b_ + 2) AS s_ FROM {out}_x)
+),
+{out}_c AS (
+  SELECT *, list_reduce(list_concat([1.0::DOUBLE], list_transform(range(400, 0, -1), lambda i: i::DOUBLE)), lambda c, i:
+      1 + (CASE WHEN i % 2 = 1 THEN -(a_ + floor(i / 2)) * (a_ + b_ + floor(i / 2)) / ((a_ + 2 * floor(i / 2)) * (a_ + 2 * floor(i / 2) + 1))
+           ELSE floor(i / 2) * (b_ - floor(i / 2)) / ((a_ + 2 * floor(i / 2) - 1) * (a_ + 2 * floor(i / 2))) END) * x_ / c) AS c_
+  FROM {out}_s
+),
+{out}_p AS (
+  SELECT *, CASE WHEN f_ IS NULL THEN NULL WHEN x_ <= 0 THEN 0.0 WHEN x_ >= 1 THEN 1.0
+    ELSE exp(a_ * ln(x_) + b_ * ln(1 - x_) - lgamma(a_) - lgamma(b_) + lgamma(a_ + b_)) / (a_ * c_) END AS part_ FROM {out}_c
+),
+{out} AS (SELECT * EXCLUDE (x_, a_, b_, s_, c_, part_), CASE WHEN s_ THEN 1 - part_ ELSE part_ END AS p FROM {out}_p)"""
+
+
+#: One choice of the parameter per series and the price of a degree of freedom; near ties go to the larger penalty.
+_PICK = """(
+    SELECT {carry}, {keys}, max_by(rss, coalesce(lam, 0)) AS rss, max_by(edf, coalesce(lam, 0)) AS edf
+    FROM (SELECT {carry}, {keys}, lam, rss, edf, min(rss + price * edf) OVER (PARTITION BY price, {keys}) AS least FROM {prices}, cells)
+    WHERE (rss + price * edf) * (1 - 1e-6) <= least GROUP BY {carry}, {keys})"""
+
+
+def _spline(src: str, keys: str, k: int = OBSERVATION_K, joint: bool = False) -> str:
     """The penalised fits of D11 as CTEs: ``fits`` has one row per series, ``pts`` the points.
 
     Normal equations by plain sums over the basis values of the points; the
     systems of all smoothing parameters are solved by Gauss-Jordan steps in a
-    recursive CTE.
+    recursive CTE.  ``joint`` takes one score over all series, found by a
+    second recursive CTE over the price of a degree of freedom.
     """
     on = lambda a, b: " AND ".join(f"{a}.{c} IS NOT DISTINCT FROM {b}.{c}" for c in keys.split(", "))
     key_of = lambda a: ", ".join(f"{a}.{c}" for c in keys.split(", "))
+    whole = "".join(f" AND {c} IS NOT NULL" for c in keys.split(", ")) if joint else ""
+    tried = _PICK.format(carry="price", keys=keys, prices="prices")
+    again = _PICK.format(carry="step, v, price", keys=keys, prices="(SELECT step, v, 2 * r / (nn - e) AS price FROM search, total WHERE nn - e > 0.5)")
+    if joint:
+        choice = f"""
+total AS (SELECT CAST(sum(n) AS DOUBLE) AS nn, sum(yy) AS ss FROM base),
+cells AS (SELECT {keys}, lam, edf, rss FROM scored UNION ALL SELECT {keys}, NULL, 1.0, yy FROM base WHERE nx = 1),
+prices AS (SELECT ss / nn * pow(10.0, e * 0.25) AS price FROM total, range(-12, 13) t(e)),
+search AS (
+  SELECT * FROM (SELECT 1 AS step, nn * r / pow(nn - e, 2) AS v, price, r, e
+                 FROM (SELECT price, sum(rss) AS r, sum(edf) AS e FROM {tried} GROUP BY price), total
+                 WHERE nn - e > 0.5 ORDER BY 2, price DESC LIMIT 1)
+  UNION ALL
+  SELECT step + 1, nn * r / pow(nn - e, 2), price, r, e
+  FROM (SELECT step, v, price, sum(rss) AS r, sum(edf) AS e FROM {again} GROUP BY step, v, price), total
+  WHERE nn - e > 0.5 AND nn * r / pow(nn - e, 2) < v * (1 - 1e-9)
+),
+price AS (SELECT price, v, r / (nn - e) AS scale, nn - e AS room FROM search, total ORDER BY step DESC LIMIT 1),
+best AS (
+  SELECT {keys}, max(lam) AS lam, {", ".join(f"max_by({c}, lam) AS {c}" for c in ("beta", "edf", "rss", "edf2", "hit", "lev"))}
+  FROM (SELECT s.*, min(rss + price * edf) OVER (PARTITION BY {keys}) AS least, price FROM scored s, price)
+  WHERE (rss + price * edf) * (1 - 1e-6) <= least GROUP BY {keys}
+),
+model AS (SELECT * FROM price)"""
+        gcv, room, scale = "v", "room", "scale"
+    else:
+        choice = f"""
+ranked AS (
+  SELECT *, n * rss / pow(n - edf, 2) AS gcv, min(n * rss / pow(n - edf, 2)) OVER (PARTITION BY {keys}) AS least_gcv
+  FROM scored WHERE n - edf > 0.5
+),
+best AS (
+  SELECT {keys}, max(lam) AS lam, {", ".join(f"max_by({c}, lam) AS {c}" for c in ("beta", "edf", "rss", "gcv", "edf2", "hit", "lev"))}
+  FROM ranked WHERE gcv * (1 - 1e-6) <= least_gcv GROUP BY {keys}
+),
+model AS (SELECT 1)"""
+        gcv, room, scale = "b.gcv", "l.n - edf_", "CASE WHEN l.n - edf_ > 0.5 THEN rss_ / (l.n - edf_) END"
     return f"""
 obs AS (SELECT {keys}, CAST(year AS DOUBLE) AS x, mean_quantity AS y FROM {src}
-        WHERE year IS NOT NULL AND mean_quantity IS NOT NULL),
+        WHERE year IS NOT NULL AND mean_quantity IS NOT NULL{whole}),
 span AS (SELECT min(x) AS lo, max(x) AS hi FROM obs),
 pts0 AS (
   SELECT *, y - avg(y) OVER (PARTITION BY {keys}) AS c, avg(y) OVER (PARTITION BY {keys}) AS mean,
@@ -694,6 +763,7 @@ pts AS (
       WHEN 2 THEN (-3 * pow(t, 3) + 3 * t * t + 3 * t + 1) / 6 WHEN 3 THEN pow(t, 3) / 6 ELSE 0.0 END) AS b
   FROM (SELECT *, p - seg AS t FROM pts1)
 ),
+center AS (SELECT list(m ORDER BY j) AS mid FROM (SELECT j, avg(b[j]) AS m FROM pts, range(1, {k + 1}) t(j) GROUP BY j)),
 base AS (
   SELECT {keys}, any_value(mean) AS mean, any_value(lo) AS lo, any_value(hi) AS hi, count(*) AS n, sum(c * c) AS yy,
          min(x) AS x_min, max(x) AS x_max, sum(p) AS sp, sum(p * p) AS spp, sum(p * c) AS spy,
@@ -713,9 +783,9 @@ penalty AS (
              * (CASE j - r WHEN 0 THEN 1 WHEN 1 THEN -2 WHEN 2 THEN 1 ELSE 0 END) AS DOUBLE))))) AS pen
 ),
 solve AS (
-  SELECT {keys}, lam, 1 AS step, list_transform(range(1, {k + 1}), lambda i: list_concat(list_concat(
-           list_transform(range(1, {k + 1}), lambda j: g[i][j] + lam * pen[i][j]), [h[i]]), g[i])) AS m
-  FROM normal, penalty, (SELECT pow(10.0, -4 + e * 0.25) AS lam FROM range(0, 41) t(e)) WHERE nx > 1
+  SELECT {keys}, lam, 1 AS step, list_transform(range(1, {k + 1}), lambda i: list_concat(list_concat(list_concat(
+           list_transform(range(1, {k + 1}), lambda j: g[i][j] + lam * pen[i][j]), [h[i]]), g[i]), [mid[i]])) AS m
+  FROM normal, penalty, center, (SELECT pow(10.0, -4 + e * 0.25) AS lam FROM range(0, 41) t(e)) WHERE nx > 1
   UNION ALL
   SELECT {keys}, lam, step + 1, list_transform(m, lambda r, i: CASE WHEN i = step THEN piv
            ELSE list_transform(r, lambda v, j: v - r[step] * piv[j]) END)
@@ -723,48 +793,89 @@ solve AS (
 ),
 solved AS (
   SELECT {keys}, lam, list_transform(m, lambda r: r[{k + 1}]) AS beta,
-         list_sum(list_transform(range(1, {k + 1}), lambda i: m[i][{k + 1} + i])) AS edf
-  FROM solve WHERE step = {k + 1}
+         list_sum(list_transform(range(1, {k + 1}), lambda i: m[i][{k + 1} + i])) AS edf,
+         list_sum(list_transform(range(1, {k + 1}), lambda i: list_sum(
+           list_transform(range(1, {k + 1}), lambda j: m[i][{k + 1} + j] * m[j][{k + 1} + i])))) AS edf2,
+         list_sum(list_transform(range(1, {k + 1}), lambda i: mid[i] * m[i][{2 * k + 2}])) AS lev
+  FROM solve, center WHERE step = {k + 1}
 ),
 scored AS (
-  SELECT s.*, n.n, greatest(n.yy - 2 * list_sum(list_transform(range(1, {k + 1}), lambda i: s.beta[i] * n.h[i]))
+  SELECT s.*, n.n, list_sum(list_transform(range(1, {k + 1}), lambda i: s.beta[i] * n.h[i])) AS hit,
+         greatest(n.yy - 2 * list_sum(list_transform(range(1, {k + 1}), lambda i: s.beta[i] * n.h[i]))
            + list_sum(list_transform(range(1, {k + 1}), lambda i: s.beta[i] * list_sum(
                list_transform(range(1, {k + 1}), lambda j: n.g[i][j] * s.beta[j])))), 0.0) AS rss
   FROM solved s JOIN normal n ON {on("s", "n")}
-),
-ranked AS (
-  SELECT *, n * rss / pow(n - edf, 2) AS gcv, min(n * rss / pow(n - edf, 2)) OVER (PARTITION BY {keys}) AS least_gcv
-  FROM scored WHERE n - edf > 0.5
-),
-best AS (
-  SELECT {keys}, max(lam) AS lam, max_by(beta, lam) AS beta, max_by(edf, lam) AS edf, max_by(rss, lam) AS rss, max_by(gcv, lam) AS gcv
-  FROM ranked WHERE gcv * (1 - 1e-6) <= least_gcv GROUP BY {keys}
-),
+),{choice},
 lined AS (
   SELECT *, CASE WHEN nx > 1 THEN spy / (spp - sp * sp / n) ELSE 0.0 END AS rise FROM base
 ),
 lines AS (
   SELECT *, -rise * sp / n AS start, greatest(yy - rise * spy, 0.0) AS line_rss, (hi - lo) / {k - 3} AS width FROM lined
 ),
+placed AS (
+  SELECT l.*, b.lam AS "lambda", coalesce(b.edf, CASE WHEN nx > 1 THEN 2.0 ELSE 1.0 END) AS edf_,
+         coalesce(b.edf2, CASE WHEN nx > 1 THEN 2.0 ELSE 1.0 END) AS edf2_, coalesce(b.rss, line_rss) AS rss_,
+         coalesce(b.hit, yy - line_rss) AS hit_, {gcv} AS gcv, {room} AS room_, {scale} AS scale_, b.lev AS lev_,
+         coalesce(b.beta, list_transform(range(0, {k}), lambda i: start + rise * (i - 1))) AS beta_
+  FROM lines l LEFT JOIN best b ON {on("l", "b")} CROSS JOIN model
+),
+tested AS (
+  SELECT *, CASE WHEN fine THEN hit_ / (scale_ * (edf_ - 1)) END AS f_, CASE WHEN fine THEN (edf_ - 1) * (edf_ - 1) / (edf2_ - 1) END AS d1_, room_ AS d2_
+  FROM (SELECT *, coalesce(room_ > 0.5 AND edf_ - 1 > 1e-9 AND edf2_ - 1 > 1e-9 AND scale_ > 1e-12 * yy / n, false) AS fine FROM placed)
+),{_f_tail("tested", "tails")},
 fits AS (
-  SELECT {key_of("l")}, l.n, coalesce(b.edf, CASE WHEN nx > 1 THEN 2.0 ELSE 1.0 END) AS edf, b.lam AS "lambda", b.gcv,
-         CASE WHEN yy > 0 THEN 1 - coalesce(b.rss, line_rss) / yy END AS r2,
-         CASE WHEN l.n - coalesce(b.edf, CASE WHEN nx > 1 THEN 2.0 ELSE 1.0 END) > 0.5
-              THEN coalesce(b.rss, line_rss) / (l.n - coalesce(b.edf, CASE WHEN nx > 1 THEN 2.0 ELSE 1.0 END)) END AS scale,
-         mean + start - CASE WHEN width > 0 THEN rise / width ELSE 0.0 END * lo AS intercept,
+  SELECT {keys}, n, edf_ AS edf, "lambda", gcv, CASE WHEN yy > 0 THEN 1 - rss_ / yy END AS r2, scale_ AS scale,
+         CASE WHEN n - edf_ > 0.5 AND yy > 0 AND n > 1 THEN 1 - rss_ / (n - edf_) * (n - 1) / yy END AS r2_adjusted,
+         f_ AS f, d1_ AS ref_df, p, mean + start - CASE WHEN width > 0 THEN rise / width ELSE 0.0 END * lo AS intercept,
          CASE WHEN width > 0 THEN rise / width ELSE 0.0 END AS slope,
-         CASE WHEN nx > 1 AND l.n > 2 THEN sqrt(line_rss / (l.n - 2) / (spp - sp * sp / l.n)) / width END AS slope_se,
-         x_min, x_max, list_transform(coalesce(b.beta, list_transform(range(0, {k}), lambda i: start + rise * (i - 1))),
-                                      lambda v: v + mean) AS coefficients
-  FROM lines l LEFT JOIN best b ON {on("l", "b")}
+         CASE WHEN nx > 1 AND n > 2 THEN sqrt(line_rss / (n - 2) / (spp - sp * sp / n)) / width END AS slope_se,
+         x_min, x_max, list_transform(beta_, lambda v: v + mean) AS coefficients,
+         mean + CASE WHEN nx > 1 THEN list_sum(list_transform(range(1, {k + 1}), lambda i: beta_[i] * mid[i])) ELSE 0.0 END AS level,
+         sqrt(scale_ * coalesce(lev_, 1 / n)) AS level_se, rss_, yy, mean
+  FROM tails, center
 )"""
 
 
-def _spline_rows(keys: str) -> str:
-    cols = ", ".join(f'round("{c}", 4) AS "{c}"' for c in (
-        "edf", "lambda", "gcv", "r2", "scale", "intercept", "slope", "slope_se", "x_min", "x_max"))
+_FIT = ("edf", "lambda", "gcv", "r2", "scale", "intercept", "slope", "slope_se", "x_min", "x_max")
+
+
+def _spline_rows(keys: str, columns: tuple[str, ...] = _FIT, coefficients: bool = True) -> str:
+    cols = ", ".join(f'round("{c}", 4) AS "{c}"' for c in columns)
+    more = ", list_transform(coefficients, lambda v: round(v, 4)) AS coefficients" if coefficients else ""
     return f"""
-SELECT {keys}, n, {cols}, list_transform(coefficients, lambda v: round(v, 4)) AS coefficients FROM fits"""
+SELECT {keys}, n, {cols}{more} FROM fits"""
+
+
+def _terms(a: str, b: str) -> str:
+    """Treatment contrasts of the cells' levels, the reference being the least level of each factor."""
+    return f""",
+ends AS (SELECT min({a}) AS a0, min({b}) AS b0, CAST(sum(n) AS DOUBLE) - sum(edf) AS room FROM fits),
+cell AS (SELECT {a} AS ca, {b} AS cb, level AS lv, level_se * level_se AS var FROM fits),
+origin AS (SELECT a0, b0, room, (SELECT lv FROM cell WHERE ca = a0 AND cb = b0) AS lv0, (SELECT var FROM cell WHERE ca = a0 AND cb = b0) AS var0 FROM ends),
+term AS (
+  SELECT '(Intercept)' AS term, NULL AS "{a}", NULL AS "{b}", lv0 AS estimate, var0 AS var FROM origin
+  UNION ALL
+  SELECT '{a}[' || l || ']', l, NULL, lv - lv0, var + var0
+  FROM (SELECT DISTINCT ca AS l FROM cell), origin LEFT JOIN cell ON ca = l AND cb = b0 WHERE l <> a0
+  UNION ALL
+  SELECT '{b}[' || l || ']', NULL, l, lv - lv0, var + var0
+  FROM (SELECT DISTINCT cb AS l FROM cell), origin LEFT JOIN cell ON cb = l AND ca = a0 WHERE l <> b0
+  UNION ALL
+  SELECT '{a}[' || c.ca || ']:{b}[' || c.cb || ']', c.ca, c.cb, c.lv + lv0 - x.lv - y.lv, c.var + var0 + x.var + y.var
+  FROM cell c CROSS JOIN origin LEFT JOIN cell x ON x.ca = c.ca AND x.cb = b0 LEFT JOIN cell y ON y.cb = c.cb AND y.ca = a0
+  WHERE c.ca <> a0 AND c.cb <> b0
+),
+valued AS (SELECT *, sqrt(var) AS std_error, CASE WHEN var > 0 THEN estimate / sqrt(var) END AS t FROM term),
+squared AS (SELECT *, CASE WHEN room > 0.5 THEN t * t END AS f_, 1.0 AS d1_, room AS d2_ FROM valued, origin),{_f_tail("squared", "shown")}
+SELECT term, "{a}", "{b}", round(estimate, 4) AS estimate, round(std_error, 4) AS std_error, round(t, 4) AS t, round(p, 4) AS p FROM shown"""
+
+
+_SUMMARY = """
+SELECT terms, n, round(edf, 4) AS edf, round(gcv, 4) AS gcv, round(scale, 4) AS scale,
+       round(CASE WHEN spread > 0 AND n > 1 THEN 1 - scale * (n - 1) / spread END, 4) AS r2_adjusted,
+       round(CASE WHEN spread > 0 THEN 1 - rss / spread END, 4) AS deviance_explained
+FROM (SELECT count(*) AS terms, CAST(sum(n) AS BIGINT) AS n, sum(edf) AS edf, any_value(gcv) AS gcv, any_value(scale) AS scale, sum(rss_) AS rss,
+             sum(yy + n * mean * mean) - sum(n * mean) * sum(n * mean) / sum(n) AS spread FROM fits)"""
 
 
 def _spline_fitted(src: str, keys: str, k: int = OBSERVATION_K) -> str:
@@ -776,9 +887,16 @@ FROM {src} s LEFT JOIN fits f ON {on}
 LEFT JOIN (SELECT DISTINCT x, b FROM pts) p ON p.x = CAST(s.year AS DOUBLE)"""
 
 
+_TESTS = ("edf", "f", "ref_df", "p", "r2_adjusted", "r2")
+
 for _name, _keys, _trend_name in (("region", "region, taxa3", "cbr"), ("protection", "protection_level, taxa3", "cbp")):
-    _ctes = with_ctes(VIEW, INV, CORAL, sites_cte("coral", "cbal"),
-                      _trend_cte(_trend_name, "cbal", f"year, {_keys}", "quantity"), _spline(_trend_name, _keys))
-    _ctes = _ctes.replace("WITH ", "WITH RECURSIVE ", 1)
+    _ctes, _joint = (with_ctes(VIEW, INV, CORAL, sites_cte("coral", "cbal"),
+                               _trend_cte(_trend_name, "cbal", f"year, {_keys}", "quantity"),
+                               _spline(_trend_name, _keys, joint=_of_all)).replace("WITH ", "WITH RECURSIVE ", 1) for _of_all in (False, True))
     SQL[f"coral_trend_{_name}_smooth"] = _ctes + _spline_rows(_keys)
     SQL[f"coral_trend_{_name}_fitted"] = _ctes + _spline_fitted(_trend_name, _keys)
+    SQL[f"coral_trend_{_name}_tests"] = _ctes + _spline_rows(_keys, _TESTS, False)
+    SQL[f"coral_trend_{_name}_joint"] = _joint + _spline_rows(_keys, (*_FIT, "level", "level_se"))
+    SQL[f"coral_trend_{_name}_joint_tests"] = _joint + _spline_rows(_keys, _TESTS, False)
+    SQL[f"coral_trend_{_name}_joint_terms"] = _joint + _terms(*_keys.split(", "))
+    SQL[f"coral_trend_{_name}_joint_summary"] = _joint + _SUMMARY

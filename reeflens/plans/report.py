@@ -15,8 +15,9 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
 
+from ..operators.contrasts import parametric_terms
 from ..operators.sites import SiteSelection
-from ..operators.smooth import fitted_values, smooth_trend
+from ..operators.smooth import fitted_values, model_summary, smooth_trend
 from ..operators.trends import log_scale, with_bounds
 from ..store import stored
 from . import charts, diversity, fish, invertebrates, smooth
@@ -102,6 +103,16 @@ class Analysis:
     def coral_by_protection(self) -> DataFrame:
         return invertebrates.coral_by_protection(self.coral_sel.data)
 
+    def coral_trend(self, by: str) -> DataFrame:
+        """The yearly coral means that the models fit, by region or protection level, stored once."""
+        build = self.coral_by_region if by == "region" else self.coral_by_protection
+        return self._get(f"coral_trend_{by}", lambda: stored(build(), "coral_trend"))
+
+    def coral_models(self, by: str, criterion: str = "series") -> DataFrame:
+        """The fits of Q19, one row per series, stored once per criterion."""
+        return self._get(f"coral_models_{by}_{criterion}", lambda: stored(smooth_trend(
+            self.coral_trend(by), "year", "mean_quantity", [CORAL_FACTORS[by], "taxa3"], self.p.gam_k, criterion), "models"))
+
     def top_fish(self, band: str, scheme: int) -> DataFrame:
         return fish.top_fish(self.balanced_fish(scheme), self.functional_lookup, self.lats, self.p,
                              band, scheme)
@@ -113,6 +124,31 @@ class Analysis:
         return diversity.richness_by_region(self.richness_sel.data)
 
 
+#: First factor of the coral models, by their name; the second is ``taxa3``.
+CORAL_FACTORS = {"region": "region", "protection": "protection_level"}
+
+_FIT = ("n", "edf", "lambda", "gcv", "r2", "scale", "intercept", "slope", "slope_se", "x_min", "x_max", "coefficients")
+_TESTS = ("n", "edf", "f", "ref_df", "p", "r2_adjusted", "r2")
+
+
+def _models(a: Analysis, by: str, criterion: str, columns: tuple[str, ...]) -> DataFrame:
+    return a.coral_models(by, criterion).select(CORAL_FACTORS[by], "taxa3", *columns)
+
+
+#: Q19 for one factor: ``(analysis, by)`` to the table.
+CORAL_RESULTS: dict[str, Callable[[Analysis, str], DataFrame]] = {
+    "linear": lambda a, by: smooth.linear_trend(a.coral_trend(by), "year", "mean_quantity", [CORAL_FACTORS[by], "taxa3"]),
+    "smooth": lambda a, by: _models(a, by, "series", _FIT),
+    "fitted": lambda a, by: fitted_values(
+        a.coral_trend(by), a.coral_models(by), "year", [CORAL_FACTORS[by], "taxa3"], a.p.gam_k),
+    # what the summary of the fitted model prints
+    "tests": lambda a, by: _models(a, by, "series", _TESTS),
+    "joint": lambda a, by: _models(a, by, "joint", (*_FIT, "level", "level_se")),
+    "joint_tests": lambda a, by: _models(a, by, "joint", _TESTS),
+    "joint_terms": lambda a, by: parametric_terms(a.coral_models(by, "joint"), CORAL_FACTORS[by], "taxa3"),
+    "joint_summary": lambda a, by: model_summary(a.coral_models(by, "joint")),
+}
+
 RESULTS: dict[str, Callable[[Analysis], DataFrame]] = {
     # fish (Q1-Q13)
     "fish_productivity": lambda a: a.fish,
@@ -136,23 +172,7 @@ RESULTS: dict[str, Callable[[Analysis], DataFrame]] = {
     "balanced_coral": lambda a: a.coral_sel.data,
     "coral_by_region": lambda a: a.coral_by_region(),
     "coral_by_protection": lambda a: a.coral_by_protection(),
-    "coral_trend_region_linear": lambda a: smooth.linear_trend(
-        a.coral_by_region(), "year", "mean_quantity", ["region", "taxa3"]),
-    "coral_trend_protection_linear": lambda a: smooth.linear_trend(
-        a.coral_by_protection(), "year", "mean_quantity", ["protection_level", "taxa3"]),
-    "coral_trend_region_smooth": lambda a: smooth_trend(
-        a.coral_by_region(), "year", "mean_quantity", ["region", "taxa3"], a.p.gam_k).drop("_lo", "_hi"),
-    "coral_trend_protection_smooth": lambda a: smooth_trend(
-        a.coral_by_protection(), "year", "mean_quantity", ["protection_level", "taxa3"],
-        a.p.gam_k).drop("_lo", "_hi"),
-    "coral_trend_region_fitted": lambda a: fitted_values(
-        a.coral_by_region(),
-        smooth_trend(a.coral_by_region(), "year", "mean_quantity", ["region", "taxa3"], a.p.gam_k),
-        "year", ["region", "taxa3"], a.p.gam_k),
-    "coral_trend_protection_fitted": lambda a: fitted_values(
-        a.coral_by_protection(),
-        smooth_trend(a.coral_by_protection(), "year", "mean_quantity", ["protection_level", "taxa3"], a.p.gam_k),
-        "year", ["protection_level", "taxa3"], a.p.gam_k),
+    **{f"coral_trend_{by}_{name}": (lambda a, by=by, build=build: build(a, by)) for by in CORAL_FACTORS for name, build in CORAL_RESULTS.items()},
     "echinoderm_reef": lambda a: a.echinoderm_sel.data,
     "echinoderm_by_region": lambda a: invertebrates.echinoderm_by_region(a.echinoderm_sel.data),
     "echinoderm_by_protection": lambda a: invertebrates.echinoderm_by_protection(a.echinoderm_sel.data),
