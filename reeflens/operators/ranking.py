@@ -48,15 +48,16 @@ def top_n_with_share(df: DataFrame, k: int, value: str, part_cols: Sequence[str]
 
 
 def reorder_within(df: DataFrame, x: str, by: str, within: str, key_col: str,
-                   ord_col: str) -> DataFrame:
+                   ord_col: str, figures: Sequence[str] = ()) -> DataFrame:
     """``reorder_within(x, by, within)``.
 
     ``key_col`` is ``x___within`` (NULL rendered ``NA``); ``ord_col`` is the
     1-based position of the key inside its panel, ordered by the mean of
-    ``by`` over the key's rows and then by the key.
+    ``by`` over the key's rows and then by the key.  ``figures`` tells apart
+    panels of several figures in one table.
     """
-    wk = Window.partitionBy(within, key_col)
-    wp = Window.partitionBy(within).orderBy(F.col("_m").asc_nulls_last(), F.col(key_col))
+    wk = Window.partitionBy(*figures, within, key_col)
+    wp = Window.partitionBy(*figures, within).orderBy(F.col("_m").asc_nulls_last(), F.col(key_col))
     return (df.withColumn(key_col, within_key(x, within))
               .withColumn("_m", F.avg(by).over(wk))
               .withColumn(ord_col, F.dense_rank().over(wp))

@@ -14,17 +14,17 @@ A site is (region, reef).  Over the whole input:
 
 Plan: the input -- an aggregate at reef grain in every pipeline -- is
 referenced four times (two scalar subqueries, the site list, the semi join),
-so by default it is materialised once with ``checkpoint()`` in the shared
+so by default it is stored once as Parquet in the shared
 ``spark.checkpoint.dir``: the upstream scan and aggregations run exactly
-once and the lineage is cut (a lost executor re-reads the checkpoint instead
-of recomputing the fact pipeline).  One ``distinct`` on (site, year) feeds
+once, the readers prune its columns, and the lineage is cut (a lost executor
+reads the files again instead of recomputing the fact pipeline).  One ``distinct`` on (site, year) feeds
 everything.  ``total`` and the threshold are scalar subqueries
 (``DataFrame.scalar()``): Spark runs each once and inlines the value, so no
 cross join and no ``collect()`` occurs.  The final step is a null-safe
 left-semi join; AQE measures the materialised kept-site list (one row per
 site) and turns the join into a broadcast when it is small.  Reusing
 ``data`` downstream re-runs only the cheap site aggregates over the
-checkpointed reef-grain table, never the fact pipeline.
+stored reef-grain table, never the fact pipeline.
 """
 
 from __future__ import annotations
@@ -32,11 +32,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
-from .joins import semi_join_null_safe
+from ..store import stored
+from .joins import _null_safe_join, semi_join_null_safe
+from .wide import numbered
 
 
 @dataclass
@@ -59,14 +60,26 @@ class SiteSelection:
         return self.sites.orderBy(F.col("region").asc_nulls_last(),
                                   F.col("years_monitored").desc_nulls_last())
 
+    def ranked(self) -> DataFrame:
+        """O1 as columns: ``place`` of a site in its region (1 = most years; ties share it), ``region_ord`` of the region.
+
+        Places come from the number of sites per (region, years), so a region
+        with many sites is counted in every task, not sorted in one.
+        """
+        levels = self.sites.groupBy("region", "years_monitored").agg(F.count(F.lit(1)).alias("_n"))
+        more = Window.partitionBy("region").orderBy(F.col("years_monitored").desc()).rowsBetween(Window.unboundedPreceding, -1)
+        levels = levels.select("region", "years_monitored", (1 + F.coalesce(F.sum("_n").over(more), F.lit(0))).alias("place"))
+        regions = numbered(self.sites.select("region").distinct(), "region", "region_ord").withColumn("region_ord", F.col("region_ord") + 1)
+        out = _null_safe_join(self.sites, levels, ["region", "years_monitored"], "inner")
+        return _null_safe_join(out, regions, ["region"], "inner")
+
 
 def consistent_sites(df: DataFrame, min_years: int | None = None,
                      site_cols: Sequence[str] = ("region", "reef"), year_col: str = "year",
                      group_col: str = "region", materialize: bool = True) -> SiteSelection:
     site_cols = list(site_cols)
     if materialize:
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
+        df = stored(df, "sites")
     site_years = df.select(*site_cols, year_col).distinct()
 
     total_df = site_years.select(year_col).distinct().agg(F.count(F.lit(1)).alias("total_years"))

@@ -19,8 +19,10 @@ from ..operators.outliers import drop_flagged, size_check
 from ..operators.sites import consistent_sites
 from ..operators.unions import pivot_wider
 from ..sources import driver_tables as dt
+from ..sources.survey import load_export, load_traits
+from ..store import new_path
 from .diversity import shannon_by_transect
-from .fish import biomass_raw
+from .fish import biomass_raw, biomass_raw_union
 from .profile import Profile
 from .report import RESULTS, Analysis
 
@@ -79,13 +81,25 @@ def _on_analysis(build: Callable[[Analysis], DataFrame]) -> Callable[..., DataFr
 
 
 def _wide(a: Analysis) -> DataFrame:
-    """Summed quantities with one column per given taxon."""
+    """Summed quantities with one column per taxon of the table."""
     keys = ["region", "protection_level"]
     sums = a.survey.groupBy(*keys, "taxa2").agg(F.sum("quantity").alias("quantity"))
-    return pivot_wider(sums, keys, "taxa2", "quantity", WIDE_TAXA, fill=0.0)
+    return pivot_wider(sums, keys, "taxa2", "quantity", fill=0.0)
 
 
-WIDE_TAXA = ("ECONOMY", "LARGE", "SMALL")
+def _traits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The typed reader over a CSV file with missing and malformed cells."""
+    path = new_path(spark, "traits") + ".csv"
+    dt.trait_export(spark, sf_dir).write.option("header", True).option("escape", '"').csv(path)
+    return rounded(load_traits(spark, path))
+
+
+def _sargassum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: a third export through its reader."""
+    path = new_path(spark, "sargassum")
+    dt.survey_exports(spark, sf_dir)[0].write.parquet(path)
+    return rounded(load_export(spark, path))
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # D1 alone, on a table with real outliers
@@ -97,6 +111,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "balanced_biomass_min_years": _on_analysis(lambda a: consistent_sites(biomass_raw(a.fish, a.p), min_years=3).data),
     "shannon_by_transect_matrix": _on_analysis(lambda a: shannon_by_transect(a.survey, numeric_transect=True)),
     "quantity_by_taxa_wide": _on_analysis(_wide),
+    "biomass_raw_union": _on_analysis(lambda a: biomass_raw_union(a.fish, a.p)),
+    "biomass_site_report": _on_analysis(lambda a: a.biomass_sel.ranked()),
+    # sources read from files
+    "traits_csv": _traits,
+    "sargassum_export": _sargassum,
     # every named result and chart table of the analysis
     **{name: _q(name) for name in RESULTS},
 }

@@ -13,7 +13,6 @@ from ..functions.labels import with_factor
 from ..functions.semantics import not_in_set
 from ..operators.joins import natural_left_join
 from ..operators.trends import with_bounds
-from ..operators.unions import union_strict
 from .profile import Profile
 
 
@@ -43,12 +42,6 @@ def region_panel_chart(by_region: DataFrame, lats: DataFrame, p: Profile,
     return with_bounds(x, "mean_quantity", "se_quantity") if bounds else x
 
 
-def banded_panels(north: DataFrame, south: DataFrame, p: Profile) -> DataFrame:
-    """The two latitude panels of a top-10 figure in one table."""
-    return union_strict(north.withColumn("band", F.lit(p.band_above)),
-                        south.withColumn("band", F.lit(p.band_below)))
-
-
 def write_chart(df: DataFrame, out_dir: str, name: str) -> str:
     """Store one chart table as Parquet (replaces ``ggsave``)."""
     path = f"{out_dir.rstrip('/')}/{name}"

@@ -47,6 +47,9 @@ def richness_history(by_region: DataFrame, lats: DataFrame, p: Profile) -> DataF
 
 
 def shannon_by_transect(survey: DataFrame, numeric_transect: bool = False) -> DataFrame:
-    """Q32 (D10): Shannon index per (region, reef, transect) over every label and year."""
-    return shannon(survey, ("region", "reef", "transect"),
-                   numeric_unit_cols=("transect",) if numeric_transect else ())
+    """Q32 (D10): Shannon index per (region, reef, transect) over every label and year.
+
+    ``numeric_transect`` takes the unit's numeric columns into the matrix, chosen
+    from the schema (P4), as the analysis does.
+    """
+    return shannon(survey, ("region", "reef", "transect"), numeric_unit_cols="auto" if numeric_transect else ())

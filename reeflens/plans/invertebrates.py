@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -96,15 +98,19 @@ def species_taxa(balanced_inv: DataFrame) -> DataFrame:
 
 
 def top_inv(balanced_inv: DataFrame, lats: DataFrame, p: Profile, band: str) -> DataFrame:
-    """Q27/Q28 (D7, D14, D9, P19): top-k species by mean quantity per period."""
-    other = p.band_below if band == "north" else p.band_above
+    """Q27/Q28: the rows of one band of :func:`top_inv_bands`."""
+    return top_inv_bands(balanced_inv, lats, p, (p.band_above if band == "north" else p.band_below,)).drop("band")
+
+
+def top_inv_bands(balanced_inv: DataFrame, lats: DataFrame, p: Profile, bands: Sequence[str] | None = None) -> DataFrame:
+    """Top-k species by mean quantity per band and period, all bands in one pass."""
     pat, lab = p.collapse_late
     x = natural_left_join(balanced_inv, lats, ["region"])
-    x = (x.withColumn("degree", lat_band("lat", p.lat_cut, p.band_above, p.band_below))
-          .filter(not_in_set("region", p.chart_excluded_regions) & (F.col("degree") != F.lit(other))))
+    x = (x.withColumn("band", lat_band("lat", p.lat_cut, p.band_above, p.band_below))
+          .filter(not_in_set("region", p.chart_excluded_regions) & F.col("band").isin(*(bands or (p.band_above, p.band_below)))))
     x = with_factor(x, "period", p.period_levels(3))
     x = x.withColumn("species", collapse_species("species", pat, lab, na_aware=True))
-    m = (x.groupBy("period", "period_ord", "taxa", "species")
+    m = (x.groupBy("band", "period", "period_ord", "taxa", "species")
           .agg(mean_na("quantity").alias("quantity")))
-    top = top_n_ties(m, p.top_k, "quantity", ["period"])
-    return reorder_within(top, "species", "quantity", "period", "species_key", "species_ord")
+    top = top_n_ties(m, p.top_k, "quantity", ["band", "period"])
+    return reorder_within(top, "species", "quantity", "period", "species_key", "species_ord", ["band"])

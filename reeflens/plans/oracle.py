@@ -661,9 +661,34 @@ FROM st GROUP BY region, reef, transect"""
 SQL["quantity_by_taxa_wide"] = with_ctes(VIEW) + """
 SELECT region, protection_level, """ + ", ".join(
     f"CASE WHEN count(*) FILTER (taxa2 = '{t}') = 0 THEN 0 ELSE sum(quantity) FILTER (taxa2 = '{t}') END AS \"{t}\""
-    for t in ("ECONOMY", "LARGE", "SMALL")) + """
+    for t in ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")) + """,
+       CASE WHEN count(*) FILTER (taxa2 IS NULL) = 0 THEN 0 ELSE sum(quantity) FILTER (taxa2 IS NULL) END AS "NA"
 FROM survey GROUP BY region, protection_level"""
 
+SQL["biomass_raw_union"] = with_ctes(VIEW, FISH, reef_mean_cte("fish", "other", "biomass", strict=True, where="region <> 'EUROPE'"),
+                                     reef_mean_cte("fish", "one", "biomass", strict=True, where="region = 'EUROPE'")) + """
+SELECT year, region, protection_level, reef, round(biomass, 6) AS biomass, NULL AS depth, NULL::INTEGER AS transect FROM other
+UNION ALL SELECT year, region, protection_level, reef, round(biomass, 6), depth, transect FROM one_t"""
+
+SQL["biomass_site_report"] = with_ctes(VIEW, FISH, BRAW, sites_cte("braw", "bal")) + """
+SELECT region, reef, years_monitored, round(coverage, 6) AS coverage,
+       rank() OVER (PARTITION BY region ORDER BY years_monitored DESC) AS place,
+       dense_rank() OVER (ORDER BY region NULLS LAST) AS region_ord FROM bal_sites"""
+
+SQL["sargassum_export"] = with_ctes(VIEW) + """
+SELECT * EXCLUDE (early) REPLACE (round(size, 6) AS size, round(biomass, 6) AS biomass), round_even(latitude, 0) AS degree
+FROM raw WHERE early"""
+
+SQL["traits_csv"] = """
+SELECT p_name || ' ' || p_partkey AS species, CASE WHEN p_partkey % 7 <> 1 THEN p_brand END AS groups_new, p_brand AS groups_old,
+       CASE WHEN p_partkey % 11 <> 2 THEN p_type END AS functional_name, 'a "quoted", part of ' || p_size AS diet,
+       CASE WHEN p_partkey % 13 <> 3 AND p_partkey % 17 <> 4 THEN p_size / 8 END AS trophic_level,
+       CASE WHEN p_partkey % 19 <> 5 AND p_partkey % 23 <> 6 THEN CAST(p_size AS INTEGER) END AS max_size_tl,
+       p_type AS reef_position, 'Picker' AS feeding_type, CAST(p_partkey % 2 = 0 AS INTEGER) AS solitary,
+       CAST(p_partkey % 3 = 0 AS INTEGER) AS schooling, CASE WHEN p_partkey % 29 <> 7 THEN CAST(p_partkey % 5 = 0 AS INTEGER) END AS shoaling,
+       CAST(p_partkey % 9 AS INTEGER) AS "cluster", p_size / 4 - 5 AS pc1, CASE WHEN p_partkey % 31 <> 8 THEN -p_size / 2 END AS pc2
+FROM part"""
+
 
 # --- spline fits ----------------------------------------------------------------------------
 #: Basis size of the fits, ``Profile.gam_k``.

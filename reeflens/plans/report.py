@@ -117,6 +117,10 @@ class Analysis:
         return fish.top_fish(self.balanced_fish(scheme), self.functional_lookup, self.lats, self.p,
                              band, scheme)
 
+    def top_fish_bands(self, scheme: int) -> DataFrame:
+        """Both latitude panels of a figure in one table."""
+        return fish.top_fish_bands(self.balanced_fish(scheme), self.functional_lookup, self.lats, self.p, scheme)
+
     def top_inv(self, band: str) -> DataFrame:
         return invertebrates.top_inv(self.balanced_inv, self.lats, self.p, band)
 
@@ -188,10 +192,10 @@ RESULTS: dict[str, Callable[[Analysis], DataFrame]] = {
     "richness_by_region": lambda a: a.richness_by_region(),
     "richness_history": lambda a: diversity.richness_history(a.richness_by_region(), a.lats, a.p),
     "shannon_by_transect": lambda a: diversity.shannon_by_transect(a.survey),
-    # chart tables (C1-C9; C8 and C10 are inv_bars_* and richness_history)
-    "chart_top_fish_3p": lambda a: charts.banded_panels(a.top_fish("north", 3), a.top_fish("south", 3), a.p),
-    "chart_top_fish_2p": lambda a: charts.banded_panels(a.top_fish("north", 2), a.top_fish("south", 2), a.p),
-    "chart_top_inv": lambda a: charts.banded_panels(a.top_inv("north"), a.top_inv("south"), a.p),
+    # chart tables, the latitude panels of a figure told apart by ``band`` (C1-C9; C8 and C10 are inv_bars_* and richness_history)
+    "chart_top_fish_3p": lambda a: a.top_fish_bands(3),
+    "chart_top_fish_2p": lambda a: a.top_fish_bands(2),
+    "chart_top_inv": lambda a: invertebrates.top_inv_bands(a.balanced_inv, a.lats, a.p),
     "chart_biomass_region": lambda a: charts.biomass_region_chart(a.biomass_by_region(), a.p),
     "chart_biomass_protection": lambda a: charts.biomass_protection_chart(a.biomass_by_protection(), a.p),
     "chart_coral_region": lambda a: charts.region_panel_chart(a.coral_by_region(), a.lats, a.p),

@@ -108,8 +108,8 @@ def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name")
 
 
-def survey_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The combined survey (after name cleaning, with ``degree``) over the test tables."""
+def survey_exports(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The historic and the current export over the test tables, with row ids and capitalised names."""
     li = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount",
         "l_returnflag", "l_linestatus")
@@ -145,11 +145,37 @@ def survey_view(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.col("l_quantity") * F.col("p_size").cast("double")).alias("Biomass"),
         F.when(order % 67 == 1, F.lit(0.0)).otherwise(holes(F.col("l_quantity"), order, 71, 8)).alias("Quantity"),
     )
-    historic = prepare_survey_export(raw.where("early").drop("early"), OBSERVATION.historic_excluded_families)
-    current = prepare_survey_export(raw.where("not early").drop("early"))
+    return raw.where("early").drop("early"), raw.where("not early").drop("early")
+
+
+def survey_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The combined survey (after name cleaning, with ``degree``) over the test tables."""
+    historic, current = survey_exports(spark, sf_dir)
+    historic = prepare_survey_export(historic, OBSERVATION.historic_excluded_families)
+    current = prepare_survey_export(current)
     return nan_to_null(with_clean_names(union_strict(historic, current)))
 
 
+def trait_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as a trait table of text cells: some are ``NA``, some are not numbers where numbers belong.
+
+    One row per part with the columns of ``TRAITS_SCHEMA``, as a CSV file has them.
+    """
+    p, key = _read(spark, sf_dir, "part"), F.col("p_partkey")
+    text = lambda c: F.col(c).cast("string")
+    cell = lambda value, mod, rest, other="NA": F.when(key % mod == rest, F.lit(other)).otherwise(value)
+    flag = lambda mod: (key % mod == 0).cast("int").cast("string")
+    return p.select(
+        F.concat(text("p_name"), F.lit(" "), text("p_partkey")).alias("Species"), cell(F.col("p_brand"), 7, 1).alias("groups_new"),
+        F.col("p_brand").alias("groups_old"), cell(F.col("p_type"), 11, 2).alias("functional_name"),
+        F.concat(F.lit('a "quoted", part of '), text("p_size")).alias("Diet"),
+        cell(cell((F.col("p_size") / 8).cast("string"), 13, 3), 17, 4, "about 3").alias("TrophicLevel"),
+        cell(cell(text("p_size"), 19, 5), 23, 6, "12 cm").alias("MaxSizeTL"),
+        F.col("p_type").alias("ReefPosition"), F.lit("Picker").alias("FeedingType"),
+        flag(2).alias("Solitary"), flag(3).alias("Schooling"), cell(flag(5), 29, 7, "yes").alias("Shoaling"),
+        (key % 9).cast("string").alias("Cluster"), (F.col("p_size") / 4 - 5).cast("string").alias("PC1"), cell((-F.col("p_size") / 2).cast("string"), 31, 8).alias("PC2"))
+
+
 def commercial_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``comm_sp``: species -> 'yes' / 'no' / NULL (unknown) from part prices."""
     p = _read(spark, sf_dir, "part")

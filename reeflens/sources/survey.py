@@ -67,13 +67,17 @@ def export_schema(columns: Sequence[str]) -> T.StructType:
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
                fmt: str | None = None) -> DataFrame:
-    """Read Parquet or CSV (with header, missing values as ``NA``) with an explicit schema when given."""
+    """Read Parquet or CSV with an explicit schema when given.
+
+    CSV files have a header, missing values as ``NA`` and quotes doubled inside
+    quoted cells; a cell that does not fit its column's type is missing.
+    """
     fmt = fmt or ("csv" if path.endswith(".csv") else "parquet")
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
     if fmt == "csv":
-        return r.option("header", True).option("nullValue", "NA").csv(path)
+        return r.option("header", True).option("nullValue", "NA").option("escape", '"').csv(path)
     return r.format(fmt).load(path)
 
 
@@ -119,6 +123,13 @@ def load_survey(spark: SparkSession, historic: str, current: str,
     return nan_to_null(with_clean_names(union_strict(h, c)))
 
 
+def load_export(spark: SparkSession, path: str, excluded_families: Sequence[str] = (),
+                schema: T.StructType | None = None, fmt: str | None = None) -> DataFrame:
+    """S3 (and each of S1, S2 by itself): one export, typed, prepared and with clean names."""
+    export = prepare_survey_export(read_survey_export(spark, path, schema, fmt), excluded_families)
+    return nan_to_null(with_clean_names(export))
+
+
 def load_traits(spark: SparkSession, path: str) -> DataFrame:
     """The species trait table, names cleaned (``Species`` -> ``species``).
 
