@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from .bytewords import MIX_1, mix, text_slices, word_hashes, word_spans
 from .rounds import joined_up, shared_buckets
-from .scratch import stored
+from .scratch import drop_stored, stored, stored_by
 
 #: A pair of Jaccard 0.8 shares no bucket with probability (1 - 0.8**5)**40, about 1e-7.
 BANDS, ROWS = 40, 5
@@ -176,6 +176,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = stored(named.groupBy("n", "p1", "p2").agg(
         F.min("id").alias("id"), F.first("bands").alias("bands"), *[F.first(c).alias(c) for c in _differ_columns()])
         .select("id", node, "bands", *_differ_columns()), "classes")
+    # from here on a row is its id and the name of its set
+    rows_of = stored(sketches.select("id", "n", "p1", "p2"), "rows")
+    drop_stored(sketches)
+    named = rows_of.where("n > 0 and id is not null")
     nodes = classes.select("node", *_differ_columns())
     members = classes.select("node", F.explode("bands").alias("key"))
     shared = stored(shared_buckets(members), "shared")
@@ -190,7 +194,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     picked = rows.join(wanted.select("id").distinct(), "id", "left_semi").mapInArrow(
         partial(_sets_of, width=width), T.StructType([
             *[T.StructField(c, T.LongType()) for c in ("n", "p1", "p2")], T.StructField("shingles", T.BinaryType())]))
-    sets = stored(picked.select(node, "shingles").join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
+    # in buckets by node: every comparison joins the sets, and moves only its pairs
+    sets = stored_by(picked.select(node, "shingles").join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets", "node")
 
     pair_type = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
@@ -210,9 +215,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # a component's name is its smallest id; a row without words goes with the other rows of its id
     placed = held.join(labels, "node", "left").select("id", F.coalesce("component", "node").alias("root")).distinct()
     placed = stored(placed, "placed")
+    for table in (classes, shared, same, wanted, labels):
+        drop_stored(table)
     names = placed.groupBy("root").agg(F.min("id").alias("component"))
     folded = placed.join(names, "root").select("id", "component")
-    out = sketches.select("id", "n").join(folded, "id", "left")
+    out = rows_of.select("id", "n").join(folded, "id", "left")
     component = F.when(F.col("id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .scratch import stored
+from .scratch import drop_stored, stored
 
 #: Buckets of up to so many members are compared pair by pair.
 FEW = 64
@@ -45,11 +45,27 @@ def _placed(shared: DataFrame, labels: DataFrame) -> DataFrame:
     return placed.join(several, "key")
 
 
-def _cores(clusters: DataFrame, sizes: DataFrame, listed: DataFrame, rare_in: int) -> tuple[DataFrame, DataFrame]:
-    """``(node, n, core)``, where core counts the shingles that are not rare; pairs that share a rare one.
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` with the components that ``links(a, b)`` join made one; nodes new to ``labels`` come in.
+
+    Only the graph of components is searched: its edges are the links between
+    different ones, so a round costs what it found, not what is known.
+    """
+    both = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    every = labels.unionByName(both.join(labels, "node", "left_anti").select("node", F.col("node").alias("component")))
+    la = labels.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+    lb = labels.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+    edges = links.join(la, "a", "left").join(lb, "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    joined = components(edges).select(F.col("node").alias("component"), F.col("component").alias("root"))
+    return every.join(joined, "component", "left").select("node", F.coalesce("root", "component").alias("component"))
+
+
+def _cores(clusters: DataFrame, sizes: DataFrame, listed: DataFrame, parts: DataFrame, rare_in: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(node, n, core)``, where core counts the shingles that are not rare; pairs of unequal parts that share a rare one.
 
     A shingle is rare if ``rare_in`` nodes of its cluster have it, or fewer in
-    a small cluster, so that it makes few pairs.
+    a small cluster, so that it makes few pairs.  Shingles that only one part has
+    make none.  The third table is what the pairs are read from.
     """
     most = F.least(F.lit(rare_in), 1 + F.floor(F.count("*") / 50))
     rarity = clusters.groupBy("cluster").agg(most.alias("most"))
@@ -59,16 +75,19 @@ def _cores(clusters: DataFrame, sizes: DataFrame, listed: DataFrame, rare_in: in
     owned = rare.groupBy("node").agg(F.count("*").alias("rare"))
     bound = clusters.select("node").join(sizes, "node").join(owned, "node", "left").select(
         "node", "n", (F.col("n") - F.coalesce("rare", F.lit(0))).alias("core"))
-    some = rare.where("c > 1")
+    some = rare.where("c > 1").join(parts, ["node", "cluster"])
+    across = some.groupBy("cluster", "shingle").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi")
+    some = some.join(across.select("cluster", "shingle"), ["cluster", "shingle"])
     both = some.alias("x").join(some.alias("y"), (F.col("x.cluster") == F.col("y.cluster"))
-                                & (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") < F.col("y.node")))
-    return stored(bound, "bounds"), both.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+                                & (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.part") < F.col("y.part")))
+    pairs = both.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    return stored(bound, "bounds"), pairs, rare
 
 
 def joined_up(shared: DataFrame, verified: Callable[[DataFrame], DataFrame], percent: int, sketches: DataFrame,
               alike: Callable[[str, str], Column], sizes: DataFrame, listed: Callable[[DataFrame], DataFrame],
               rare_in: int = RARE, given: DataFrame | None = None) -> DataFrame:
-    """``(node, component)`` of the nodes that ``verified`` links, and those that ``given(a, b)`` does.
+    """``(node, component)`` of the nodes that ``verified`` links, and those that ``given(a, b)`` does, stored.
 
     ``verified`` keeps the pairs of a table ``(a, b)`` whose shingle sets have
     a Jaccard of ``percent`` or more; ``alike`` is a cheap test that such pairs
@@ -81,17 +100,27 @@ def joined_up(shared: DataFrame, verified: Callable[[DataFrame], DataFrame], per
     shingle of the cluster in common share no more than the smaller of what
     else they have; pairs that this rules out are not compared.
     """
+    labels = None
+
+    def take(links: DataFrame) -> bool:
+        """Bring verified links into ``labels``; whether there were any."""
+        nonlocal labels
+        links = stored(links, "links")
+        if labels is not None and links.isEmpty():
+            drop_stored(links)
+            return False
+        before, labels = labels, stored(components(links) if labels is None else _merged(labels, links), "labels")
+        for done in filter(None, (before, links)):
+            drop_stored(done)
+        return True
+
     stars = shared.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     stars = stored(stars.join(sketches.alias("x"), F.col("a") == F.col("x.node")).join(
         sketches.alias("y"), F.col("b") == F.col("y.node")).where(alike("x", "y")).select("a", "b"), "stars")
     tried = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = stored(verified(tried), "links")
-    links = links if given is None else links.unionByName(given)
-    labels = stored(components(links), "labels")
-
-    more = stored(verified(_apart(stars.join(tried, ["a", "b"], "left_anti"), labels)), "links")
-    links = links.unionByName(more)
-    labels = stored(components(links), "labels")
+    take(verified(tried) if given is None else verified(tried).unionByName(given))
+    # only what the first links have left apart asks whether it was tried
+    take(verified(_apart(stars, labels).join(tried, ["a", "b"], "left_anti")))
 
     # one member of each component of a bucket against one of its first component, others each time
     for turn in range(TURNS):
@@ -102,11 +131,8 @@ def joined_up(shared: DataFrame, verified: Callable[[DataFrame], DataFrame], per
             F.least("a", "o.node").alias("a"), F.greatest("a", "o.node").alias("b")).distinct()
         pairs = pairs.join(sketches.alias("x"), F.col("a") == F.col("x.node")).join(
             sketches.alias("y"), F.col("b") == F.col("y.node")).where(alike("x", "y")).select("a", "b")
-        more = stored(verified(pairs.join(stars, ["a", "b"], "left_anti")), "links")
-        if more.isEmpty():
+        if not take(verified(pairs.join(stars, ["a", "b"], "left_anti"))):
             break
-        links = links.unionByName(more)
-        labels = stored(components(links), "labels")
 
     placed = stored(_placed(shared, labels), "open")
     core = F.least("x.core", "y.core")
@@ -118,19 +144,25 @@ def joined_up(shared: DataFrame, verified: Callable[[DataFrame], DataFrame], per
                                & alike("x", "y")).select("x.node", F.col("y.node").alias("other"))
     # the members of large buckets: the few outside a cluster's main component against the others
     many = placed.where(F.col("c") > FEW)
-    least = many.groupBy("key").agg(F.min("node").alias("a"))
-    clusters = components(many.join(least, "key").select("a", F.col("node").alias("b")).distinct())
-    clusters = stored(clusters.select("node", F.col("component").alias("cluster")), "clusters")
-    bound, other = _cores(clusters, sizes, listed(clusters), rare_in)
-    parts = many.select("node", "part").distinct().join(clusters, "node")
-    main = parts.groupBy("cluster", "part").agg(F.count("*").alias("c")).groupBy("cluster").agg(
-        F.max_by("part", F.struct("c", "part")).alias("main"))
-    near = parts.join(bound, "node").where(100 * F.col("core") >= percent * F.col("n")).join(main, "cluster").join(sketches, "node")
-    near = stored(near.withColumn("inner", F.col("part") == F.col("main")), "near")
-    outer = near.where("not inner").alias("x").join(
-        near.alias("y"), (F.col("x.cluster") == F.col("y.cluster")) & (F.col("x.part") != F.col("y.part"))
-        & (F.col("y.inner") | (F.col("x.node") < F.col("y.node"))) & within & alike("x", "y"))
-    rest = rest.unionByName(outer.select("x.node", F.col("y.node").alias("other")))
-    rest = rest.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
-    rest = rest.unionByName(_apart(other, labels)).distinct().join(stars, ["a", "b"], "left_anti")
-    return components(links.unionByName(stored(verified(rest), "links")))
+    done = [placed, stars]
+    if not many.isEmpty():
+        least = many.groupBy("key").agg(F.min("node").alias("a"))
+        clusters = components(many.join(least, "key").select("a", F.col("node").alias("b")).distinct())
+        clusters = stored(clusters.select("node", F.col("component").alias("cluster")), "clusters")
+        parts = stored(many.select("node", "part").distinct().join(clusters, "node"), "parts")
+        bound, other, rare = _cores(clusters, sizes, listed(clusters), parts, rare_in)
+        main = parts.groupBy("cluster", "part").agg(F.count("*").alias("c")).groupBy("cluster").agg(
+            F.max_by("part", F.struct("c", "part")).alias("main"))
+        near = parts.join(bound, "node").where(100 * F.col("core") >= percent * F.col("n")).join(main, "cluster").join(sketches, "node")
+        near = stored(near.withColumn("inner", F.col("part") == F.col("main")), "near")
+        outer = near.where("not inner").alias("x").join(
+            near.alias("y"), (F.col("x.cluster") == F.col("y.cluster")) & (F.col("x.part") != F.col("y.part"))
+            & (F.col("y.inner") | (F.col("x.node") < F.col("y.node"))) & within & alike("x", "y"))
+        rest = rest.unionByName(outer.select("x.node", F.col("y.node").alias("other")))
+        rest = rest.unionByName(other.select(F.col("a").alias("node"), F.col("b").alias("other")))
+        done += [clusters, parts, bound, rare, near]
+    rest = rest.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    take(verified(rest.join(stars, ["a", "b"], "left_anti")))
+    for table in done:
+        drop_stored(table)
+    return labels

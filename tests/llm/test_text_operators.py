@@ -180,3 +180,22 @@ def test_lines_near_the_threshold_are_found(spark):
         rows += [(d, base, None, None), (d + 1, base + line(20), None, None)]
     found = sum(r.n_removed for r in line_report(as_docs(spark, rows)).collect())
     assert 0.975 * 600 <= found <= 600
+
+
+@pytest.mark.parametrize("size", [65, 260, 1000])
+def test_large_groups_of_like_documents(spark, size):
+    """Groups above and far above the size up to which members of a bucket are compared pair by pair."""
+    import random
+
+    from reeflens.llm.near_dedup import near_duplicates
+    rnd = random.Random(size)
+    words = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(size):  # each has some of twenty words changed: many pairs near the threshold, many below
+        own = list(words)
+        for k in rnd.sample(range(120), rnd.randint(0, 9)):
+            own[k] = f"v{k}x{rnd.randint(0, 2)}"
+        rows.append((i, " ".join(own)))
+    exp = brute.near(rows)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(as_docs(spark, [(d, t, None, None) for d, t in rows])).collect()}
+    assert got == exp
