@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from .bytewords import MIX_1, mix, text_slices, word_hashes, word_spans
 from .rounds import joined_up, shared_buckets
-from .scratch import drop_stored, stored, stored_by
+from .scratch import drop_stored, sieved, stored, stored_by
 
 #: A pair of Jaccard 0.8 shares no bucket with probability (1 - 0.8**5)**40, about 1e-7.
 BANDS, ROWS = 40, 5
@@ -191,7 +191,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     wanted = stored(shared.select("node").distinct().join(classes.select("id", "node"), "node"), "wanted")
     # a row's set goes by its own text; an id of wanted may have other texts besides the class's
-    picked = rows.join(wanted.select("id").distinct(), "id", "left_semi").mapInArrow(
+    needed = wanted.select("id").distinct()
+    picked = sieved(rows, needed, "id").join(needed, "id", "left_semi").mapInArrow(
         partial(_sets_of, width=width), T.StructType([
             *[T.StructField(c, T.LongType()) for c in ("n", "p1", "p2")], T.StructField("shingles", T.BinaryType())]))
     # in buckets by node: every comparison joins the sets, and moves only its pairs

@@ -5,10 +5,15 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reeflens.session import ensure_checkpoint_dir
 
 
+#: Bits of a sieve; two megabytes.
+SIEVE_BITS = 1 << 24
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for one table under ``spark.checkpoint.dir``."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
@@ -37,6 +42,22 @@ def stored_by(df: DataFrame, name: str, column: str, codec: str = "snappy") -> D
     return out
 
 
+def sieved(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    """Rows of ``df`` whose ``column`` may be in ``keys``, so that a semi join on it moves few others.
+
+    A bitmap of SIEVE_BITS hashed keys, of that size whatever the tables', is
+    sent to the scan.  No row of ``keys`` is lost; of the others a share of about
+    keys / SIEVE_BITS stays, all of them where keys are far more than that.
+    """
+    place = F.pmod(F.xxhash64(column), F.lit(SIEVE_BITS))
+    bucket, bit = F.bitmap_bucket_number(place), F.bitmap_bit_position(place).cast("int")
+    maps = keys.where(F.col(column).isNotNull()).groupBy(bucket.alias("_bucket")).agg(F.bitmap_construct_agg(bit).alias("_bits"))
+    rows = df.select(F.struct(*df.columns).alias("_row"), bucket.alias("_bucket"), bit.alias("_bit")).join(F.broadcast(maps), "_bucket")
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.expr("_bit div 8 + 1").cast("int"), F.lit(1))), 16, 10).cast("int")
+    held = F.expr("shiftright(_byte, _bit % 8) & 1") == 1
+    return rows.withColumn("_byte", byte).where(held).select("_row.*")
+
+
 def drop_stored(df: DataFrame) -> None:
     """Delete a table of ``stored`` that no later plan reads."""
     spark = df.sparkSession

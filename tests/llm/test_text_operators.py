@@ -199,3 +199,16 @@ def test_large_groups_of_like_documents(spark, size):
     exp = brute.near(rows)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(as_docs(spark, [(d, t, None, None) for d, t in rows])).collect()}
     assert got == exp
+
+
+def test_sieve_keeps_every_key(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from reeflens.llm import scratch
+    df = spark.range(20_000).select(F.col("id").alias("k"), F.lit("x").alias("_bits2"))
+    keys = df.where("k % 40 = 3").select("k")
+    for bits, most in ((1 << 24, 520), (1 << 17, 700), (64, 20_000)):
+        monkeypatch.setattr(scratch, "SIEVE_BITS", bits)
+        out = scratch.sieved(df, keys, "k")
+        assert out.columns == df.columns and out.join(keys, "k", "left_semi").count() == 500 <= out.count() <= most
+    assert scratch.sieved(df, keys.where("false"), "k").count() == 0
