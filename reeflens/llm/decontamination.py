@@ -9,8 +9,10 @@ shingle tells from which partition on it is the minimum of its bin; an item is
 a candidate where one of its minima is a minimum of the document.  A contained
 shingle is a minimum with probability 0.63 or more, so an item of ``SHORT``
 shingles or more is missed with probability 0.37**(0.8 * SHORT) at most, about 1e-7.
-Shorter items are looked up by all shingles.  Candidates are verified by the
-exact containment of their shingles.
+Shorter items are looked up by all shingles.  An item of fewer than WIDTH words is
+one shingle of them all and is looked up among the runs of as many words; only the
+lengths that items have are looked for.  Candidates are verified by the exact
+containment of their shingles.
 """
 
 from __future__ import annotations
@@ -26,28 +28,36 @@ THRESHOLD_PERCENT = 80
 SHORT = 20
 
 
+def _runs(w: str, make, width: int) -> Column:
+    """``make`` of every run of ``width`` words, filled up to WIDTH with empty ones; none if there are fewer words."""
+    word = lambda i, k: F.get(F.col(w), i + k) if k < width else F.lit("")
+    runs = F.transform(F.sequence(F.lit(0), F.size(w) - width), lambda i: make(*[word(i, k) for k in range(WIDTH)]))
+    return F.when(F.size(w) >= width, runs).otherwise(F.filter(F.array(make(*[F.lit("")] * WIDTH)), lambda _: F.lit(False)))
+
+
 def _shingles(w: str, make) -> Column:
-    """``make`` of every run of WIDTH words; of the whole text if it has fewer; none without words."""
-    n = F.size(w)
-    runs = F.transform(F.sequence(F.lit(0), n - WIDTH), lambda i: make(*[F.get(F.col(w), i + k) for k in range(WIDTH)]))
-    one = F.array(make(*[F.coalesce(F.get(F.col(w), F.lit(k)), F.lit("")) for k in range(WIDTH)]))
-    return F.when(n >= WIDTH, runs).when(n > 0, one)
+    """The runs of WIDTH words of an item; of all its words if it has fewer; none without words."""
+    own = F.when(F.size(w) >= WIDTH, _runs(w, make, WIDTH))
+    for width in range(1, WIDTH):
+        own = own.when(F.size(w) == width, _runs(w, make, width))
+    return own
 
 
 # The outer form of explode below keeps the optimizer from testing the array for
 # emptiness first, in a filter that repeats the array's whole expression.
 
 
-def _hashed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    rows = df.select(F.col(id_col).alias("id"), words(F.lower(whole(text_col))).alias("w")).where("id is not null")
-    return rows.select("id", _shingles("w", F.xxhash64).alias("hashes"))
+def _words(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return df.select(F.col(id_col).alias("id"), words(F.lower(whole(text_col))).alias("w")).where("id is not null")
+
+
+def _joined(*parts: Column) -> Column:
+    """Words joined by spaces; a space is in no word, so they are told apart."""
+    return F.rtrim(F.concat_ws(" ", *parts))
 
 
-def _strings(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    rows = df.select(F.col(id_col).alias("id"), words(F.lower(whole(text_col))).alias("w")).where("id is not null")
-    # a space is in no word, so joined words are told apart
-    return rows.select("id", F.explode_outer(F.array_distinct(_shingles(
-        "w", lambda *x: F.concat_ws(" ", *x)))).alias("shingle")).where("shingle is not null").distinct()
+def _distinct(rows: DataFrame, shingles: Column) -> DataFrame:
+    return rows.select("id", F.explode_outer(F.array_distinct(shingles)).alias("shingle")).where("shingle is not null").distinct()
 
 
 def _minima(hashed: DataFrame) -> DataFrame:
@@ -77,26 +87,31 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
     ``n_item`` counts the item's distinct shingles, ``n_shared`` those that the
     document has; rows have ``100 * n_shared >= THRESHOLD_PERCENT * n_item``.
-    Words are runs without white space in lower case.  A text with fewer than
-    WIDTH words has one shingle, all its words; texts without words match
-    nothing.  Rows that repeat an id are one text with the shingles of all of
+    Words are runs without white space in lower case.  An item with fewer than
+    WIDTH words has one shingle, all its words, which a document has wherever
+    they stand in a row; texts without words match nothing.  Rows that repeat an id are one text with the shingles of all of
     them; rows with a null id are not searched.  Other columns are ignored.
     Empty tables give an empty result.
     """
-    hashed = _hashed(docs, id_col, text_col)
-    index = stored(_item_minima(_hashed(items, item_col, item_text_col)), "items")
+    asked = stored(_words(items, item_col, item_text_col), "items")
+    # the lengths of items under WIDTH words: at most WIDTH - 1 numbers
+    widths = [WIDTH, *sorted(r.k for r in asked.select(F.size("w").alias("k")).where(F.col("k").between(1, WIDTH - 1)).distinct().collect())]
+    of_docs = lambda w, make: F.concat(*[_runs(w, make, k) for k in widths])
+    rows = _words(docs, id_col, text_col)
+    hashed = rows.select("id", _runs("w", F.xxhash64, WIDTH).alias("hashes"))
+    index = stored(_item_minima(asked.select("id", _shingles("w", F.xxhash64).alias("hashes"))), "item_hashes")
     long = index.where(F.col("n") >= SHORT).select("h", "item", "p0")
     short = index.where(F.col("n") < SHORT).select("h", "item")
     found = _minima(hashed).join(long, "h").where("p >= p0").select("id", "item")
-    found_short = hashed.select("id", F.explode_outer("hashes").alias("h")).join(short, "h").select("id", "item")
+    found_short = rows.select("id", F.explode_outer(of_docs("w", F.xxhash64)).alias("h")).join(short, "h").select("id", "item")
     candidates = stored(found.unionByName(found_short).distinct(), "candidates")
 
-    probes = stored(_strings(items, item_col, item_text_col), "item_shingles")
+    probes = stored(_distinct(asked, _shingles("w", _joined)), "item_shingles")
     sizes = probes.groupBy("id").agg(F.count("*").alias("n_item"))
     probes = probes.join(sizes, "id").select(F.col("id").alias("item"), "shingle", "n_item")
     ids = candidates.select(F.col("id").alias(id_col)).distinct()
     texts = docs.select(id_col, text_col).join(ids, id_col, "left_semi")
-    hits = _strings(texts, id_col, text_col).join(probes, "shingle").join(candidates, ["id", "item"], "left_semi")
+    hits = _distinct(_words(texts, id_col, text_col), of_docs("w", _joined)).join(probes, "shingle").join(candidates, ["id", "item"], "left_semi")
     counts = hits.groupBy("id", "item", "n_item").agg(F.count("*").alias("n_shared"))
     return counts.where(100 * F.col("n_shared") >= THRESHOLD_PERCENT * F.col("n_item")).select(
         F.col("id").alias(id_col), F.col("item").alias(item_col), "n_item", "n_shared",

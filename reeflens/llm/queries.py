@@ -132,9 +132,11 @@ _CONTAINED = f"""
 with words as (
   select 0 kind, doc_id id, {_WORDS.format("lower(coalesce(text, ''))")} w from documents
   union all select 1, item_id, {_WORDS.format("lower(coalesce(text, ''))")} from benchmark
+), widths as (
+  select distinct least(len(w), 5) k from words where kind = 1 and len(w) > 0
 ), shingles as (
-  select distinct kind, id, unnest(case when len(w) < 5 then [array_to_string(w, ' ')]
-    else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) s from words where len(w) > 0
+  select distinct kind, id, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) s
+  from words, widths where len(w) >= k and (kind = 0 or k = least(len(w), 5))
 ), sizes as (select id, count(*) n from shingles where kind = 1 group by 1)
 select d.id doc_id, i.id item_id, n n_item, count(*) n_shared, count(*) / n containment
 from shingles d join shingles i on d.s = i.s and d.kind = 0 and i.kind = 1 join sizes z on z.id = i.id

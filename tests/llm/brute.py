@@ -91,14 +91,14 @@ def repeats(rows, match=400):
 
 def contained(docs, items, width=5):
     """{(doc, item): (n_item, n_shared)} that reach the threshold."""
-    def shingles(rows):
+    def shingles(rows, of_item):
         out = {}
         for key, text in rows:
             w = WORD.findall((text or "").lower())
-            found = {tuple(w[i:i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} if w else set()
+            sizes = [min(width, len(w))] if of_item else range(1, width + 1)
             if key is not None:
-                out.setdefault(key, set()).update(found)
+                out.setdefault(key, set()).update(tuple(w[i:i + n]) for n in sizes if n for i in range(len(w) - n + 1))
         return out
-    inside, wanted = shingles(docs), shingles(items)
+    inside, wanted = shingles(docs, False), shingles(items, True)
     return {(d, i): (len(q), len(q & s)) for d, s in inside.items() for i, q in wanted.items()
             if q and 100 * len(q & s) >= 80 * len(q)}

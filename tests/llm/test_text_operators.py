@@ -115,8 +115,12 @@ def test_short_items_in_long_documents(spark):
     filler = " ".join(f"word{i}" for i in range(30000))
     docs = as_docs(spark, [(1, filler + " " + item + " " + filler, None, None), (2, filler, None, None),
                            (3, "Quick  BROWN\nfoxes jump over lazy dogs near the old river bank today again", None, None)])
-    items = spark.createDataFrame([(7, item), (8, "word5 word6"), (9, None)], "item_id long, text string")
-    assert {(r.doc_id, r.item_id) for r in contaminated(docs, items).collect()} == {(1, 7), (3, 7)}
+    short = [(8, "word5 word6"), (9, None), (10, "WORD29999"), (11, "word6 word5"), (12, "again word0  word1\nword2"), (13, "over lazy dogs near"), (14, "9")]
+    items = spark.createDataFrame([(7, item), *short], "item_id long, text string")
+    exp = {(1, 7), (3, 7), (1, 8), (2, 8), (1, 10), (2, 10), (1, 12), (1, 13), (3, 13)}
+    assert {(r.doc_id, r.item_id) for r in contaminated(docs, items).collect()} == exp
+    # without long items nothing but the short runs is looked for
+    assert {(r.doc_id, r.item_id) for r in contaminated(docs, items.where("item_id <> 7")).collect()} == {x for x in exp if x[1] != 7}
 
 
 def test_items_of_ten_shingles_are_not_missed(spark):
