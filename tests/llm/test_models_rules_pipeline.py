@@ -1,6 +1,7 @@
 """Quality rules and mixing against SQL, models by held-out accuracy, pages by cases, the pipeline by its stages."""
 
 import sys
+from collections import Counter
 from pathlib import Path
 
 import brute
@@ -187,7 +188,30 @@ def test_pipeline_compares_documents_by_five_words(spark):
 def test_pipeline_takes_odd_rows(spark, unruly, folder):
     import corpus_pipeline
 
-    docs = unruly.select("doc_id", "text", "lang", "source", "n_chars")
+    from pyspark.sql import functions as F
+
+    from reeflens.llm.scratch import stored
+    docs = unruly.withColumn("copy", F.lit("own"))  # besides size, copies, score, kept and others
+    tables = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        tables.append(stored(stage(spark, tables[-1], folder), name))
+    assert all(t.columns == docs.columns for t in tables[:-1])
+    assert sorted(tables[-1].columns) == sorted(docs.columns)
+    ids = [Counter(r.doc_id for r in t.select("doc_id").collect()) for t in tables]
+    before = ids[0]
+    assert not {4, 5, 6} & set(ids[1]) and {1, 2, 3, 9, 10, 11, 12, 14} <= set(ids[1]) and ids[1][None] == 1 and ids[1][1] == before[1]
+    for a, b in zip(ids[:4], ids[1:5]):
+        assert not b - a  # no stage before the mix adds a row
+    assert len([d for d in (1, 2, 3) if d in ids[3]]) == 1  # copies and a near copy
+    assert not {7, 9} & set(ids[4])  # the benchmark of the fixture holds their texts
+    final = tables[-1].collect()
+    assert final and all(r["size"] == r["copies"] == r["score"] == "x" and 1 <= r["copy"] <= 3 for r in final)
+    assert set(ids[5]) <= set(ids[4])
+
+
+def test_pipeline_takes_empty_tables(spark, nothing, folder):
+    import corpus_pipeline
+
     for _, stage in corpus_pipeline.STAGES:
-        docs = stage(spark, docs, folder)
-    assert docs.count() >= 0
+        out = stage(spark, nothing, folder)
+        assert out.count() == 0 and set(nothing.columns) <= set(out.columns)
