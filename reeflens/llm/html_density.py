@@ -1,9 +1,10 @@
 """Main text of web pages by composite text density.
 
 Every node of the page's tree gets its characters per tag, lowered by the
-share of links in it and in the page.  The node whose children have the
-largest sum of densities holds the article; the least density on its path to
-the body is the threshold that other parts beside it must reach.
+share of links in it and in the page; where there are no link characters or
+link tags, 1 stands for them.  The node whose children have the largest sum of
+densities holds the article; the least density on its path to the body is the
+threshold that other parts of the page must reach.
 """
 
 from __future__ import annotations
@@ -167,27 +168,82 @@ def _measure(nodes: list[Node]) -> None:
     for n in reversed(nodes):
         if n.chars:
             tags, links, linked = max(1, n.tags), max(1, n.link_tags), max(1, n.link_chars)
-            base = math.log(n.chars / max(1, n.chars - n.link_chars) * n.link_chars + share * n.chars + math.e)
-            ratio = math.log(max(1.0, n.chars / linked * tags / links))
-            n.density = n.chars / tags * (ratio / max(1.0, math.log(base)) if n.link_chars else 1.0)
+            base = math.log(n.chars / max(1, n.chars - n.link_chars) * linked + share * n.chars + math.e)
+            n.density = n.chars / tags * math.log(max(1.0, n.chars / linked * tags / links)) / math.log(base)
         if n.parent is not None:
             n.parent.total += n.density
 
 
-def _chosen(nodes: list[Node]) -> list[Node]:
-    """Roots of the article's subtrees in page order."""
-    best = max(nodes, key=lambda n: n.total or n.density)
-    path = [best]
+def _path(node: Node) -> list[Node]:
+    """The node and all that hold it, up to the page."""
+    path = [node]
     while path[-1].parent is not None:
         path.append(path[-1].parent)
-    article = next((n for n in reversed(path) if n.tag in ("article", "main")), None)
-    if article is not None:
-        return [article]
-    if best.parent is None:
-        return [best]
+    return path
+
+
+def _chosen(nodes: list[Node]) -> list[Node]:
+    """Roots of the article's subtrees in page order.
+
+    The node with the largest sum is one of them.  The least density on its
+    path to the body is the threshold: going down from the body through nodes
+    that reach it and have less than a quarter of their characters in links,
+    each one's own node with the largest sum is another.  An article element
+    around or as most of the first one is taken whole; a main element takes the
+    body's place.
+    """
+    peak = {}  # of every subtree: the node with the largest sum, parents and first ones before others
+    for n in reversed(nodes):
+        below = [peak[c] for c in n.children if isinstance(c, Node)]
+        peak[n] = max([n, *below], key=_weight)
+    best = peak[nodes[0]]
+    path = _path(best)
+    scope = next((n for tag in ("article", "main") for n in reversed(path) if n.tag == tag), None)
+    if scope is None:
+        held = [n for n in nodes if n.tag in ("article", "main") and 2 * max(n.density, n.total) >= _weight(best)]
+        scope = next((n for n in held if best in _path(n)), None)
+        if scope is not None:
+            return [scope]
+    elif scope.tag == "article":
+        return [scope]
     threshold = min(n.density for n in path)
-    beside = [c for c in best.parent.children if isinstance(c, Node)]
-    return [c for c in beside if c is best or c.tag in HEADING or c.density >= threshold > 0 and c.chars > 2 * c.link_chars]
+    taken, above = {best}, set(path[1:])
+    around = [scope or nodes[0]]
+    for n in around:
+        if n in taken:
+            continue
+        if n not in above:
+            if n.density < threshold or n.chars <= 4 * n.link_chars:
+                continue
+            taken.add(peak[n])
+        if n not in taken:
+            around.extend(c for c in n.children if isinstance(c, Node))
+    # what is above a taken node, to which headings beside it belong
+    over: set[Node] = set()
+    for n in taken:
+        while n.parent is not None and n.parent not in over:
+            n = n.parent
+            over.add(n)
+    roots, stack = [], [scope or nodes[0]]
+    while stack:
+        n = stack.pop()
+        if n in taken:
+            roots.append(n)
+        elif n in over:
+            parts = [c for c in n.children if isinstance(c, Node)]
+            follows = False
+            for c in reversed(parts):
+                if c.tag not in HEADING:
+                    follows = c in taken or c in over
+                elif n in above and (follows or n is best.parent and c.tag == "h1"):
+                    taken.add(c)
+            stack.extend(reversed(parts))
+    return roots
+
+
+def _weight(node: Node) -> float:
+    """The sum of the children's densities; a node without any stands for itself."""
+    return node.total or node.density
 
 
 def _blocks(root: Node, out: list[str]) -> None:

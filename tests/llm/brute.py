@@ -102,3 +102,82 @@ def contained(docs, items, width=5):
     inside, wanted = shingles(docs, False), shingles(items, True)
     return {(d, i): (len(q), len(q & s)) for d, s in inside.items() for i, q in wanted.items()
             if q and 100 * len(q & s) >= 80 * len(q)}
+
+
+HEADINGS = {f"h{k}" for k in range(1, 7)}
+BLOCKS = HEADINGS | {"body", "div", "li", "p", "section", "ul"}
+
+
+def dense_text(page):
+    """Main text of a well-formed page of BLOCKS, links and bold words, written down from the definition."""
+    import math
+    import xml.etree.ElementTree as ET
+
+    root = ET.fromstring(page)
+    up = {c: e for e in root.iter() for c in e}
+
+    def chars(e):
+        return sum(len(" ".join(t.split())) for t in e.itertext())
+
+    def links(e):
+        return [x for x in e.iter("a")]
+
+    share = sum(map(chars, links(root))) / max(1, chars(root))
+
+    def density(e):
+        c, t, lt = chars(e), max(1, len(list(e.iter())) - 1), max(1, len(links(e)))
+        inside = sum(map(chars, links(e)))
+        if not c:
+            return 0.0
+        base = math.log(c / max(1, c - inside) * max(1, inside) + share * c + math.e)
+        return c / t * math.log(max(1.0, c / max(1, inside) * t / lt)) / math.log(base)
+
+    of = {e: density(e) for e in root.iter()}
+
+    def weight(e):
+        return sum(of[c] for c in reversed(e)) or of[e]
+
+    def largest(e):
+        return max(e.iter(), key=weight)
+
+    def ancestors(e):
+        return [up[e], *ancestors(up[e])] if e in up else []
+
+    best = largest(root)
+    threshold = min(of[e] for e in [best, *ancestors(best)])
+    taken = {best}
+
+    def mark(e):
+        if e in taken or e not in ancestors(best) and (of[e] < threshold or chars(e) <= 4 * sum(map(chars, links(e)))):
+            return
+        taken.add(largest(e))
+        if e not in taken:
+            for c in e:
+                mark(c)
+
+    mark(root)
+    over = {a for e in taken for a in ancestors(e)}
+    for e in ancestors(best):
+        parts = list(e)
+        for i, c in enumerate(parts):
+            after = next((x for x in parts[i + 1:] if x.tag not in HEADINGS), None)
+            if c.tag in HEADINGS and (after in taken or after in over or e is up[best] and c.tag == "h1"):
+                taken.add(c)
+    out = [""]
+
+    def show(e, on):
+        on = on or e in taken
+        cut = e.tag in BLOCKS
+        if on and cut:
+            out.append("")
+        if on:
+            out[-1] += e.text or ""
+        for c in e:
+            show(c, on)
+            if on:
+                out[-1] += c.tail or ""
+        if on and cut:
+            out.append("")
+
+    show(root, False)
+    return "\n".join(t for t in (" ".join(x.split()) for x in out) if t)

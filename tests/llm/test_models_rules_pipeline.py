@@ -128,6 +128,72 @@ def test_main_text_of_pages(spark):
     assert extract_text(df.where("false")).count() == 0
 
 
+def _words(rng, n):
+    return " ".join(rng.choice(["reef", "coral", "survey", "of", "a", "transect"]) for _ in range(n))
+
+
+def _paragraphs(rng, n, linked=False):
+    """n paragraphs of 30 to 80 words, and their texts; every second one with a short link if asked."""
+    texts = [_words(rng, rng.randint(30, 80)) for _ in range(n)]
+    tags = [f"<p>{t}</p>" if not linked or k % 2 else f"<p>{t} <a href='x'>see here</a></p>" for k, t in enumerate(texts)]
+    return "".join(tags), [t if not linked or k % 2 else f"{t} see here" for k, t in enumerate(texts)]
+
+
+def test_main_text_by_density_alone():
+    """Pages without article and main elements: teasers with a link each, link lists, links in the article."""
+    import random
+
+    from reeflens.llm.html_density import main_text
+    rng = random.Random(5)
+    for linked in (False, True):
+        for n in (0, 3, 12, 60):
+            teasers = "<ul>" + "".join(f"<li><a href='t'>{_words(rng, 5)}</a> {_words(rng, 9)}</li>" for _ in range(n)) + "</ul>"
+            names = "<div>" + "".join(f"<a href='n'>{_words(rng, 2)}</a> " for _ in range(n)) + "</div>"
+            body, texts = _paragraphs(rng, 6, linked)
+            page = f"<body><div>{names}</div><h1>Title</h1><div>{body}</div><h3>More</h3><div>{teasers}</div></body>"
+            assert main_text(page) == "\n".join(["Title", *texts]), (linked, n)
+    # an article in two parts: both are over the threshold of the body's path
+    one, first = _paragraphs(rng, 5)
+    two, second = _paragraphs(rng, 4)
+    aside = "".join(f"<li><a href='t'>{_words(rng, 5)}</a> {_words(rng, 3)}</li>" for _ in range(30))
+    for outer in ("div", "main"):
+        page = f"<body><{outer}><div>{one}</div><ul>{aside}</ul><div>{two}</div></{outer}></body>"
+        assert main_text(page) == "\n".join(first + second)
+    # one short paragraph in an article element, beside teasers in no element of that kind
+    assert main_text(f"<body><article><p>{first[0]}</p></article><div><ul>{aside}</ul></div></body>") == first[0]
+
+
+def test_main_text_like_the_plain_density():
+    import random
+
+    from reeflens.llm.html_density import main_text
+    rng = random.Random(11)
+
+    def inline():
+        text = _words(rng, rng.randint(1, 30))
+        return text if rng.random() < 0.6 else f"{text} <a href='x'>{_words(rng, rng.randint(1, 6))}</a> {_words(rng, 2)}"
+
+    def block(depth):
+        kind = rng.random()
+        if kind < 0.45 or not depth:
+            return f"<p>{inline()}</p>"
+        if kind < 0.55:
+            tag = rng.choice(["h1", "h2", "h3"])
+            return f"<{tag}>{_words(rng, 3)}</{tag}>"
+        if kind < 0.7:
+            return "<ul>" + "".join(f"<li>{inline()}</li>" for _ in range(rng.randint(1, 9))) + "</ul>"
+        tag = rng.choice(["div", "section"])
+        return f"<{tag}>" + "".join(block(depth - 1) for _ in range(rng.randint(1, 6))) + f"</{tag}>"
+
+    differ = set()
+    for _ in range(400):
+        page = "<body>" + "".join(block(3) for _ in range(rng.randint(1, 6))) + "</body>"
+        text = main_text(page)
+        assert text == brute.dense_text(page), page
+        differ.add(len(text))
+    assert len(differ) > 100
+
+
 def test_main_text_of_the_pages_table(spark):
     """The pages hold their article in one element, so its blocks can be cut out plainly."""
     import html
