@@ -123,8 +123,12 @@ def joined_up(shared: DataFrame, verified: Callable[[DataFrame], DataFrame], per
     take(verified(_apart(stars, labels).join(tried, ["a", "b"], "left_anti")))
 
     # one member of each component of a bucket against one of its first component, others each time
+    left = None  # a bucket in one component stays so: each turn starts from the buckets that the last one found open
     for turn in range(TURNS):
-        placed = _placed(shared, labels)
+        before, placed = left, stored(_placed(shared if left is None else left, labels), "open")
+        if before is not None:
+            drop_stored(before)
+        left = placed.select("key", "node")
         one = placed.groupBy("key", "part").agg(F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("node"))
         head = one.groupBy("key").agg(F.min_by("node", "part").alias("a"), F.min("part").alias("part")).alias("h")
         pairs = one.alias("o").join(head, (F.col("o.key") == F.col("h.key")) & (F.col("o.part") != F.col("h.part"))).select(
@@ -134,7 +138,8 @@ def joined_up(shared: DataFrame, verified: Callable[[DataFrame], DataFrame], per
         if not take(verified(pairs.join(stars, ["a", "b"], "left_anti"))):
             break
 
-    placed = stored(_placed(shared, labels), "open")
+    before, placed = left, stored(_placed(left, labels), "open")
+    drop_stored(before)
     core = F.least("x.core", "y.core")
     within = 100 * core >= percent * (F.col("x.n") + F.col("y.n") - core)
 
