@@ -148,6 +148,40 @@ def _jaccard(percent: int) -> Callable:
     return linked
 
 
+def _name(salt: int = 0) -> Column:
+    """A set's node: 64 bits of its size and its two sums."""
+    return F.xxhash64("n", "p1", "p2", F.lit(salt)) if salt else F.xxhash64("n", "p1", "p2")
+
+
+def _with_node(sets: DataFrame, renamed: DataFrame | None) -> DataFrame:
+    """``sets(n, p1, p2, ..)`` with its node."""
+    if renamed is None:
+        return sets.withColumn("node", _name())
+    return sets.join(renamed, ["n", "p1", "p2"], "left").withColumn("node", F.coalesce("other", _name())).drop("other")
+
+
+def _renamed(classes: DataFrame) -> DataFrame | None:
+    """``(n, p1, p2, other)``: nodes for the sets whose own one another set has too; None where there are none.
+
+    So different sets are different nodes, as far as 128 bits tell them apart,
+    while all that is moved by node has 64.
+    """
+    renamed, salt = None, 0
+    while True:
+        now = _with_node(classes.select("n", "p1", "p2"), renamed)
+        twice = now.groupBy("node").agg(F.count("*").alias("c")).where("c > 1")
+        if twice.isEmpty():
+            return renamed
+        salt += 1
+        among = now.join(twice, "node")
+        first = among.groupBy("node").agg(F.min(F.struct("n", "p1", "p2")).alias("first"))
+        again = among.join(first, "node").where(F.struct("n", "p1", "p2") != F.col("first")).select(
+            "n", "p1", "p2", _name(salt).alias("other"))
+        if renamed is not None:
+            again = renamed.join(again, ["n", "p1", "p2"], "left_anti").unionByName(again)
+        renamed = stored(again, "renamed")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 2) -> DataFrame:
     """``(id_col, n_shingles, component_id, kept)`` for every row of ``docs``.
 
@@ -171,11 +205,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     fields += [T.StructField(c, T.LongType()) for c in _differ_columns()]
     sketches = stored(rows.mapInArrow(partial(_sketches, width=width), T.StructType(fields)), "sketches")
 
-    node = F.xxhash64("n", "p1", "p2").alias("node")
     named = sketches.where("n > 0 and id is not null")
     classes = stored(named.groupBy("n", "p1", "p2").agg(
         F.min("id").alias("id"), F.first("bands").alias("bands"), *[F.first(c).alias(c) for c in _differ_columns()])
-        .select("id", node, "bands", *_differ_columns()), "classes")
+        .select("id", "n", "p1", "p2", "bands", *_differ_columns()), "classes")
+    renamed, found = _renamed(classes), classes
+    classes = _with_node(classes, renamed).select("id", "node", "bands", *_differ_columns())
     # from here on a row is its id and the name of its set
     rows_of = stored(sketches.select("id", "n", "p1", "p2"), "rows")
     drop_stored(sketches)
@@ -185,7 +220,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = stored(shared_buckets(members), "shared")
 
     # the classes of an id with several texts belong together
-    held = named.select("id", node)
+    held = _with_node(named, renamed).select("id", "node")
     several = held.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("last")).where("a <> last").select("id", "a")
     same = stored(held.join(several, "id").where("a <> node").select("a", F.col("node").alias("b")).distinct(), "same")
 
@@ -196,7 +231,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         partial(_sets_of, width=width), T.StructType([
             *[T.StructField(c, T.LongType()) for c in ("n", "p1", "p2")], T.StructField("shingles", T.BinaryType())]))
     # in buckets by node: every comparison joins the sets, and moves only its pairs
-    sets = stored_by(picked.select(node, "shingles").join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets", "node")
+    sets = stored_by(_with_node(picked, renamed).select("node", "shingles").join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets", "node")
 
     pair_type = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
@@ -216,7 +251,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # a component's name is its smallest id; a row without words goes with the other rows of its id
     placed = held.join(labels, "node", "left").select("id", F.coalesce("component", "node").alias("root")).distinct()
     placed = stored(placed, "placed")
-    for table in (classes, shared, same, wanted, labels):
+    for table in (found, shared, same, wanted, labels):
         drop_stored(table)
     names = placed.groupBy("root").agg(F.min("id").alias("component"))
     folded = placed.join(names, "root").select("id", "component")
