@@ -164,6 +164,8 @@ def joined_up(shared: DataFrame, verified: Callable[[DataFrame], DataFrame], per
             near.alias("y"), (F.col("x.cluster") == F.col("y.cluster")) & (F.col("x.part") != F.col("y.part"))
             & (F.col("y.inner") | (F.col("x.node") < F.col("y.node"))) & within & alike("x", "y"))
         rest = rest.unionByName(outer.select("x.node", F.col("y.node").alias("other")))
+        other = other.join(sketches.alias("x"), F.col("a") == F.col("x.node")).join(
+            sketches.alias("y"), F.col("b") == F.col("y.node")).where(alike("x", "y"))
         rest = rest.unionByName(other.select(F.col("a").alias("node"), F.col("b").alias("other")))
         done += [clusters, parts, bound, rare, near]
     rest = rest.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
