@@ -16,6 +16,8 @@ FEW = 64
 TURNS = 3
 #: Most nodes of a cluster that share a rare shingle, in clusters of 400 nodes or more.
 RARE = 8
+#: 64-bit words of an odd sketch.
+ODD_WORDS = 16
 
 
 def shared_buckets(members: DataFrame) -> DataFrame:
@@ -29,6 +31,28 @@ def shared_buckets(members: DataFrame) -> DataFrame:
     return members.join(leaders.hint("shuffle_hash"), "key").select("key", "node", "leader")
 
 
+def odd_sketches(shingles: DataFrame) -> DataFrame:
+    """``(node, o0, o1, ..)`` of the distinct ``shingles(node, shingle)``: the parity of the number of shingles at each bit."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("shingle", F.lit(64)).cast("int"))
+    word = F.pmod(F.shiftright("shingle", 6), F.lit(ODD_WORDS))
+    return shingles.select("node", bit.alias("bit"), word.alias("word")).groupBy("node").agg(*[
+        F.coalesce(F.bit_xor(F.when(F.col("word") == i, F.col("bit"))), F.lit(0).cast("long")).alias(f"o{i}")
+        for i in range(ODD_WORDS)])
+
+
+def _may_reach(x: str, y: str, percent: int) -> Column:
+    """Whether two sets can have a Jaccard of ``percent``, by their sizes and odd sketches.
+
+    A shingle that only one of two sets has changes one bit, so that as many bits
+    differ as shingles or fewer, and no pair that reaches ``percent`` is lost.
+    """
+    differ = None
+    for i in range(ODD_WORDS):
+        one = F.bit_count(F.col(f"{x}.o{i}").bitwiseXOR(F.col(f"{y}.o{i}")))
+        differ = one if differ is None else differ + one
+    return (100 + percent) * differ <= (100 - percent) * (F.col(f"{x}.n") + F.col(f"{y}.n"))
+
+
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """The pairs (a, b) whose ends lie in different components."""
     la = labels.select(F.col("node").alias("a"), F.col("component").alias("ca"))
@@ -155,14 +179,15 @@ def joined_up(shared: DataFrame, verified: Callable[[DataFrame], DataFrame], per
         clusters = components(many.join(least, "key").select("a", F.col("node").alias("b")).distinct())
         clusters = stored(clusters.select("node", F.col("component").alias("cluster")), "clusters")
         parts = stored(many.select("node", "part").distinct().join(clusters, "node"), "parts")
-        bound, other, rare = _cores(clusters, sizes, listed(clusters), parts, rare_in)
+        each = listed(clusters)
+        bound, other, rare = _cores(clusters, sizes, each, parts, rare_in)
         main = parts.groupBy("cluster", "part").agg(F.count("*").alias("c")).groupBy("cluster").agg(
             F.max_by("part", F.struct("c", "part")).alias("main"))
-        near = parts.join(bound, "node").where(100 * F.col("core") >= percent * F.col("n")).join(main, "cluster").join(sketches, "node")
+        near = parts.join(bound, "node").where(100 * F.col("core") >= percent * F.col("n")).join(main, "cluster").join(sketches, "node").join(odd_sketches(each), "node")
         near = stored(near.withColumn("inner", F.col("part") == F.col("main")), "near")
         outer = near.where("not inner").alias("x").join(
             near.alias("y"), (F.col("x.cluster") == F.col("y.cluster")) & (F.col("x.part") != F.col("y.part"))
-            & (F.col("y.inner") | (F.col("x.node") < F.col("y.node"))) & within & alike("x", "y"))
+            & (F.col("y.inner") | (F.col("x.node") < F.col("y.node"))) & within & _may_reach("x", "y", percent) & alike("x", "y"))
         rest = rest.unionByName(outer.select("x.node", F.col("y.node").alias("other")))
         other = other.join(sketches.alias("x"), F.col("a") == F.col("x.node")).join(
             sketches.alias("y"), F.col("b") == F.col("y.node")).where(alike("x", "y"))
