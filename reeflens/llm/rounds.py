@@ -181,18 +181,22 @@ def joined_up(shared: DataFrame, verified: Callable[[DataFrame], DataFrame], per
         parts = stored(many.select("node", "part").distinct().join(clusters, "node"), "parts")
         each = listed(clusters)
         bound, other, rare = _cores(clusters, sizes, each, parts, rare_in)
+        odd = stored(odd_sketches(each).join(sizes, "node"), "odd")
         main = parts.groupBy("cluster", "part").agg(F.count("*").alias("c")).groupBy("cluster").agg(
             F.max_by("part", F.struct("c", "part")).alias("main"))
-        near = parts.join(bound, "node").where(100 * F.col("core") >= percent * F.col("n")).join(main, "cluster").join(sketches, "node").join(odd_sketches(each), "node")
+        near = parts.join(bound, "node").where(100 * F.col("core") >= percent * F.col("n")).join(main, "cluster").join(sketches, "node").join(odd.drop("n"), "node")
         near = stored(near.withColumn("inner", F.col("part") == F.col("main")), "near")
         outer = near.where("not inner").alias("x").join(
             near.alias("y"), (F.col("x.cluster") == F.col("y.cluster")) & (F.col("x.part") != F.col("y.part"))
             & (F.col("y.inner") | (F.col("x.node") < F.col("y.node"))) & within & _may_reach("x", "y", percent) & alike("x", "y"))
         rest = rest.unionByName(outer.select("x.node", F.col("y.node").alias("other")))
-        other = other.join(sketches.alias("x"), F.col("a") == F.col("x.node")).join(
+        other = other.join(odd.alias("x"), F.col("a") == F.col("x.node")).join(
+            odd.alias("y"), F.col("b") == F.col("y.node")).where(_may_reach("x", "y", percent)).select("a", "b")
+        candidates = stored(other, "other")
+        other = candidates.join(sketches.alias("x"), F.col("a") == F.col("x.node")).join(
             sketches.alias("y"), F.col("b") == F.col("y.node")).where(alike("x", "y"))
         rest = rest.unionByName(other.select(F.col("a").alias("node"), F.col("b").alias("other")))
-        done += [clusters, parts, bound, rare, near]
+        done += [clusters, parts, bound, rare, odd, near, candidates]
     rest = rest.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
     take(verified(rest.join(stars, ["a", "b"], "left_anti")))
     for table in done:
