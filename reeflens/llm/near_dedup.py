@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bytewords import MIX_1, mix, text_slices, word_hashes, word_spans
+from .names import renamed_keys, with_node
 from .rounds import joined_up, shared_buckets
 from .scratch import drop_stored, sieved, stored, stored_by
 
@@ -154,32 +155,8 @@ def _name(salt: int = 0) -> Column:
 
 
 def _with_node(sets: DataFrame, renamed: DataFrame | None) -> DataFrame:
-    """``sets(n, p1, p2, ..)`` with its node."""
-    if renamed is None:
-        return sets.withColumn("node", _name())
-    return sets.join(renamed, ["n", "p1", "p2"], "left").withColumn("node", F.coalesce("other", _name())).drop("other")
-
-
-def _renamed(classes: DataFrame) -> DataFrame | None:
-    """``(n, p1, p2, other)``: nodes for the sets whose own one another set has too; None where there are none.
-
-    So different sets are different nodes, as far as 128 bits tell them apart,
-    while all that is moved by node has 64.
-    """
-    renamed, salt = None, 0
-    while True:
-        now = _with_node(classes.select("n", "p1", "p2"), renamed)
-        twice = now.groupBy("node").agg(F.count("*").alias("c")).where("c > 1")
-        if twice.isEmpty():
-            return renamed
-        salt += 1
-        among = now.join(twice, "node")
-        first = among.groupBy("node").agg(F.min(F.struct("n", "p1", "p2")).alias("first"))
-        again = among.join(first, "node").where(F.struct("n", "p1", "p2") != F.col("first")).select(
-            "n", "p1", "p2", _name(salt).alias("other"))
-        if renamed is not None:
-            again = renamed.join(again, ["n", "p1", "p2"], "left_anti").unionByName(again)
-        renamed = stored(again, "renamed")
+    """``sets(n, p1, p2, ..)`` with its node; sets are told apart as far as 128 bits do that."""
+    return with_node(sets, ["n", "p1", "p2"], _name, renamed)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 2) -> DataFrame:
@@ -209,7 +186,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = stored(named.groupBy("n", "p1", "p2").agg(
         F.min("id").alias("id"), F.first("bands").alias("bands"), *[F.first(c).alias(c) for c in _differ_columns()])
         .select("id", "n", "p1", "p2", "bands", *_differ_columns()), "classes")
-    renamed, found = _renamed(classes), classes
+    renamed, found = renamed_keys(classes, ["n", "p1", "p2"], _name), classes
     classes = _with_node(classes, renamed).select("id", "node", "bands", *_differ_columns())
     # from here on a row is its id and the name of its set
     rows_of = stored(sketches.select("id", "n", "p1", "p2"), "rows")

@@ -242,3 +242,44 @@ def test_sieve_keeps_every_key(spark, monkeypatch):
         out = scratch.sieved(df, keys, "k")
         assert out.columns == df.columns and out.join(keys, "k", "left_semi").count() == 500 <= out.count() <= most
     assert scratch.sieved(df, keys.where("false"), "k").count() == 0
+
+
+def test_lines_of_one_name_stay_apart(small, odd, odd_rows, monkeypatch):
+    """Lines that share 40 names at first, some of which clash again under their new ones, are still told apart."""
+    from pyspark.sql import functions as F
+
+    from reeflens.llm import line_dedup
+
+    def narrow(salt=0):
+        names = F.xxhash64("h1", "h2", F.lit(salt))
+        names = F.pmod(names, F.lit(40 if not salt else 20000)) if salt < 2 else names
+        return F.when(F.col("h1").isNotNull(), names)
+
+    monkeypatch.setattr(line_dedup, "_name", narrow)
+    for df, rows in ((odd, pairs(odd_rows)), small):
+        got = {(r.doc_id, no) for r in line_dedup.line_report(df).collect() for no in r.removed}
+        assert got == brute.removed_lines(rows)
+
+
+def test_odd_sketches_lose_no_pair_at_the_threshold(spark):
+    """Sets of any size that reach the share pass; of those far below it few do while they are small."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from reeflens.llm.rounds import _may_reach, odd_sketches
+    rnd, sets = random.Random(3), {}
+    for k in range(120):
+        n = rnd.choice([1, 2, 9, 45, 300, 3000])
+        x = [rnd.getrandbits(63) - (1 << 62) for _ in range(n)]
+        gone = rnd.choice([0, n // 9, n // 4, n // 2])
+        sets[2 * k], sets[2 * k + 1] = set(x), set(x[gone:]) | {rnd.getrandbits(62) for _ in range(gone)}
+    rows = spark.createDataFrame([(k, s) for k, v in sets.items() for s in v], "node long, shingle long")
+    sketched = odd_sketches(rows).join(rows.groupBy("node").agg(F.count("*").alias("n")), "node")
+    both = sketched.alias("x").join(sketched.alias("y"), F.expr("x.node % 2 = 0 and y.node = x.node + 1"))
+    passed = {r[0] for r in both.where(_may_reach("x", "y", 80)).select("x.node").collect()}
+    for k in range(0, 240, 2):
+        a, b = sets[k], sets[k + 1]
+        share = len(a & b) / len(a | b)
+        assert k in passed or share < 0.8
+        assert k not in passed or share > 0.5 or len(a) > 1000
