@@ -12,8 +12,8 @@ from .scratch import drop_stored, stored
 
 #: Buckets of up to so many members are compared pair by pair.
 FEW = 64
-#: Rounds between components before that.
-TURNS = 3
+#: Rounds between components before that; what they leave apart is compared after them, so that their number changes no result.
+TURNS = 1
 #: Most nodes of a cluster that share a rare shingle, in clusters of 400 nodes or more.
 RARE = 8
 #: 64-bit words of an odd sketch.
@@ -105,7 +105,7 @@ def _cores(clusters: DataFrame, sizes: DataFrame, listed: DataFrame, parts: Data
     both = some.alias("x").join(some.alias("y"), (F.col("x.cluster") == F.col("y.cluster"))
                                 & (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.part") < F.col("y.part")))
     pairs = both.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    return stored(bound, "bounds"), pairs, rare
+    return bound, pairs, rare
 
 
 def joined_up(shared: DataFrame, verified: Callable[[DataFrame], DataFrame], percent: int, sketches: DataFrame,
@@ -179,24 +179,22 @@ def joined_up(shared: DataFrame, verified: Callable[[DataFrame], DataFrame], per
         clusters = components(many.join(least, "key").select("a", F.col("node").alias("b")).distinct())
         clusters = stored(clusters.select("node", F.col("component").alias("cluster")), "clusters")
         parts = stored(many.select("node", "part").distinct().join(clusters, "node"), "parts")
-        each = listed(clusters)
+        each = stored(listed(clusters), "listed")
         bound, other, rare = _cores(clusters, sizes, each, parts, rare_in)
-        odd = stored(odd_sketches(each).join(sizes, "node"), "odd")
+        marked = stored(odd_sketches(each).join(bound, "node").join(sketches, "node"), "marked")
         main = parts.groupBy("cluster", "part").agg(F.count("*").alias("c")).groupBy("cluster").agg(
             F.max_by("part", F.struct("c", "part")).alias("main"))
-        near = parts.join(bound, "node").where(100 * F.col("core") >= percent * F.col("n")).join(main, "cluster").join(sketches, "node").join(odd.drop("n"), "node")
+        near = parts.join(marked, "node").where(100 * F.col("core") >= percent * F.col("n")).join(main, "cluster")
         near = stored(near.withColumn("inner", F.col("part") == F.col("main")), "near")
         outer = near.where("not inner").alias("x").join(
             near.alias("y"), (F.col("x.cluster") == F.col("y.cluster")) & (F.col("x.part") != F.col("y.part"))
             & (F.col("y.inner") | (F.col("x.node") < F.col("y.node"))) & within & _may_reach("x", "y", percent) & alike("x", "y"))
         rest = rest.unionByName(outer.select("x.node", F.col("y.node").alias("other")))
-        other = other.join(odd.alias("x"), F.col("a") == F.col("x.node")).join(
-            odd.alias("y"), F.col("b") == F.col("y.node")).where(_may_reach("x", "y", percent)).select("a", "b")
-        candidates = stored(other, "other")
-        other = candidates.join(sketches.alias("x"), F.col("a") == F.col("x.node")).join(
-            sketches.alias("y"), F.col("b") == F.col("y.node")).where(alike("x", "y"))
+        # written, so that the anti join below comes after these tests
+        other = stored(other.join(marked.alias("x"), F.col("a") == F.col("x.node")).join(
+            marked.alias("y"), F.col("b") == F.col("y.node")).where(_may_reach("x", "y", percent) & alike("x", "y")).select("a", "b"), "other")
         rest = rest.unionByName(other.select(F.col("a").alias("node"), F.col("b").alias("other")))
-        done += [clusters, parts, bound, rare, odd, near, candidates]
+        done += [clusters, each, parts, rare, marked, near, other]
     rest = rest.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
     take(verified(rest.join(stars, ["a", "b"], "left_anti")))
     for table in done:
