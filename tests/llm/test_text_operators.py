@@ -283,3 +283,46 @@ def test_odd_sketches_lose_no_pair_at_the_threshold(spark):
         share = len(a & b) / len(a | b)
         assert k in passed or share < 0.8
         assert k not in passed or share > 0.5 or len(a) > 1000
+
+
+def test_rare_pairs_come_from_owners_of_shingles(spark):
+    """Owners of many rare shingles are paired once: no rows of a shingle meet in a join."""
+    import random
+
+    from reeflens.llm.rounds import _cores
+    rnd, sets = random.Random(4), {}
+    for node in range(1000):
+        groups = {node // 3, 400 + node // 7} if node % 5 else {node // 3}
+        sets[node] = {10 * g + k for g in groups for k in range(8)} | {-1, -2}
+    parts = {n: rnd.choice([0, n // 3 * 3, n]) for n in sets}
+    listed = spark.createDataFrame([(n, 0, s) for n, v in sets.items() for s in v], "node long, cluster long, shingle long")
+    clusters = spark.createDataFrame([(n, 0) for n in sets], "node long, cluster long")
+    sizes = spark.createDataFrame([(n, len(v)) for n, v in sets.items()], "node long, n long")
+    placed = spark.createDataFrame([(n, 0, p) for n, p in parts.items()], "node long, cluster long, part long")
+    _, pairs, _ = _cores(clusters, sizes, listed, placed, 3)
+    owners = {}
+    for n, v in sets.items():
+        for s in v:
+            owners.setdefault(s, []).append(n)
+    exp = {(a, b) for of in owners.values() if len(of) <= 3 for a in of for b in of if a < b and parts[a] != parts[b]}
+    assert exp and sorted(map(tuple, pairs.select("a", "b").collect())) == sorted(exp)
+    assert pairs._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1  # that of the parts
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    from reeflens.llm.scratch import CLEANUP, stored, stored_by
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f for f in manager.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+    before, setting = files(), spark.conf.get(CLEANUP, "false")
+    for write in (lambda df: stored(df, "t"), lambda df: stored_by(df, "t", "k")):
+        out = write(spark.range(5000).groupBy((F.col("id") % 700).alias("k")).agg(F.count("*").alias("c")))
+        for _ in range(50):
+            if not files() - before:
+                break
+            time.sleep(0.2)
+        assert not files() - before
+        assert out.count() == 700 and spark.conf.get(CLEANUP, "false") == setting
