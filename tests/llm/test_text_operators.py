@@ -326,3 +326,18 @@ def test_stored_tables_leave_no_shuffle_files(spark):
             time.sleep(0.2)
         assert not files() - before
         assert out.count() == 700 and spark.conf.get(CLEANUP, "false") == setting
+
+
+def test_lines_on_both_sides_of_the_long_ones(spark):
+    """Lines below and above LONG shingles are compared, with one another too."""
+    import random
+
+    from reeflens.llm.line_dedup import LONG, line_report
+    rnd, rows = random.Random(6), []
+    line = lambda n: "".join(rnd.choice("abcdefghijklmnop") for _ in range(n - 1)) + "z"
+    for d in range(0, 24, 2):
+        base = line(LONG - 20 + 4 * d)
+        rows += [(d, base, None, None), (d + 1, base + line(30), None, None)]
+    rows += [(100, line(2000), None, None), (101, rows[0][1] + line(400), None, None)]
+    got = {(r.doc_id, no) for r in line_report(as_docs(spark, rows)).collect() for no in r.removed}
+    assert got == brute.removed_lines(pairs(rows)) and len(got) == 12
