@@ -8,6 +8,7 @@ languages votes.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 from itertools import combinations
 
@@ -106,23 +107,10 @@ def _machine(rows: Rows, side: np.ndarray) -> tuple[np.ndarray, float]:
     return adam(loss, 1 << DIM_BITS, STEPS, RATE, DECAY)
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict:
-    """Machines from the texts and languages of the training folds.
-
-    At most MAX_TEXTS texts of each language are fitted, chosen by a hash of
-    the id.  Rows without a language, text or id are not learned from.
-    """
-    train = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
-                        F.col(lang_col).cast("string").alias("lang"))
-    train = train.where((fold_of("id", FOLDS) != HELD) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    first = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("id").cast("string")), "id")
-    ranked = train.select("id", "lang").withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= MAX_TEXTS)
-    chosen = stored(ranked.select("id", "lang"), "chosen")  # small, and known to be small when texts are joined
-    schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("at", T.BinaryType()),
-                           T.StructField("share", T.BinaryType())])
-    found = train.join(chosen, ["id", "lang"]).select("lang", "text").mapInArrow(_bags, schema).collect()
+def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All machines from the rows of ``_bags``, as one pickled model."""
     # in one order whatever order the rows arrive in, so that reruns agree
-    found = sorted((r.lang, bytes(r["at"]), bytes(r["share"])) for r in found)
+    found = sorted(row for batch in batches for row in zip(*[c.to_pylist() for c in batch.columns]))
     langs = np.array([r[0] for r in found], dtype=object)
     rows = Rows([(np.frombuffer(i, "<i4"), np.frombuffer(v, "<f4")) for _, i, v in found])
     del found  # the sample is held once
@@ -141,8 +129,29 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     for w, _ in machines.values():
         columns.append((w * scale).astype(np.float32))
     weights = np.stack(columns, axis=1) if columns else np.zeros((1 << DIM_BITS, 0), np.float32)
-    return {"langs": known, "families": families, "family": {x: family_of(x) for x in known},
-            "machines": {k: (n, b) for n, (k, (_, b)) in enumerate(machines.items())}, "weights": weights}
+    model = {"langs": known, "families": families, "family": {x: family_of(x) for x in known},
+             "machines": {k: (n, b) for n, (k, (_, b)) in enumerate(machines.items())}, "weights": weights}
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict:
+    """Machines from the texts and languages of the training folds.
+
+    At most MAX_TEXTS texts of each language are fitted, chosen by a hash of
+    the id, in a task: the driver sees the machines only.  Rows without a
+    language, text or id are not learned from.
+    """
+    train = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
+                        F.col(lang_col).cast("string").alias("lang"))
+    train = train.where((fold_of("id", FOLDS) != HELD) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    first = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("id").cast("string")), "id")
+    ranked = train.select("id", "lang").withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= MAX_TEXTS)
+    chosen = stored(ranked.select("id", "lang"), "chosen")  # small, and known to be small when texts are joined
+    schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("at", T.BinaryType()),
+                           T.StructField("share", T.BinaryType())])
+    found = train.join(chosen, ["id", "lang"]).select("lang", "text").mapInArrow(_bags, schema)
+    made = found.repartition(1).mapInArrow(_fitted, T.StructType([T.StructField("model", T.BinaryType())]))
+    return pickle.loads(made.first()["model"])
 
 
 def _decide(model: dict, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

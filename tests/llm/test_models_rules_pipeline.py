@@ -91,6 +91,24 @@ def test_language_on_held_out_texts(spark, unruly, nothing):
     assert {r.lang_pred for r in predict(unruly, fit(nothing)).collect()} == {"und"}
 
 
+def test_language_machines_are_fitted_in_a_task(spark, odd, nothing, monkeypatch):
+    """The driver holds the machines, not the sample; reruns and other partitions give the same ones."""
+    import os
+
+    from reeflens.llm import language_id
+    driver, hold = os.getpid(), language_id.Rows
+
+    def rows(parts):
+        assert os.getpid() != driver
+        return hold(parts)
+
+    monkeypatch.setattr(language_id, "Rows", rows)
+    one, two = language_id.fit(odd), language_id.fit(odd.repartition(7))
+    assert one["langs"] and one["langs"] == two["langs"] and one["machines"] == two["machines"]
+    assert (one["weights"] == two["weights"]).all()
+    assert language_id.fit(nothing)["langs"] == []
+
+
 PAGE = "<p>" + "plain words that make up an article about reefs and more. " * 5 + "</p>"
 CASES = [
     ("", ""), ("   ", ""), ("just text", "just text"),

@@ -309,6 +309,60 @@ def test_rare_pairs_come_from_owners_of_shingles(spark):
     assert pairs._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1  # that of the parts
 
 
+@pytest.mark.parametrize("rare_in", [3, 8])
+def test_owners_of_rare_shingles_without_a_join(spark, monkeypatch, rare_in):
+    """Up to three owners come from the counts; the shingles of all nodes are joined with nothing for them."""
+    import random
+    import re
+    from collections import Counter
+
+    from reeflens.llm import rounds
+    rnd, plans, write = random.Random(9), [], rounds.stored
+    owners = {s: rnd.sample(range(-300, 300), rnd.choice([1, 1, 2, 3, 4, 6, 8, 9, 30])) for s in range(900)}
+    cluster, part = {n: n % 2 if n < 40 else 5 for n in range(-300, 300)}, {n: n // 4 for n in range(-300, 300)}
+    listed = spark.createDataFrame([(n, cluster[n], s) for s, of in owners.items() for n in of], "node long, cluster long, shingle long")
+    clusters = spark.createDataFrame(list(cluster.items()), "node long, cluster long")
+    sizes = spark.createDataFrame([(n, 1000) for n in cluster], "node long, n long")
+    parts = spark.createDataFrame([(n, cluster[n], p) for n, p in part.items()], "node long, cluster long, part long")
+    monkeypatch.setattr(rounds, "stored", lambda df, name: (
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString()), write(df, name))[1])
+    bound, pairs, _ = rounds._cores(clusters, sizes, listed, parts, rare_in)
+    of_cluster, members = {}, Counter(cluster.values())
+    for s, of in owners.items():
+        for n in of:
+            of_cluster.setdefault((cluster[n], s), []).append(n)
+    rare = [of for (c, _), of in of_cluster.items() if len(of) <= min(rare_in, 1 + members[c] // 50)]
+    core = Counter(n for of in rare for n in of)
+    assert {r.node: r.core for r in bound.collect()} == {n: 1000 - core[n] for n in cluster}
+    exp = {(a, b) for of in rare for a in of for b in of if a < b and part[a] != part[b]}
+    assert exp and sorted(map(tuple, pairs.select("a", "b").collect())) == sorted(exp)
+    assert plans and (rare_in > 3 or not any(re.search("Join.*shingle", p) for p in plans))
+
+
+@pytest.mark.parametrize("some", [0, 10_000])
+def test_last_pairs_are_verified_in_one_step_or_two(spark, monkeypatch, some):
+    """Few pairs are verified at once, without a step before; the lines that go are those of brute force."""
+    import random
+
+    import brute
+
+    from reeflens.llm import line_dedup, rounds
+    rnd, steps, write = random.Random(3), [], rounds.stored
+    bases = [[rnd.choice("abcdefghijklmnop") for _ in range(120)] for _ in range(3)]
+    rows = []
+    for i in range(260):
+        line = list(bases[i % 3])
+        for _ in range(rnd.randrange(4)):
+            line[rnd.randrange(len(line))] = rnd.choice("qrstuvw")
+        rows.append((i, "".join(line)))
+    monkeypatch.setattr(rounds, "SOME", some)
+    monkeypatch.setattr(rounds, "stored", lambda df, name: (steps.append(name), write(df, name))[1])
+    df = as_docs(spark, [(d, t, None, None) for d, t in rows])
+    got = {(r.doc_id, no) for r in line_dedup.line_report(df).collect() for no in r.removed}
+    assert got == brute.removed_lines(rows)
+    assert ("ahead" in steps) == (some == 0)
+
+
 def test_stored_tables_leave_no_shuffle_files(spark):
     import time
 
