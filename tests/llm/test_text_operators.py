@@ -395,3 +395,31 @@ def test_lines_on_both_sides_of_the_long_ones(spark):
     rows += [(100, line(2000), None, None), (101, rows[0][1] + line(400), None, None)]
     got = {(r.doc_id, no) for r in line_report(as_docs(spark, rows)).collect() for no in r.removed}
     assert got == brute.removed_lines(pairs(rows)) and len(got) == 12
+
+
+def test_signature_rows_hold_every_shingle_of_a_line(spark):
+    """Several shingles a row, none left out, whatever the line's length and its characters' bytes."""
+    from reeflens.llm.line_dedup import STEP, WIDTH, _hashes
+    lines = ["x" * n for n in range(1, 3)] + ["".join(chr(97 + (i * i // 3) % 26) for i in range(n)) for n in range(3, 40)]
+    lines += ["\U0001F41Fé" * 15, "ab" * 30, "d\u00e9j\u00e0 vu " * 9]
+    df = spark.createDataFrame(list(enumerate(lines)), "node long, x string")
+    got = {}
+    for row in _hashes(df).collect():
+        got.setdefault(row.node, []).append(row[1:])
+    for node, x in enumerate(lines):
+        sets = {x[i:i + WIDTH] for i in range(max(1, len(x) - WIDTH + 1))}
+        assert len(set().union(*got[node])) == len(sets)
+        assert len(got[node]) == -(-max(1, len(x) - WIDTH + 1) // STEP)
+
+
+def test_shingles_are_hashed_as_they_are_cut(spark):
+    """As many hashes as a line has shingles, alike for like shingles of different lines."""
+    from reeflens.llm.line_dedup import WIDTH, _shingles
+    lines = ["", "x", "abc", "x" * 8, "ab" * 40, "\U0001F41Fé" * 15, "déjà vu " * 9, "".join(chr(97 + (i * i // 3) % 26) for i in range(300))]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "node long, x string")
+    assert dict(df.select(_shingles("x").alias("s")).dtypes) == {"s": "array<bigint>"}
+    cut = {x: [x[i:i + WIDTH] for i in range(max(1, len(x) - WIDTH + 1))] for x in lines}
+    hashed = {lines[r.node]: r.s for r in df.select("node", _shingles("x").alias("s")).collect()}
+    names = dict(zip(sum(cut.values(), []), sum((hashed[x] for x in cut), [])))
+    assert len(set(names.values())) == len(names)
+    assert all(hashed[x] == [names[s] for s in found] for x, found in cut.items())
