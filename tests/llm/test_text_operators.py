@@ -423,3 +423,59 @@ def test_shingles_are_hashed_as_they_are_cut(spark):
     names = dict(zip(sum(cut.values(), []), sum((hashed[x] for x in cut), [])))
     assert len(set(names.values())) == len(names)
     assert all(hashed[x] == [names[s] for s in found] for x, found in cut.items())
+
+
+def test_buckets_of_two_are_not_compared_again(spark):
+    """The only pair of such a bucket has been tried as leader and member; larger open ones come back whole."""
+    from reeflens.llm.rounds import _placed
+    buckets = {1: [1, 2], 2: [1, 2, 3], 3: [4, 5], 4: [4, 5, 6], 5: [7, 8, 9]}
+    shared = spark.createDataFrame([(k, n, min(of)) for k, of in buckets.items() for n in of], "key long, node long, leader long")
+    labels = spark.createDataFrame([(4, 4), (5, 4), (7, 7), (8, 7), (9, 7)], "node long, component long")
+    got = {}
+    for r in _placed(shared, labels).collect():
+        got.setdefault((r.key, r.c), []).append((r.node, r.part))
+    assert {k: sorted(v) for k, v in got.items()} == {(2, 3): [(1, 1), (2, 2), (3, 3)], (4, 3): [(4, 4), (5, 4), (6, 6)]}
+
+
+def test_members_are_dealt_by_key_once(spark):
+    """Leaders and buckets read one exchange of the members; the buckets are those of the two nodes or more."""
+    from reeflens.llm.rounds import shared_buckets
+    buckets = {1: [5], 2: [-3, 4, 9], 3: [7, 8], 4: [1]}
+    members = spark.createDataFrame([(k, n) for k, of in buckets.items() for n in of], "key long, node long")
+    found = shared_buckets(members.repartition("key"))
+    assert sorted(map(tuple, found.collect())) == sorted((k, n, min(of)) for k, of in buckets.items() if len(of) > 1 for n in of)
+    assert "ENSURE_REQUIREMENTS" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_odd_sketches_of_lines_are_those_of_their_distinct_shingles(spark):
+    """Several shingles a row, repeats counted once, whatever is left for the last row."""
+    from pyspark.sql import functions as F
+
+    from reeflens.llm.line_dedup import _odd_sketches, _shingles
+    from reeflens.llm.rounds import odd_sketches
+    lines = ["x", "x" * 50, "ab" * 30, "d\u00e9j\u00e0 vu " * 9, "\U0001F41F\u00e9" * 15]
+    lines += ["".join(chr(97 + (i * i // 3) % 26) for i in range(n)) for n in range(8, 24)] + ["".join(chr(97 + (i * i * 7 // 5) % 23) for i in range(900))]
+    df = spark.createDataFrame(list(enumerate(lines)), "node long, x string")
+    got = {r.node: r for r in _odd_sketches(df).collect()}
+    each = df.select("node", F.explode(F.array_distinct(_shingles("x"))).alias("shingle"))
+    for r in odd_sketches(each).collect():
+        x, line = got[r.node], lines[r.node]
+        assert x.n == len({line[i:i + 8] for i in range(max(1, len(line) - 7))})
+        assert all(x[c] == r[c] for c in r.asDict())
+    assert len(got) == len(lines)
+
+
+def test_a_word_is_told_as_by_the_pattern(spark):
+    from reeflens.llm.sqltext import WORD, has_word
+    texts = [None, "", " ", " \t\n\x0b\f\r", "\r a", "\u00a0", "\u2003 ", "\x1f", "\x85", "\u0130", "x ", "\U0001F41F", "\x00", "\x08"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string")
+    assert all(r.a == r.b for r in rows.select(has_word("t").alias("a"), rows.t.rlike(WORD).alias("b")).collect())
+
+
+def test_a_sieve_grows_with_its_keys(spark, monkeypatch):
+    """Of the rows that are not wanted, few stay, for many keys too; none that is wanted goes."""
+    from reeflens.llm import scratch
+    monkeypatch.setattr(scratch, "SIEVE_BITS", 1 << 10)
+    keys = spark.range(0, 9000, 3).withColumnRenamed("id", "k")
+    left = {r.k for r in scratch.sieved(spark.range(9000).withColumnRenamed("id", "k"), keys, "k").collect()}
+    assert left >= set(range(0, 9000, 3)) and len(left) < 3600
